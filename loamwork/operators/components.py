@@ -47,4 +47,4 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum("v")).first())
+    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v"))).first())
