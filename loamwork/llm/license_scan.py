@@ -59,7 +59,7 @@ STATEMENTS = {
     "CC0-1.0": ["dedicated to the public domain", "no rights reserved", "released into the public domain"],
     "Proprietary": ["all rights reserved", "copyright all rights reserved", "no part of this publication may be reproduced without the prior written permission of the copyright owner", "unauthorized copying of this file is strictly prohibited confidential and proprietary"],
 }
-CUES = ["apache", "gplv2", "gplv3", "license", "licence", "licensed", "rights", "copyright", "permission", "permitted", "redistribution", "hereby", "cc", "cc0", "domain", "commons", "gnu", "gpl", "bsd", "prohibited", "proprietary", "public"]
+CUES = ["terms", "software", "modification", "modify", "distribute", "apache", "gplv2", "gplv3", "license", "licence", "licensed", "rights", "copyright", "permission", "permitted", "redistribution", "hereby", "cc", "cc0", "domain", "commons", "gnu", "gpl", "bsd", "prohibited", "proprietary", "public"]
 NEGATIVES = [
     "the driver lost his license after the accident", "a fishing licence costs ten dollars", "civil rights and human rights", "the rights of way across the field", "copyright law is taught in the second year",
     "ask for permission before you enter", "parking is permitted on sundays", "the public library opens at nine", "the state owns the public domain lands", "a license plate with three digits", "released under pressure from the crowd",

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamwork.llm import bpe, license_scan, line_dedup, order_minhash, packing, pii, quality_classifier, quality_rules, simhash_dedup
+from loamwork.llm import bpe, license_scan, line_dedup, order_minhash, packing, pii, quality_classifier, quality_rules, simhash_dedup, substring_dedup
 
-_MODULES = (bpe, license_scan, line_dedup, order_minhash, packing, pii, quality_classifier, quality_rules, simhash_dedup)
+_MODULES = (bpe, license_scan, line_dedup, order_minhash, packing, pii, quality_classifier, quality_rules, simhash_dedup, substring_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
