@@ -12,6 +12,7 @@ import json
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -24,6 +25,10 @@ from loamwork.llm.common import documents, runs
 #: Pieces, words and pairs that a worker remembers; beyond that it forgets all and goes on.
 CACHE_PIECES = 600_000
 CACHE_PAIRS = 1_000_000
+#: Bytes beyond which a word is merged with a queue.
+LONG_WORD = 256
+#: White space beyond this length overflows the stack of the compiled encoder's pattern.
+LONG_BLANK = 2000
 _NEVER = np.int64(1 << 40)
 _LAST = 1 << 40
 
@@ -129,6 +134,8 @@ class Bpe:
         """Merging by rank, the leftmost of equals first."""
         parts = [self._byte_id[b] for b in word]
         get = self._merge.get
+        if len(parts) > LONG_WORD:
+            return self._merged_by_heap(parts)
         ranks = [get(p, _LAST) for p in zip(parts, parts[1:], strict=False)]
         while ranks and (best := min(ranks)) != _LAST:
             at = ranks.index(best)
@@ -140,6 +147,25 @@ class Bpe:
                 ranks[at] = get((parts[at], parts[at + 1]), _LAST)
         return tuple(parts)
 
+    def _merged_by_heap(self, parts: list[int]) -> tuple[int, ...]:
+        """The same for words so long that a search of all pairs for each merge would take too long."""
+        n, get = len(parts), self._merge.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue = [(r, i) for i, p in enumerate(zip(parts, parts[1:], strict=False)) if (r := get(p)) is not None]
+        heapify(queue)
+        while queue:
+            rank, i = heappop(queue)
+            j = after[i]
+            if parts[i] < 0 or j >= n or get((parts[i], parts[j])) != rank:
+                continue  # one of the two has been merged since
+            parts[i], parts[j], after[i] = self._made[rank], -1, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n and (r := get((parts[a], parts[b]))) is not None:
+                    heappush(queue, (r, a))
+        return tuple(p for p in parts if p >= 0)
+
     def learn(self, words: Iterable[str]) -> None:
         """Encode words that are not known yet."""
         words = list(words)
@@ -206,6 +232,31 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+class Compiled:
+    """The tiktoken library over the same vocabulary, for operators that need ids and not the method above."""
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        self._own = load(path)
+        ranks = {b: i for i, b in enumerate(self._own.bytes) if i not in self._own.special.values()}
+        self._encode = tiktoken.Encoding("own", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._blank = regex.compile(rf"[{_SPACE}]{{{LONG_BLANK}}}")
+
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        special = self._own.special
+        for text in texts:
+            if any(s in text for s in special) or (len(text) > LONG_BLANK and self._blank.search(text)):
+                yield from self._own.encode([text])
+            else:
+                yield self._encode(text)
+
+
+@lru_cache(maxsize=2)
+def compiled(path: str) -> Compiled:
+    return Compiled(path)
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loamwork.llm.bpe import default_vocabulary, load, texts
+from loamwork.llm.bpe import compiled, default_vocabulary, texts
 from loamwork.llm.common import documents, runs
 from loamwork.runtime import cut
 
@@ -160,7 +160,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = N
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
+        bpe = compiled(path)
         seen = [0] * (capacity + 1)
         for batch in runs(batches):
             rows: list[tuple] = []
