@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ()
+from loamwork.plans import corpus, labelling, relational, scores
+
+_MODULES = (corpus, labelling, relational, scores)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
