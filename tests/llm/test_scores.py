@@ -1,0 +1,159 @@
+import collections
+import hashlib
+import random
+import re
+
+from loamwork.llm import license_scan, order_minhash, pii, quality_classifier, quality_rules
+from loamwork.llm.textstats import base_counts
+
+
+def corpus(spark, n=300, seed=1):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 8))) for _ in range(500)]
+    docs, labels = [], []
+    for i in range(n):
+        body = [rng.choice(words) for _ in range(rng.randrange(60, 200))]
+        bad = i % 4 == 0
+        if bad:
+            body = [w + rng.choice(["###", "$$$", "!!"]) for w in body] if i % 8 else [w for w in body[:20] for _ in range(9)]
+        docs.append((i, " ".join(body)))
+        labels.append((i, 0 if bad else 1, 0))
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_ranking_separates_held_out_rows(spark):
+    docs, labels = corpus(spark)
+    found = quality_classifier.score(docs, quality_classifier.train(docs, labels)).join(labels, "doc_id").where(quality_classifier.held_out()).collect()
+    assert len(found) > 30 and sum((r["score"] >= quality_classifier.CUT) == (r["quality"] == 1) for r in found) >= 0.95 * len(found)
+    assert all(0 <= r["score"] <= 1 for r in found)
+
+
+def test_ranking_without_labels(odd, empty, spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    model = quality_classifier.train(odd, none)
+    scored = quality_classifier.score(odd, model)
+    assert {r["score"] for r in scored.collect()} == {0.5} and scored.count() == odd.count()
+    assert quality_classifier.score(empty, model).count() == 0
+    only = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, None, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
+    assert quality_classifier.train(odd, only).constant == 1.0
+    docs, labels = corpus(spark)
+    assert all(0 <= r["score"] <= 1 for r in quality_classifier.score(odd, quality_classifier.train(docs, labels)).collect())
+
+
+def brute_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = collections.Counter(zip(words, words[1:], words[2:], strict=False))
+    inside = {k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(i, i + 3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text)), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(inside)}
+
+
+def test_base_counts(odd):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab \n\t#é<") for _ in range(rng.randrange(80))) for _ in range(500)] + [r["text"] or "" for r in odd.select("text").collect()]
+    for t in texts:
+        assert base_counts(t.encode(), t.encode().split()) == brute_counts(t)
+
+
+def test_rules(spark, odd, empty):
+    docs, labels = corpus(spark)
+    model = quality_rules.train(docs, labels)
+    found = quality_rules.judge(docs, model).join(labels, "doc_id").where(quality_classifier.held_out()).collect()
+    assert sum(r["kept"] == (r["quality"] == 1) for r in found) >= 0.95 * len(found)
+    judged = quality_rules.judge(odd, model).collect()
+    assert len(judged) == odd.count() and all(r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]) and not (r["base_failed"] and r["kept"]) for r in judged)
+    assert quality_rules.judge(empty, model).count() == 0
+    assert quality_rules.fit([]).probability(quality_rules.fit([]).bias) == 0.5
+
+
+def test_fingerprints(odd, empty):
+    rows = sorted(((r["doc_id"], r["text"] or "") for r in odd.where("doc_id IS NOT NULL").select("doc_id", "text").collect()))
+    found = order_minhash.fingerprint_edits(odd).collect()
+    expected = collections.Counter()
+    for (doc_id, text), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        k = len(text) // 4
+        expected[doc_id, len(text), hashlib.sha256((text[: len(text) - k] + after[:k]).encode()).hexdigest()] += 1
+    assert collections.Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found) == expected
+    by_text = collections.defaultdict(set)
+    for r in found:
+        by_text[dict(rows)[r["doc_id"]]].add(r["fingerprint"])
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+    assert all(len(v) == 1 for v in by_text.values())
+    assert order_minhash.fingerprint_edits(empty).count() == 0
+
+
+def test_signature_orders_minimal_kmers(spark):
+    rng = random.Random(5)
+    base = " ".join("".join(rng.choice("abcde") for _ in range(5)) for _ in range(200))
+    half = base.split()
+    moved = " ".join(half[100:] + half[:100])
+    few = base.replace(half[50], "zzzzz", 1)
+    df = spark.createDataFrame([(base, moved, few, "")], "base string, moved string, few string, none string")
+    for c in ("base", "moved", "few", "none"):
+        df = order_minhash.with_signature(df, c, f"s_{c}")
+    r = df.select(*[order_minhash.likeness("s_base", f"s_{c}").alias(c) for c in ("base", "moved", "few", "none")], order_minhash.likeness("s_none", "s_none").alias("empty"), "s_base").first()
+    assert r["base"] == 1.0 and r["few"] > 0.9 and 0.2 < r["moved"] < r["few"] and r["none"] == 0.0 and r["empty"] == 1.0
+    buckets = [x >> 32 for x in r["s_base"]]
+    assert len(buckets) == len(set(buckets)) and set(buckets) <= set(range(64))
+
+
+def test_surrogates(spark, odd, empty):
+    rows = [
+        (1, "Mail Ann.Lee@Mail7.example.com or ANN.LEE@mail7.example.com, call +1 (017) 555-7713 or 1-017-555-7713."), (2, "ip 10.2.3.4, card 4111 1111 1111 1111 and 4111111111111111, not 1.2.3.4.5"),
+        (3, "Herr Müller und Frau Anna Schmidt, Mrs. Иванова. ssn 123-45-6789"), (4, 'token = "b44e15e09fd311c3cf3163b66d5a9875b883d8ce"'), (5, "clean text 12 and 3.4"), (6, "again 10.2.3.4"),
+    ]
+    found = {r["doc_id"]: r for r in pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    one = re.fullmatch(r"Mail (\w{3}\.\w{3}@\w{4}\d\.\w{7}\.com) or (\S+), call (\+\d \(\d{3}\) \d{3}-\d{4}) or (\d-\d{3}-\d{3}-\d{4})\.", found[1]["text"])
+    assert one and one[1].lower() == one[2].lower() and one[2].split("@")[0].isupper() and "ann" not in one[1].lower()
+    two = re.fullmatch(r"ip (\S+), card (\d{4} \d{4} \d{4} \d{4}) and (\d{16}), not 1\.2\.3\.4\.5", found[2]["text"])
+    assert two and two[2].replace(" ", "") == two[3] and found[6]["text"] == f"again {two[1]}"
+    digits = [int(c) for c in reversed(two[3])]
+    assert sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10 == 0
+    three = re.fullmatch(r"Herr (\w+) und Frau (\w+) \w+, Mrs\. ([А-я]+)\. ssn \d{3}-\d{2}-\d{4}", found[3]["text"])
+    assert three and three[2] in pii.FEMALE_NAMES and three[3] != "Иванова"
+    assert re.fullmatch(r'token = "[0-9a-f]{40}"', found[4]["text"]) and "b44e15" not in found[4]["text"]
+    assert found[5]["text"] == rows[4][1] and found[5]["n_entities"] == 0
+    before = collections.Counter((r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect())
+    after = pii.replace_entities(odd)
+    assert collections.Counter((r["doc_id"], r["text"]) for r in after.collect()) == before and "slot" in after.columns
+    assert pii.replace_entities(empty).count() == 0
+
+
+def test_surrogates_stay_distinct(spark):
+    names = [(i, f"name:m:{'N' * (i % 3 + 1)}{i}") for i in range(3000)] + [(i, f"ip:10.0.{i // 250}.{i % 250}") for i in range(2000)]
+    found = pii.surrogates(spark.createDataFrame(names, "i long, entity string")).collect()
+    assert len(found) == 5000 and len({r["target"] for r in found}) == 5000
+    assert not {r["target"] for r in found} & {r["entity"] for r in found}
+
+
+def test_licenses(spark, odd, empty):
+    rows = [
+        "foo\nLicensed under CC BY-NC 4.0.\nbar", "Released under the MIT License.", "THIS!! WORK!! IS!! LICENSED!! UNDER!! THE!! GNU!! GENERAL!! PUBLIC!! LICENSE,!! VERSION!! 3.", "All rights reserved.",
+        "Licensed under the Apache License, Version 2.0.", "a fishing licence and public rights", "Licensed under CC BY 4.0 or\nreleased under the MIT license", "He was released under bail.",
+    ]
+    found = license_scan.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["families"] for r in found] == ["CC-BY-NC-4.0", "MIT", "GPL-3.0", "Proprietary", "Apache-2.0", "", "CC-BY-4.0,MIT", ""]
+    assert all((r["top_family"] == "unknown") == (r["top_probability"] == 0.0) for r in found)
+    assert {r["n_licensed"] for r in license_scan.scan(odd).collect()} == {0}
+    assert license_scan.scan(empty).count() == 0
+
+
+def test_every_template_needs_a_cue():
+    cue = re.compile(license_scan._cue_pattern())
+    for statements in license_scan.templates().values():
+        for s in statements:
+            pairs = {f"{a} {b}" for a, b in zip(s.split(), s.split()[1:], strict=False)}
+            assert sum(not cue.search(p) for p in pairs) < license_scan.SHARE * len(pairs), s
+
+
+def test_license_model_on_unseen_statements():
+    import numpy as np
+
+    model = license_scan.train()
+    place = {g: i for i, g in enumerate(model.vocabulary)}
+    examples = license_scan._examples(np.random.default_rng(99))
+    hits = 0
+    for text, family in examples:
+        rows = [place[g] for g in set(license_scan.grams(text.split())) if g in place]
+        hits += model.families[int(np.argmax(model.weights[rows].sum(0) + model.bias))] == family
+    assert hits >= 0.97 * len(examples)
