@@ -157,7 +157,8 @@ def _strings(docs: DataFrame, wanted: DataFrame, slots: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, start, stop), which may overlap: every byte that goes lies in one, and no other byte does."""
     parsed = parse(docs)
-    shared = parsed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # written first, so that the join below has nothing but joins above its exchanges and may be split at a hot key
+    shared = cut(parsed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     rows = cut(parsed.join(shared, "key", "left_semi"))
     entries = cut(rows.groupBy("key", "entry").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "lo", "hi")).alias("at")))
     whole = rows.join(entries.where("n > 1").select("key", "entry"), ["key", "entry"], "left_semi").select("doc_id", F.col("lo").alias("start"), (F.col("hi") + WIDTH).alias("stop"))
@@ -184,6 +185,19 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _merged_by_document(spans: DataFrame) -> DataFrame:
+    """(doc_id, spans): each document's spans as maximal runs; a document has fewer than it has bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        for batch in batches:
+            runs_of = [[{"start": a, "stop": b} for a, b in merged([(s["start"], s["stop"]) for s in found])] for found in batch.column("spans").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(runs_of, kind)], names=["doc_id", "spans"])
+
+    by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return by_doc.mapInArrow(run, "doc_id long, spans array<struct<start:bigint,stop:bigint>>")
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): each document's bytes without those of repeated strings.
 
@@ -192,9 +206,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     a doc_id likewise. Strings never cross documents, texts of any length are parsed whole, and an
     empty table gives an empty result. Only doc_id and text are read.
     """
-    spans = cut(repeated_spans(docs))
-    by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    slots = spans.select(_slot()).distinct()
+    by_doc = cut(_merged_by_document(repeated_spans(docs)))
+    slots = by_doc.select(_slot()).distinct()
     texts = docs.select("doc_id", "text")
     # a document whose slot is free has no span; only the others are brought together with theirs
     clean = texts.join(F.broadcast(slots), _slot() == F.col("slot"), "left_anti").withColumn("spans", F.lit(None).cast("array<struct<start:bigint,stop:bigint>>"))
@@ -205,7 +218,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for batch in runs(batches):
             rows: list[tuple] = []
             for doc_id, text, found in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), batch.column("spans").to_pylist(), strict=True):
-                gone = merged([(s["start"], min(s["stop"], len(text))) for s in found or ()])
+                gone = [(s["start"], min(s["stop"], len(text))) for s in found or ()]
                 edges = [0, *(x for s in gone for x in s), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 rows.append((doc_id, len(text), len(text) - len(kept), len(gone), kept))
