@@ -6,13 +6,13 @@ import difflib
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType, LongType, StringType
 
 from loamwork import constants as C
 
@@ -121,3 +121,20 @@ def braces(raw: str | None) -> str | None:
 def strict_json(raw: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in raw:
         yield batch.map(braces)
+
+
+def token_counter(path: str) -> Callable:
+    """An Arrow function that counts a text's tokens by the tokenizer file at `path`; null counts as empty."""
+
+    @pandas_udf(LongType())
+    def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        for batch in texts:
+            encoded = tokenizer.encode_batch_fast([t or "" for t in batch], add_special_tokens=False)
+            yield pd.Series([len(e.ids) for e in encoded], dtype="int64")
+
+    return count

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamwork import constants as C
-from loamwork.functions import hashing, text
+from loamwork.functions import arrow, hashing, text
 from loamwork.operators import curation, inventory, labels, pick
 
 #: Keyword lists over the words that part names have.
@@ -164,6 +164,15 @@ def q_length_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("n", "p50", "p90", "p95", "p99", "max", F.round("fit_512", 6).alias("fit_512"), F.round("fit_1024", 6).alias("fit_1024"))
 
 
+def q_token_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of the records' summarizer inputs: percentiles and the shares that fit common contexts."""
+    import public_tokenizers
+
+    shown = text.prompt_user("summarize", F.col("title"), F.col("clean_text"))
+    counted = records(spark, sf_dir).select(arrow.token_counter(public_tokenizers.path("byte_bpe_50k.json"))(shown).alias("tokens"))
+    return curation.length_summary(counted, "tokens", [512, 1024, 2048])
+
+
 def q_heldout_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.held_out_sources(records(spark, sf_dir), "classify")
 
@@ -211,7 +220,7 @@ final AS (SELECT record_id, CASE WHEN spot < floor(total * 0.8) THEN 'train' WHE
 QUERIES = {f.__name__: f for f in (
     q_normalize_by_source, q_normalize_outcomes, q_normalized_records, q_record_keys, q_record_id_uuid5, q_exact_dup_groups, q_dup_histogram, q_dedupe_summary, q_canonical_record,
     q_group_evidence, q_title_blocks, q_block_candidate_pairs, q_near_title_edges, q_dedupe_full, q_freeze_manifest, q_source_distribution, q_term_counts, q_title_signals, q_signal_coverage,
-    q_audit_sample, q_stratified_pilot, q_length_percentiles, q_heldout_sources, q_group_split, q_split_counts, q_prompts, q_section_compliance, q_resume_pending, q_registry, q_last_of_nation,
+    q_audit_sample, q_stratified_pilot, q_length_percentiles, q_token_stats, q_heldout_sources, q_group_split, q_split_counts, q_prompts, q_section_compliance, q_resume_pending, q_registry, q_last_of_nation,
 )}
 
 _UPPER = "upper(CASE WHEN seq % 3 = 0 THEN 'Deadline: - ' || body ELSE 'FUNDING and summary. ' || body END)"
