@@ -32,11 +32,14 @@ SYLLABLES = ["bal", "cor", "dan", "fel", "gar", "hol", "jan", "kel", "lan", "mor
 
 #: Letters of one case, beside ASCII those of Latin-1, Greek and Cyrillic.
 _BLOCKS = [(97, 122), (65, 90), (0xE0, 0xF6), (0xC0, 0xD6), (0x3B1, 0x3C9), (0x391, 0x3A1), (0x430, 0x44F), (0x410, 0x42F)]
+_KEY_NAME = r"(?i:passwor[dt]|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']? ?[=:] ?[\"']?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 #: In order of precedence. None can match across a line.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    "key": rf"{_KEY_NAME}(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{{8,256}}",
+    "cloud": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
@@ -45,7 +48,7 @@ PATTERNS = {
     "name": rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? {_NAME}(?: {_NAME})?(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-_HINT = rf"[0-9@]|[0-9a-fA-F]{{32}}|(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}"
+_HINT = rf"[0-9@]|A[KS]IA|[0-9a-fA-F]{{32}}|(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}"
 
 
 def entities(text: Column) -> Column:
@@ -66,8 +69,12 @@ def canonical(entity: Column) -> Column:
     digits = F.regexp_replace(entity, "[^0-9]", "")
     bare = F.regexp_replace(entity, rf"^(?:{'|'.join(MALE + FEMALE)})\.? ", "")
     title = F.when(entity.rlike(rf"^(?:{'|'.join(FEMALE)})[. ]"), F.lit("f:")).otherwise(F.lit("m:"))
-    value = F.when(what.isin("phone", "card", "ssn"), digits).when(what.isin("email", "secret"), F.lower(entity)).when(what == "ip", entity).otherwise(F.concat(title, bare))
-    return F.concat(what, F.lit(":"), value)
+    value = (
+        F.when(what.isin("phone", "card", "ssn"), digits).when(what.isin("email", "secret"), F.lower(entity)).when(what == "ip", entity)
+        .when(what == "key", F.lower(F.regexp_replace(entity, f"^{_KEY_NAME}", ""))).when(what == "cloud", F.lower(F.substring(entity, 5, 99))).otherwise(F.concat(title, bare))
+    )
+    # a secret is the same whether a name stands before it or not
+    return F.concat(F.when(what == "key", "secret").otherwise(what), F.lit(":"), value)
 
 
 def _substituted(value: Column, stream: Column, hexadecimal: Column) -> Column:
@@ -155,9 +162,13 @@ def _written(mention: Column, target: Column) -> Column:
         ),
         "",
     )
-    cased = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substring(bare, i + 1, F.lit(1)))).otherwise(F.substring(bare, i + 1, F.lit(1)))), "")
+    # a key keeps its name, and a cloud key the letters that mark it as one
+    before = F.when(what == "secret", F.regexp_extract(mention, f"^{_KEY_NAME}", 0)).when(what == "cloud", F.substring(mention, 1, 4)).otherwise(F.lit(""))
+    rest = F.substring(mention, F.length(before) + 1, F.length(mention))
+    letter = lambda i: F.substring(bare, i + 1, F.lit(1))
+    cased = F.concat(before, F.array_join(F.transform(F.split(rest, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(letter(i))).otherwise(letter(i))), ""))
     title = F.regexp_extract(mention, rf"^(?:{'|'.join(MALE + FEMALE)})\.? ", 0)
-    return F.when(what.isin("phone", "card", "ssn"), digits).when(what.isin("email", "secret"), cased).when(what == "ip", bare).otherwise(F.concat(title, bare))
+    return F.when(what.isin("phone", "card", "ssn"), digits).when(what.isin("email", "secret", "cloud"), cased).when(what == "ip", bare).otherwise(F.concat(title, bare))
 
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
