@@ -120,3 +120,17 @@ def prompt_user(task: str, title: Column, text: Column, max_words: int = 600, ma
 
 def version_of(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
+
+
+def example_prompt(instructions: str, exemplar: str, answer: str, posting: Column, raw: bool = True) -> Column:
+    """Instructions, one solved example and the posting; the flat form ends in a fixed boundary line."""
+    shown = f"{instructions}\n\n=== EXAMPLE ===\n{exemplar}\n\nCORRECT SUMMARY:\n{answer}\n=== END EXAMPLE ===\n\nNow summarize this opportunity the same way:\n\n"
+    if raw:
+        return F.concat(F.lit(shown + "OPPORTUNITY:\n"), posting, F.lit("\n\nTARGET OUTPUT:\n"))
+    return F.concat(F.lit(shown), posting)
+
+
+def category_index(category: Column) -> Column:
+    """The place of a category in the taxonomy from 0, or null."""
+    at = F.array_position(F.array(*map(F.lit, C.CATEGORIES)), category)
+    return F.when(at > 0, (at - 1).cast("int"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loamwork import constants as C
 from loamwork.functions import arrow, hashing, text
-from loamwork.operators.pick import best_annotation, latest
+from loamwork.operators.pick import best_annotation, last, latest
 
 ANSWER = "primary_category string, secondary_plausible_categories array<string>, classification_ambiguity double, summary string, ambiguity_score double"
 HUMAN = ["approved", "approve", "corrected"]
@@ -265,3 +265,16 @@ def noul_items(records: DataFrame, annotations: DataFrame) -> DataFrame:
     has_family = F.col("_other").isin(list(C.NOUL_NEIGHBOURS))
     each = asked.select("record_id", "source_id", F.substring("clean_text", 1, 6000).alias("state"), F.explode(F.when(has_family, F.array(positive, negative, dated)).otherwise(F.array(positive))).alias("i"))
     return each.select("record_id", "source_id", "state", "i.*", F.concat_ws(":", F.col("record_id").cast("string"), F.col("i.family"), F.col("i.target").cast("string")).alias("item_id"))
+
+
+def disputed(verdicts: DataFrame) -> DataFrame:
+    """The last verdict of each record that a verifier disagreed with."""
+    return last(verdicts.where(~F.coalesce("agreement", F.lit(True))))
+
+
+def training_rows(split: DataFrame, task: str, first: int | None = None) -> DataFrame:
+    """(text, label index) or (prompt, completion), all or the first rows by record id."""
+    rows = split if first is None else split.orderBy("record_id").limit(first)
+    if task == "classify":
+        return rows.select(F.col("input").alias("text"), text.category_index(F.col("target")).alias("label"))
+    return rows.select(F.col("input").alias("prompt"), F.col("target").alias("completion"))

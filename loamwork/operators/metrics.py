@@ -47,6 +47,11 @@ def valid(p: Column) -> Column:
     return ~F.exists(p, lambda x: F.isnan(x) | x.isNull())
 
 
+def in_order(probabilities: Column, categories: list[str]) -> Column:
+    """A map of category to probability as an array in this order; 0 for what it lacks."""
+    return F.array(*[F.coalesce(F.element_at(probabilities, c), F.lit(0.0)) for c in categories])
+
+
 def confusion(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("y", "predicted").agg(F.count("*").alias("n"))
 

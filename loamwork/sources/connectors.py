@@ -190,6 +190,13 @@ def get_collector(method: str) -> Callable:
     return COLLECTORS[method]
 
 
+def feed_probe(responses: DataFrame) -> DataFrame:
+    """(source_id, rss_url, kind, entries) of the first of a source's feed candidates that has entries."""
+    probed = responses.where("status = 200").select("source_id", "url", "page", F.size(F.from_json(feed_items("text"), ITEM)).alias("entries"), F.when(F.col("text").contains("<rss"), "rss").otherwise("atom").alias("kind"))
+    ranked = probed.where("entries > 0").withColumn("_n", F.row_number().over(Window.partitionBy("source_id").orderBy("page")))
+    return ranked.where("_n = 1").select("source_id", F.col("url").alias("rss_url"), "kind", "entries")
+
+
 def provision_recipe(source_id: str, method: str, per_page: int = 50) -> dict | None:
     """A recipe for a source that has none; listings need selectors, which nobody can guess."""
     if method not in ("wp_rest", "rss"):
