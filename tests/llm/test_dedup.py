@@ -1,15 +1,16 @@
 import collections
 import hashlib
+import os
 import random
-import string
+import sys
 
+import numpy as np
 import pytest
-import xxhash
 
 from loamwork.llm import line_dedup, simhash_dedup, substring_dedup
 
-LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
-BLANK = " \t\n\x0b\x0c\r"
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+import brute  # noqa: E402
 
 
 def texts(df):
@@ -17,18 +18,7 @@ def texts(df):
 
 
 def test_lines(odd):
-    rows = texts(odd)
-    key = lambda line: line.translate(LOWER).strip(BLANK)
-    holders = collections.defaultdict(set)
-    for doc_id, text in rows:
-        for line in (text or "").split("\n"):
-            if doc_id is not None and len(key(line)) >= 40:
-                holders[key(line)].add(doc_id)
-    expected = collections.Counter()
-    for doc_id, text in rows:
-        lines = (text or "").split("\n")
-        kept = [x for x in lines if doc_id is None or not (len(h := holders.get(key(x), set())) >= 5 and max(h) != doc_id)]
-        expected[doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)] += 1
+    expected = collections.Counter(brute.lines(texts(odd)))
     found = line_dedup.dedup_lines(odd)
     assert {"slot", "block"} < set(found.columns)
     assert collections.Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in found.collect()) == expected
@@ -42,8 +32,6 @@ def test_line_groups_across_partitions_and_batches():
     for a, _, d, _ in rows:
         docs[a].add(-d)
     expected = sorted((-d, p) for a, _, d, p in rows if len(docs[a]) >= 5 and -d != max(docs[a]))
-    import numpy as np
-
     for cuts in ([], [100], [3, 4, 9, 250, 251], list(range(7, 400, 7))):
         whole = [i for i in cuts if i >= len(rows) or rows[i - 1][:3] != rows[i][:3]]
         parts = [rows[a:b] for a, b in zip([0, *whole], [*whole, len(rows)], strict=True) if rows[a:b]]
@@ -70,28 +58,9 @@ def test_bitmaps_are_compressed_and_partial(odd):
     assert line_dedup.kept_text(b"a\nb\nc", None) == (b"a\nb\nc", 0)
 
 
-def plain_simhash(text):
-    words = [w for w in (text or "").translate(LOWER).replace("\x0b", " ").replace("\x0c", " ").replace("\t", " ").replace("\r", " ").replace("\n", " ").split(" ") if w]
-    grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
-    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
 def test_simhash_components(odd):
-    rows = texts(odd)
-    fps = {t: plain_simhash(t) for _, t in rows}
-    reach = {}
-    for doc_id, text in rows:
-        seen, todo = {fps[text]}, [fps[text]]
-        while todo:
-            x = todo.pop()
-            for y in fps.values():
-                if y not in seen and (x ^ y).bit_count() <= 2:
-                    seen.add(y)
-                    todo.append(y)
-        reach[doc_id, text] = min(d for d, t in rows if d is not None and fps[t] in seen)
     found = simhash_dedup.near_duplicates(odd).collect()
-    assert collections.Counter((r["doc_id"], r["fp"] % 2**64, r["component_id"]) for r in found) == collections.Counter((d, fps[t], reach[d, t]) for d, t in rows)
+    assert collections.Counter((r["doc_id"], r["fp"] % 2**64, r["component_id"]) for r in found) == collections.Counter(brute.components(texts(odd)))
 
 
 @pytest.mark.parametrize("bucket", [256, 2])
