@@ -32,12 +32,6 @@ def normalize(records: DataFrame, english_only: bool = True) -> DataFrame:
     return classify(records).where(F.col("outcome").isin(wanted)).drop("outcome")
 
 
-def hash_edges(records: DataFrame) -> DataFrame:
-    """(a, b): each record and the first one with its content hash; a star for each hash, not a clique."""
-    least = records.groupBy("content_hash").agg(F.min("seq").alias("a"))
-    return records.join(least, "content_hash").where("seq <> a").select("a", F.col("seq").alias("b"))
-
-
 def title_blocks(records: DataFrame) -> DataFrame:
     """(seq, t, word, bucket): the normalized title and the block it is compared in."""
     titled = records.select("seq", text.normalize_title(F.col("title")).alias("t")).where("t <> ''")
@@ -69,11 +63,14 @@ def title_edges(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> Dat
 
 def duplicate_groups(records: DataFrame, titles: bool = True) -> DataFrame:
     """`records` with group_id (the least seq of the group), group_size and is_canonical."""
-    edges = hash_edges(records)
+    # copies are one node, so that only links between different texts are followed
+    keyed = records.withColumn("_copy", F.coalesce("content_hash", F.concat(F.lit("none:"), F.col("seq").cast("string"))))
+    grouped = keyed.join(keyed.groupBy("_copy").agg(F.min("seq").alias("group_id")), "_copy").drop("_copy")
     if titles:
-        edges = edges.unionByName(title_edges(records))
-    parts = connected_components(edges).select(F.col("node").alias("seq"), "component")
-    grouped = records.join(parts, "seq", "left").withColumn("group_id", F.coalesce("component", "seq")).drop("component")
+        own = grouped.select("seq", "group_id")
+        linked = title_edges(records).join(own.toDF("a", "ga"), "a").join(own.toDF("b", "gb"), "b").select("ga", "gb")
+        parts = connected_components(linked, "ga", "gb").toDF("group_id", "component")
+        grouped = grouped.join(parts, "group_id", "left").withColumn("group_id", F.coalesce("component", "group_id")).drop("component")
     group = Window.partitionBy("group_id")
     best = group.orderBy(text.word_count(F.col("clean_text")).desc(), F.coalesce(F.nullif(F.col("published_at"), F.lit("")), F.lit("9999-12-31")), "seq")
     return grouped.withColumn("group_size", F.count("*").over(group)).withColumn("is_canonical", F.row_number().over(best) == 1)
