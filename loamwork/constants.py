@@ -58,7 +58,7 @@ AUDIT_OVERSAMPLE = {"fellowships": 20, "phd": 20, "postdoc": 20, "grants": 20, "
 SEED = 42
 UNSEEN_FRACTION = 0.15
 SUMMARY_SECTIONS = ["DEADLINE", "MANDATORY", "RESTRICTIONS", "TARGET GROUP", "FUNDING", "APPLICATION", "SUMMARY"]
-#: UUID namespace of record ids: version 5, of the URL namespace and "opportunity-intelligence/records/v1".
+#: The UUID namespace of record ids, in hexadecimal.
 RECORD_NAMESPACE = "f99a8ffcecd9556c85b5a8ae8acd0a3b"
 RAW_TEXT_LIMIT = 400_000
 NOUL_NEIGHBOURS = {
