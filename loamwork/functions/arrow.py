@@ -86,7 +86,12 @@ def similarity(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
 
 
 def longest_common(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence, a row of the table at a time."""
+    """Length of the longest common subsequence, a row of the table at a time.
+
+    What both begin with is counted first: some longest one always holds it whole.
+    """
+    same = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    a, b = a[same:], b[same:]
     number = {w: i for i, w in enumerate(dict.fromkeys(b))}
     other = np.array([number[w] for w in b])
     row = np.zeros(len(b) + 1, np.int32)
@@ -94,7 +99,7 @@ def longest_common(a: list[str], b: list[str]) -> int:
         if w in number:
             step = np.maximum(row[1:], row[:-1] + (other == number[w]))
             row[1:] = np.maximum.accumulate(step)
-    return int(row[-1])
+    return same + int(row[-1])
 
 
 def rouge_f1(text: str | None, reference: str | None) -> float:

@@ -106,8 +106,7 @@ def q_provider_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = records(spark, sf_dir).where(text.word_count(F.col("clean_text")) <= 500)
-    return r.select("record_id", F.round(arrow.rouge_l(F.col("title"), F.col("clean_text")), 6).alias("rouge_l"))
+    return records(spark, sf_dir).select("record_id", F.round(arrow.rouge_l(F.col("title"), F.col("clean_text")), 6).alias("rouge_l"))
 
 
 def q_summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
