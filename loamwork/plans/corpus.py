@@ -31,9 +31,15 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups by content hash alone, which SQL can follow."""
     return curation.duplicate_groups(records(spark, sf_dir), titles=False)
 
 
+def linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups by content hash and by near titles."""
+    return curation.duplicate_groups(records(spark, sf_dir))
+
+
 _BLANK = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 _ENGLISH = "[" + ", ".join(f"'{w}'" for w in C.ENGLISH) + "]"
 _REC = """rec AS (SELECT doc_id AS seq, CAST(doc_id AS VARCHAR) AS record_id, source AS source_id, split_part(coalesce(text, ''), chr(10), 1) AS title, coalesce(text, '') AS body,
@@ -125,13 +131,33 @@ def q_near_title_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dedupe_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curation.duplicate_groups(records(spark, sf_dir)).select("record_id", "group_id", "group_size", "is_canonical")
+    return linked(spark, sf_dir).select("record_id", "group_id", "group_size", "is_canonical")
 
 
 def q_freeze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.freeze_summary(grouped(spark, sf_dir)).drop("content_xor")
 
 
+def q_dup_histogram_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.size_histogram(linked(spark, sf_dir))
+
+
+def q_dedupe_summary_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.dedupe_summary(linked(spark, sf_dir))
+
+
+def q_canonical_record_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.canonical_records(linked(spark, sf_dir)).select("record_id", "duplicate_group_size")
+
+
+def q_group_evidence_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.group_evidence(linked(spark, sf_dir)).select("canonical_record_id", "size", F.array_join(F.transform("members", lambda m: m["record_id"]), ",").alias("members"))
+
+
+def q_freeze_manifest_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.freeze_summary(linked(spark, sf_dir)).drop("content_xor")
+
+
 def q_source_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.source_distribution(records(spark, sf_dir)).select("source_id", "n", F.round("share", 6).alias("share"), F.col("place").cast("long").alias("place"))
 
@@ -185,6 +211,14 @@ def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_group_split(spark, sf_dir).groupBy("split").agg(F.count("*").alias("n"))
 
 
+def q_group_split_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.assign_splits(linked(spark, sf_dir), "classify").select("record_id", "split")
+
+
+def q_split_counts_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q_group_split_full(spark, sf_dir).groupBy("split").agg(F.count("*").alias("n"))
+
+
 def q_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = records(spark, sf_dir)
     return r.select("record_id", *[F.sha1(text.prompt_user(t, F.col("title"), F.col("clean_text"))).alias(t) for t in ("summarize", "classify")])
@@ -219,7 +253,8 @@ final AS (SELECT record_id, CASE WHEN spot < floor(total * 0.8) THEN 'train' WHE
 
 QUERIES = {f.__name__: f for f in (
     q_normalize_by_source, q_normalize_outcomes, q_normalized_records, q_record_keys, q_record_id_uuid5, q_exact_dup_groups, q_dup_histogram, q_dedupe_summary, q_canonical_record,
-    q_group_evidence, q_title_blocks, q_block_candidate_pairs, q_near_title_edges, q_dedupe_full, q_freeze_manifest, q_source_distribution, q_term_counts, q_title_signals, q_signal_coverage,
+    q_group_evidence, q_title_blocks, q_block_candidate_pairs, q_near_title_edges, q_dedupe_full, q_freeze_manifest,
+    q_dup_histogram_full, q_dedupe_summary_full, q_canonical_record_full, q_group_evidence_full, q_freeze_manifest_full, q_group_split_full, q_split_counts_full, q_source_distribution, q_term_counts, q_title_signals, q_signal_coverage,
     q_audit_sample, q_stratified_pilot, q_length_percentiles, q_token_stats, q_heldout_sources, q_group_split, q_split_counts, q_prompts, q_section_compliance, q_resume_pending, q_registry, q_last_of_nation,
 )}
 

@@ -1,9 +1,13 @@
 """Queries answer for all of their input, long texts and near copies included."""
 
+import collections
+import difflib
 import random
+import re
 
 import pytest
 
+from loamwork import constants as C
 from loamwork.functions import arrow
 from loamwork.plans import registry
 
@@ -32,3 +36,51 @@ def test_longest_common_equals_the_whole_table():
             for j, y in enumerate(b):
                 table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
         assert arrow.longest_common(a, b) == table[-1][-1]
+
+
+def brute_groups(texts):
+    """The least index that each text is linked to, by equal texts and by near titles of a block."""
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def title(t):
+        plain = re.sub(C.TITLE_NOISE, " ", re.sub("[^a-z0-9 ]+", " ", t.split("\n")[0].lower()))
+        return re.sub(" +", " ", plain).strip()
+
+    titles = [title(t) for t in texts]
+    for j, b in enumerate(titles):
+        for i, a in enumerate(titles[:j]):
+            same = " ".join(texts[i].lower().split()) == " ".join(texts[j].lower().split())
+            block = a and b and a.split()[0][:12] == b.split()[0][:12] and len(a) // 10 == len(b) // 10
+            if same or (block and difflib.SequenceMatcher(None, a, b).ratio() >= C.TITLE_THRESHOLD):
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    return [find(i) for i in range(len(texts))]
+
+
+def test_full_queries_link_near_titles(spark, tmp_path):
+    rng = random.Random(6)
+    names = ["".join(rng.choice("abcdefghijklmnop") for _ in range(8)) for _ in range(12)]
+    titles = [f"{n} grant for the study of rivers and lakes {k}" for n in names for k in ("in europe", "in Europe!", "in europa", "of the far north")]
+    texts = [f"{t}\n" + "body " * rng.randrange(3, 9) + str(rng.randrange(2)) for t in titles] + [f"{titles[0]}\nx"] * 3 + ["", ""]
+    rng.shuffle(texts)
+    where, groups = written(spark, tmp_path, texts), brute_groups(texts)
+    members = collections.defaultdict(list)
+    for i, g in enumerate(groups):
+        members[g].append(i)
+    best = {g: min(m, key=lambda i: (-len(texts[i].split()), i % 28, i)) for g, m in members.items()}
+    run = lambda name: [tuple(r) for r in registry.queries()[name](spark, where).collect()]
+    sizes = [len(m) for m in members.values()]
+    assert len(members) < len(set(texts)) and set(run("q_dup_histogram_full")) == set(collections.Counter(sizes).items())
+    assert run("q_dedupe_summary_full") == [(len(texts), len(members), len(texts) - len(members), sum(len({i % 3 for i in m}) > 1 for m in members.values()))]
+    assert set(run("q_canonical_record_full")) == {(str(best[g]), len(m)) for g, m in members.items()}
+    assert set(run("q_group_evidence_full")) == {(str(best[g]), len(m), ",".join(map(str, m))) for g, m in members.items()}
+    merged = [n for n in sizes if n > 1]
+    assert run("q_freeze_manifest_full") == [(len(members), len({i % 3 for i in best.values()}), len(merged), sum(merged))]
+    split = dict(run("q_group_split_full"))
+    assert len(split) == len(texts) and all(len({split[str(i)] for i in m}) == 1 for m in members.values())
+    assert set(run("q_split_counts_full")) == set(collections.Counter(split.values()).items())
