@@ -38,9 +38,10 @@ _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 #: In order of precedence. None can match across a line.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "key": rf"{_KEY_NAME}(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{{8,256}}",
+    # up to its end, which a full stop is not part of
+    "key": rf"{_KEY_NAME}(?=[A-Za-z_+/.=~-]*+[0-9])[A-Za-z0-9_+/.=~-]{{8,}}(?<!\.)",
     "cloud": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])|(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{4,}+(?:\.[A-Za-z0-9_-]++|\.(?=\.))(?:\.[A-Za-z0-9_-]++){0,3}+",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -48,7 +49,7 @@ PATTERNS = {
     "name": rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? {_NAME}(?: {_NAME})?(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-_HINT = rf"[0-9@]|A[KS]IA|[0-9a-fA-F]{{32}}|(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}"
+_HINT = rf"[0-9@]|A[KS]IA|eyJ|[0-9a-fA-F]{{32}}|(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}"
 
 
 def entities(text: Column) -> Column:
@@ -165,8 +166,8 @@ def _written(mention: Column, target: Column) -> Column:
     # a key keeps its name, and a cloud key the letters that mark it as one
     before = F.when(what == "secret", F.regexp_extract(mention, f"^{_KEY_NAME}", 0)).when(what == "cloud", F.substring(mention, 1, 4)).otherwise(F.lit(""))
     rest = F.substring(mention, F.length(before) + 1, F.length(mention))
-    letter = lambda i: F.substring(bare, i + 1, F.lit(1))
-    cased = F.concat(before, F.array_join(F.transform(F.split(rest, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(letter(i))).otherwise(letter(i))), ""))
+    # both are cut up once, so that a long secret costs no more a letter than a short one
+    cased = F.concat(before, F.array_join(F.zip_with(F.split(rest, ""), F.split(bare, ""), lambda c, x: F.when(c.rlike("[A-Z]"), F.upper(x)).otherwise(x)), ""))
     title = F.regexp_extract(mention, rf"^(?:{'|'.join(MALE + FEMALE)})\.? ", 0)
     return F.when(what.isin("phone", "card", "ssn"), digits).when(what.isin("email", "secret", "cloud"), cased).when(what == "ip", bare).otherwise(F.concat(title, bare))
 

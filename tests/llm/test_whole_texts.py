@@ -1,0 +1,27 @@
+"""Operators read texts of every length and shape to their end."""
+
+import random
+import re
+
+from loamwork.llm import pii
+
+
+def replaced(spark, texts):
+    return [r["text"] for r in pii.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+
+
+def test_secrets_to_their_end(spark):
+    rng = random.Random(4)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    base64 = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-"
+    hexadecimal, longest = word("0123456789abcdef", 512), word("0123456789abcdef", 20000)
+    token = f"eyJ{word(base64, 33)}9.eyJ{word(base64, 200)}.{word(base64, 342)}7"
+    padded = f"{word(base64, 300)}5~+/=="
+    texts = [f"x token = \"{hexadecimal}\" y", f"x {hexadecimal} y", f"x token={token}. Y", f"x {token}. Y", f"x {longest} y", f"x secret: {padded} y"]
+    found = replaced(spark, texts)
+    for before, after, secret in zip(texts, found, [hexadecimal, hexadecimal, token, token, longest, padded], strict=True):
+        at = before.index(secret)
+        assert len(after) == len(before) and after[:at] == before[:at] and after[at + len(secret) :] == before[at + len(secret) :]
+        assert all((a != b) == b.isalnum() for a, b in zip(after[at : at + len(secret)], secret, strict=True))
+    assert re.findall("[0-9a-f]{512}", found[0]) == re.findall("[0-9a-f]{512}", found[1])
+    assert found[2].split("=")[1] == found[3][2:]
