@@ -3,6 +3,8 @@
 Detected entities get keyed replacements of their own kind: digits become digits, letters become
 letters of the same case and script, mail stays mail, an address of four octets stays one, a card
 number keeps its checksum's remainder, and a name after a title becomes a name of that title's gender.
+Given names and the family's have surrogates of their own, so that shorter mentions get the matching
+part; a document's words that are part of one of its titled names are replaced without a title too.
 
 A surrogate depends on the key and the entity's canonical form (digits of a number, lower case of an
 address or secret), so that every mention of an entity gets the same surrogate in its own format. All
@@ -34,7 +36,10 @@ SYLLABLES = ["bal", "cor", "dan", "fel", "gar", "hol", "jan", "kel", "lan", "mor
 _BLOCKS = [(97, 122), (65, 90), (0xE0, 0xF6), (0xC0, 0xD6), (0x3B1, 0x3C9), (0x391, 0x3A1), (0x430, 0x44F), (0x410, 0x42F)]
 _KEY_NAME = r"(?i:passwor[dt]|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']? ?[=:] ?[\"']?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
+_NAME = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}++(?:\p{Lu}\p{Ll}++)?(?:-\p{Lu}\p{Ll}++)*+(?!\p{L})"
+_INITIAL = r"\p{Lu}\.(?= \p{Lu})"
+#: A text in words, with what untitled names may hold, and what stands between words.
+_WORD = r"\p{L}++(?:['’-]\p{Lu}\p{L}++)*+|\P{L}++"
 #: In order of precedence. None can match across a line.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
@@ -46,7 +51,7 @@ PATTERNS = {
     "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])[0-9]{13,19}(?![0-9])|(?<![0-9]|[0-9][ -])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![ -]?[0-9])",
-    "name": rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? {_NAME}(?: {_NAME})?(?!\p{{L}})",
+    "name": rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? (?:{_NAME}|{_INITIAL})(?: (?:{_NAME}|{_INITIAL}))*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _HINT = rf"[0-9@]|A[KS]IA|eyJ|[0-9a-fA-F]{{32}}|(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}"
@@ -64,15 +69,30 @@ def kind(entity: Column) -> Column:
     return found
 
 
+def _title(entity: Column) -> Column:
+    return F.regexp_extract(entity, rf"^(?:{'|'.join(MALE + FEMALE)})\.? ", 0)
+
+
+def _parts(entity: Column) -> Column:
+    """(form, word) of each part of a titled name: given names, then the family's; an initial has no form."""
+    gender = F.when(entity.rlike(rf"^(?:{'|'.join(FEMALE)})[. ]"), F.lit("f:")).otherwise(F.lit("m:"))
+    words = F.split(F.substring(entity, F.length(_title(entity)) + 1, F.length(entity)), " ")
+    form = lambda w, i: F.when(~w.endswith("."), F.concat(F.when(i == F.size(words) - 1, "name:").otherwise("given:"), gender, w))
+    return F.transform(words, lambda w, i: F.struct(form(w, i).alias("form"), w.alias("word")))
+
+
+def forms(entity: Column) -> Column:
+    """The canonical forms that a mention is replaced by: one, or those of a name's parts."""
+    return F.when(kind(entity) == "name", F.array_compact(F.transform(_parts(entity), lambda x: x["form"]))).otherwise(F.array(canonical(entity)))
+
+
 def canonical(entity: Column) -> Column:
-    """The kind and what all mentions of the entity have in common."""
+    """The kind and what all mentions of an entity that is no name have in common."""
     what = kind(entity)
     digits = F.regexp_replace(entity, "[^0-9]", "")
-    bare = F.regexp_replace(entity, rf"^(?:{'|'.join(MALE + FEMALE)})\.? ", "")
-    title = F.when(entity.rlike(rf"^(?:{'|'.join(FEMALE)})[. ]"), F.lit("f:")).otherwise(F.lit("m:"))
     value = (
         F.when(what.isin("phone", "card", "ssn"), digits).when(what.isin("email", "secret"), F.lower(entity)).when(what == "ip", entity)
-        .when(what == "key", F.lower(F.regexp_replace(entity, f"^{_KEY_NAME}", ""))).when(what == "cloud", F.lower(F.substring(entity, 5, 99))).otherwise(F.concat(title, bare))
+        .when(what == "key", F.lower(F.regexp_replace(entity, f"^{_KEY_NAME}", ""))).when(what == "cloud", F.lower(F.substring(entity, 5, 99)))
     )
     # a secret is the same whether a name stands before it or not
     return F.concat(F.when(what == "key", "secret").otherwise(what), F.lit(":"), value)
@@ -115,16 +135,18 @@ def draw(named: DataFrame, key: str) -> DataFrame:
     # the last digit moves the remainder by as much as it changes, so that the wanted remainder can be met
     last = F.pmod(F.substring(F.col("_plain"), -1, 1).cast("int") + _luhn(value) - _luhn(F.col("_plain")), F.lit(10)).cast("string")
     syllables = F.transform(F.sequence(F.lit(1), F.lit(3) + F.floor(F.col("nonce") / 4).cast("int")), lambda i: pick(SYLLABLES, i))
-    given = F.when(F.startswith(value, F.lit("f:")), pick(FEMALE_NAMES, 0)).otherwise(pick(MALE_NAMES, 0))
-    name = F.concat(F.when(value.contains(" "), F.concat(given, F.lit(" "))).otherwise(F.lit("")), F.initcap(F.array_join(syllables, "")))
+    name = F.initcap(F.array_join(syllables, ""))
+    listed = F.when(F.startswith(value, F.lit("f:")), pick(FEMALE_NAMES, 0)).otherwise(pick(MALE_NAMES, 0))
+    # when the listed names are used up, others are made
+    given = F.when(F.col("nonce") < 4, listed).otherwise(name)
     latin = value.rlike(r"^[mf]:[\p{IsLatin} -]+$")
     what = F.col("_kind")
     target = (
         F.when(what == "email", F.concat(_substituted(F.regexp_replace(value, "[.][a-z]+$", ""), stream, F.lit(False)), top))
         .when(what == "ip", F.array_join(octets, "."))
         .when(what == "card", F.concat(F.expr("left(_plain, length(_plain) - 1)"), last))
-        .when((what == "name") & latin, F.concat(F.substring(value, 1, 2), name))
-        .when(what == "name", F.concat(F.substring(value, 1, 2), _substituted(F.expr("substring(_value, 3)"), stream, F.lit(False))))
+        .when(what.isin("name", "given") & latin, F.concat(F.substring(value, 1, 2), F.when(what == "given", given).otherwise(name)))
+        .when(what.isin("name", "given"), F.concat(F.substring(value, 1, 2), _substituted(F.expr("substring(_value, 3)"), stream, F.lit(False))))
         .otherwise(F.col("_plain"))
     )
     return (
@@ -168,8 +190,23 @@ def _written(mention: Column, target: Column) -> Column:
     rest = F.substring(mention, F.length(before) + 1, F.length(mention))
     # both are cut up once, so that a long secret costs no more a letter than a short one
     cased = F.concat(before, F.array_join(F.zip_with(F.split(rest, ""), F.split(bare, ""), lambda c, x: F.when(c.rlike("[A-Z]"), F.upper(x)).otherwise(x)), ""))
-    title = F.regexp_extract(mention, rf"^(?:{'|'.join(MALE + FEMALE)})\.? ", 0)
-    return F.when(what.isin("phone", "card", "ssn"), digits).when(what.isin("email", "secret", "cloud"), cased).when(what == "ip", bare).otherwise(F.concat(title, bare))
+    return F.when(what.isin("phone", "card", "ssn"), digits).when(what.isin("email", "secret", "cloud"), cased).when(what == "ip", bare)
+
+
+def _bare(target: Column) -> Column:
+    return F.regexp_replace(target, "^[a-z]+:[mf]:", "")
+
+
+def _renamed(mention: Column, targets: Column) -> Column:
+    """A titled name with the surrogate of each part; an initial becomes X."""
+    words = F.transform(_parts(mention), lambda x: F.when(x["form"].isNull(), F.lit("X.")).otherwise(_bare(F.element_at(targets, x["form"]))))
+    return F.concat(_title(mention), F.array_join(words, " "))
+
+
+def _untitled(word: Column, targets: Column) -> Column:
+    """The surrogate of a word that is part of a titled name of its document, or null."""
+    known = F.coalesce(*[F.element_at(targets, F.concat(F.lit(k), word)) for k in ("name:m:", "name:f:", "given:m:", "given:f:")])
+    return F.when(word.rlike(r"^\p{Lu}"), _bare(known))
 
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -181,16 +218,23 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     named n_entities is replaced. An empty table gives an empty result.
     """
     docs = docs.drop("n_entities")
-    mentions = docs.select("doc_id", F.explode(F.array_distinct(F.transform(entities(F.col("text")), canonical))).alias("entity"))
+    mentions = docs.select("doc_id", F.explode(F.array_distinct(F.flatten(F.transform(entities(F.col("text")), forms)))).alias("entity"))
     mentions = cut(mentions)
     known = mentions.join(surrogates(mentions, key), "entity").groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("entity", "target"))).alias("_targets"))
     known = known.withColumnRenamed("doc_id", "_id")
     joined = docs.join(known, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
     cut_up = joined.withColumn("_mentions", F.when(F.col("_targets").isNotNull(), entities(F.col("text")))).withColumn("_between", F.when(F.size("_mentions") > 0, F.split("text", ANY, -1)))
-    rest = F.transform("_mentions", lambda m, i: F.concat(_written(m, F.element_at(F.col("_targets"), canonical(m))), F.get("_between", i + 1)))
+    # only texts with a titled name are cut into words
+    targets = F.col("_targets")
+    named = F.exists(F.map_keys(targets), lambda k: F.startswith(k, F.lit("name:")) | F.startswith(k, F.lit("given:")))
+    cut_up = cut_up.withColumn("_found", F.when(named & F.col("_between").isNotNull(), F.transform("_between", lambda x: F.transform(F.regexp_extract_all(x, F.lit(_WORD), F.lit(0)), lambda w: F.struct(w.alias("word"), _untitled(w, targets).alias("new"))))))
+    cut_up = cut_up.withColumn("_between", F.when(F.col("_found").isNotNull(), F.transform("_found", lambda x: F.array_join(F.transform(x, lambda w: F.coalesce(w["new"], w["word"])), ""))).otherwise(F.col("_between")))
+    cut_up = cut_up.withColumn("_more", F.coalesce(F.size(F.filter(F.flatten("_found"), lambda w: w["new"].isNotNull())), F.lit(0)))
+    new = lambda m: F.when(kind(m) == "name", _renamed(m, targets)).otherwise(_written(m, F.element_at(targets, canonical(m))))
+    rest = F.transform("_mentions", lambda m, i: F.concat(new(m), F.get("_between", i + 1)))
     text = F.when(F.col("_between").isNotNull(), F.concat(F.get("_between", F.lit(0)), F.array_join(rest, ""))).otherwise(F.col("text"))
     columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return cut_up.select(*columns, F.coalesce(F.when(F.size("_mentions") > 0, F.size("_mentions")), F.lit(0)).cast("long").alias("n_entities"))
+    return cut_up.select(*columns, F.coalesce(F.when(F.size("_mentions") > 0, F.size("_mentions") + F.col("_more")), F.lit(0)).cast("long").alias("n_entities"))
 
 
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

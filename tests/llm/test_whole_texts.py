@@ -25,3 +25,18 @@ def test_secrets_to_their_end(spark):
         assert all((a != b) == b.isalnum() for a, b in zip(after[at : at + len(secret)], secret, strict=True))
     assert re.findall("[0-9a-f]{512}", found[0]) == re.findall("[0-9a-f]{512}", found[1])
     assert found[2].split("=")[1] == found[3][2:]
+
+
+def test_names_whole_and_in_parts(spark):
+    texts = [
+        "Mr. John Ronald Smith came. Mr. Smith and Mr. John Smith left; Smith's hat, John Smith, Smithson and smith.", "Smith and John without a title",
+        "Mrs. Anna O'Brien, Herr J. R. McDonald, Frau Ivanova-Petrova Schmidt.", *[f"Mr. {a}{b}o Jones" for a in "BCDFGHKLMN" for b in "aeiou"],
+    ]
+    rows = pii.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    found = [r["text"] for r in rows]
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) (\w+) came\. Mr\. (\w+) and Mr\. (\w+) (\w+) left; (\w+)'s hat, (\w+) (\w+), Smithson and smith\.", found[0])
+    assert m and m[3] == m[4] == m[6] == m[7] == m[9] and m[1] == m[5] == m[8]
+    assert not {"John", "Ronald", "Smith"} & set(m.groups()) and len({m[1], m[2], m[3]}) == 3
+    assert rows[0]["n_entities"] == 6 and found[1] == texts[1]
+    assert re.fullmatch(r"Mrs\. \w+ \S+, Herr X\. X\. \w+, Frau \S+ \w+\.", found[2]) and not re.search("Anna|Brien|McDonald|Petrova|Schmidt", found[2])
+    assert len(set(found[3:])) == 50 and len({t.split()[2] for t in found[3:]}) == 1
