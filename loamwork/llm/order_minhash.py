@@ -6,9 +6,10 @@ first. Every element gets a hash; its top six bits choose one of 64 buckets (one
 stand in the text and hashed as a tuple, so that moving text changes a fingerprint as editing does.
 The share of equal buckets falls with the edit distance.
 
-K-mers are pairs of words, or of four characters in texts under 256 code points, where pairs of words
-are too few to tell an edit from another text. Hashes are packed into longs with positions in the low
-24 bits, which sorts as a primitive array; in a text of over 16.7 million words positions wrap, which
+K-mers are pairs of pieces in texts of every length. A piece is a word; words are cut after a few rare
+characters and after twelve at most, and letters of scripts without blanks are pieces of their own, so
+that an edit of a text without blanks changes the pieces near it only. Hashes are packed into longs with positions in the low
+24 bits, which sorts as a primitive array; in a text of over 16.7 million pieces positions wrap, which
 can only turn the order within a tuple.
 """
 
@@ -19,27 +20,24 @@ from pyspark.sql import functions as F
 
 from loamwork.llm.common import documents, text_or_empty
 
-SHORT = 256
-CHARS = 4
 BUCKET_BITS = 6
 _POSITION = (1 << 24) - 1
-_WORDS = r"[\\x20\\x09-\\x0D]+"
+_ALONE = r"\\x{0E00}-\\x{0EFF}\\x{2E80}-\\x{D7AF}\\x{F900}-\\x{FAFF}\\x{20000}-\\x{3FFFF}"
+_LAST = "05QXZqxz"
+_PIECES = rf"[^\\x20\\x09-\\x0D{_ALONE}{_LAST}]{{1,11}}+[{_LAST}]?+|[{_ALONE}{_LAST}]"
 
 
 def with_signature(df: DataFrame, text: str, to: str) -> DataFrame:
     """`df` with `to` array<long>: for each bucket that is not empty, its number above 32 bits of the hash of its tuple.
 
-    The column `text` must not be null. An empty text has an empty signature, as has a blank text of
-    256 characters or more.
+    The column `text` must not be null. An empty or blank text has an empty signature.
     """
     w, h, s, st, g, b, bs = (f"_{to}_{x}" for x in ("w", "h", "s", "st", "g", "b", "bs"))
     steps = [
-        (w, f"CASE WHEN length({text}) < {SHORT} THEN cast(array() AS array<string>) ELSE filter(split({text}, '{_WORDS}'), x -> x <> '') END"),
+        (w, f"regexp_extract_all({text}, '{_PIECES}', 0)"),
         (
             h,
-            f"""CASE WHEN {text} = '' THEN cast(array() AS array<bigint>)
-                WHEN length({text}) < {SHORT} THEN transform(sequence(1, greatest(1, length({text}) - {CHARS - 1})), i -> xxhash64(substring({text}, i, {CHARS})))
-                ELSE transform(slice({w}, 1, greatest(1, size({w}) - 1)), (x, i) -> xxhash64(x, get({w}, i + 1))) END""",
+            f"transform(slice({w}, 1, greatest(1, size({w}) - 1)), (x, i) -> xxhash64(x, get({w}, i + 1)))",
         ),
         (s, f"sort_array(transform({h}, (x, i) -> (x & {~_POSITION}L) | (i & {_POSITION}L)))"),
         (st, f"filter(sequence(0, greatest(0, size({s}) - 1)), j -> j < size({s}) AND (j = 0 OR shiftright(get({s}, j), 24) <> shiftright(get({s}, j - 1), 24)))"),
