@@ -67,3 +67,7 @@ NOUL_NEIGHBOURS = {
 }
 SPA_MARKERS = ["__NEXT_DATA__", 'id="root"', 'id="app"', "ng-app", "data-reactroot", "nuxt"]
 WORDPRESS = r"wp-json|wp-content|wp-includes"
+
+#: Context lengths that token counts are held against, and what stands for a summary in them.
+CONTEXTS = [512, 768, 1024, 1536, 2048]
+PROXY_TARGET = "MANDATORY\n- (example requirement)\n\nRESTRICTIONS\n- (example restriction)\n\nSUMMARY\nThe opportunity is described above; key eligibility, deadlines, funding and restrictions are listed concisely."

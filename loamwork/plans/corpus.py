@@ -191,12 +191,17 @@ def q_length_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_token_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of the records' summarizer inputs: percentiles and the shares that fit common contexts."""
+    """Token counts of the records' summarizer inputs, of these with a target, and of whole texts: percentiles and the shares that fit common contexts."""
     import public_tokenizers
 
+    count = arrow.token_counter(public_tokenizers.path("byte_bpe_50k.json"))
     shown = text.prompt_user("summarize", F.col("title"), F.col("clean_text"))
-    counted = records(spark, sf_dir).select(arrow.token_counter(public_tokenizers.path("byte_bpe_50k.json"))(shown).alias("tokens"))
-    return curation.length_summary(counted, "tokens", [512, 1024, 2048])
+    variants = {"input_truncated": shown, "input_plus_target": F.concat(shown, F.lit("\n\n" + C.PROXY_TARGET)), "full_text": F.concat(F.lit("TITLE: "), "title", F.lit("\n\n"), "clean_text")}
+    found = None
+    for name, x in variants.items():
+        row = curation.length_summary(records(spark, sf_dir).select(count(x).alias("tokens")), "tokens", C.CONTEXTS).select(F.lit(name).alias("variant"), "*")
+        found = row if found is None else found.unionByName(row)
+    return found
 
 
 def q_heldout_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

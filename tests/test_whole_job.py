@@ -84,3 +84,20 @@ def test_full_queries_link_near_titles(spark, tmp_path):
     split = dict(run("q_group_split_full"))
     assert len(split) == len(texts) and all(len({split[str(i)] for i in m}) == 1 for m in members.values())
     assert set(run("q_split_counts_full")) == set(collections.Counter(split.values()).items())
+
+
+def test_token_stats_of_three_variants(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = [f"title {i}\n" + " ".join(f"w{k}" for k in range(n)) for i, n in enumerate((5, 150, 250, 500, 598, 599, 3000))] + ["", None]
+    found = {r["variant"]: r.asDict() for r in registry.queries()["q_token_stats"](spark, written(spark, tmp_path, texts)).collect()}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    parts = [((t or "").split("\n")[0], t or "") for t in texts]
+    cut = [f"TITLE: {a}\n\nOPPORTUNITY TEXT:\n{' '.join(b.split()[:600])}" for a, b in parts]
+    variants = {"input_truncated": cut, "input_plus_target": [f"{x}\n\n{C.PROXY_TARGET}" for x in cut], "full_text": [f"TITLE: {a}\n\n{b}" for a, b in parts]}
+    assert set(found) == set(variants)
+    for name, shown in variants.items():
+        counts = sorted(len(tokenizer.encode(x, add_special_tokens=False).ids) for x in shown)
+        assert found[name]["max"] == counts[-1] and found[name]["p50"] == counts[len(counts) // 2]
+        assert all(found[name][f"fit_{c}"] == pytest.approx(sum(n <= c for n in counts) / len(counts)) for c in (512, 768, 1024, 1536, 2048))
