@@ -1,13 +1,15 @@
 """License scans: a trained paragraph classifier whose families a template comparison confirms.
 
-A paragraph is a line. A multinomial logistic regression over its word n-grams (one to three words,
+A paragraph is a run of lines between lines without a letter or digit. Its lines are looked at one by
+one and together with the words that follow in the paragraph, so that statements may be wrapped at any
+width and a paragraph may name several licences. A multinomial logistic regression over its word n-grams (one to three words,
 hashed) names a licence family or "unknown"; its probabilities are calibrated by a temperature on
 statements that it has not seen. A family counts only if it is at least as likely as a fixed bound and
-the paragraph holds most word pairs of one of the family's statement templates.
+the words hold most word pairs of one of the family's statement templates.
 
 The model is trained on the driver from statements generated below, in the same way for every corpus.
 Texts are scored by SQL functions only, without a join or a shuffle: the weights are folded into the
-plan as constants of a fixed size. Paragraphs without any cue word are not scored: every template
+plan as constants of a fixed size. Words without any cue word among them are not scored: every template
 keeps fewer than the wanted share of its pairs without one, so that nothing could confirm them.
 """
 
@@ -29,6 +31,8 @@ UNKNOWN = "unknown"
 SHARE = 0.8
 LIKELY = 0.5
 BUCKET_BITS = 16
+#: Words after a line that are looked at with it; more than any template has.
+REACH = 32
 
 # Phrases that grant a licence, the names of each family, words that point to a licence,
 # and phrases that do so without one.
@@ -43,23 +47,35 @@ NAMES = {
     "LGPL": ["the gnu lesser general public license version 2 1", "the gnu lesser general public license version 3"],
     "AGPL-3.0": ["the gnu affero general public license version 3"],
     "MPL-2.0": ["the mozilla public license version 2 0", "the mozilla public license 2 0"],
-    "CC-BY-4.0": ["cc by 4 0", "a creative commons attribution 4 0 international license"],
-    "CC-BY-SA-4.0": ["cc by sa 4 0", "a creative commons attribution sharealike 4 0 international license"],
-    "CC-BY-NC-4.0": ["cc by nc 4 0", "a creative commons attribution noncommercial 4 0 international license"],
-    "CC-BY-NC-SA-4.0": ["cc by nc sa 4 0", "a creative commons attribution noncommercial sharealike 4 0 international license"],
-    "CC-BY-ND-4.0": ["cc by nd 4 0", "a creative commons attribution noderivatives 4 0 international license"],
     "CC0-1.0": ["cc0 1 0", "the cc0 1 0 universal public domain dedication"],
     "ISC": ["the isc license"],
 }
+#: Creative Commons licences by their conditions and versions.
+CONDITIONS = {"": "attribution", "SA": "attribution sharealike", "NC": "attribution noncommercial", "NC-SA": "attribution noncommercial sharealike", "ND": "attribution noderivatives", "NC-ND": "attribution noncommercial noderivatives"}
+for _version in ("4.0", "3.0", "2.5", "2.0"):
+    for _code, _long in CONDITIONS.items():
+        _id, _digits = f"CC-BY-{_code}-{_version}".replace("--", "-"), _version.replace(".", " ")
+        NAMES[_id] = [_id.lower().replace("-", " ").replace(".", " "), f"a creative commons {_long} {_digits} {'international' if _version == '4.0' else 'unported'} license"]
+#: Names as they stand alone or after a verb.
+SHORT = {
+    "Apache-2.0": ["apache 2 0", "apache license 2 0", "apache license version 2 0"], "MIT": ["mit"], "BSD-2-Clause": ["bsd 2 clause", "2 clause bsd", "simplified bsd"], "BSD-3-Clause": ["bsd 3 clause", "3 clause bsd", "new bsd"],
+    "GPL-2.0": ["gpl 2 0", "gpl v2", "gplv2", "gnu gpl version 2"], "GPL-3.0": ["gpl 3 0", "gpl v3", "gplv3", "gnu gpl version 3"], "LGPL": ["lgpl 2 1", "lgpl 3 0", "lgplv3", "lgpl v3"], "AGPL-3.0": ["agpl 3 0", "agplv3", "agpl v3"],
+    "MPL-2.0": ["mpl 2 0", "mozilla public license 2 0"], "CC0-1.0": ["cc0 1 0"], "ISC": ["isc"],
+}
+_GNU = "under the terms of the gnu {} public license as published by the free software foundation either version {} of the license"
 STATEMENTS = {
     "MIT": ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"],
-    "BSD-3-Clause": ["redistribution and use in source and binary forms with or without modification are permitted provided that neither the name of the copyright holder nor the names of its contributors"],
+    "GPL-2.0": [_GNU.format("general", "2")],
+    "GPL-3.0": [_GNU.format("general", "3")],
+    "LGPL": [_GNU.format("lesser general", "2 1"), _GNU.format("lesser general", "3")],
+    "AGPL-3.0": [_GNU.format("affero general", "3")],
+    "BSD-3-Clause": ["neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software", "redistribution and use in source and binary forms with or without modification are permitted provided that neither the name of the copyright holder nor the names of its contributors"],
     "BSD-2-Clause": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"],
     "ISC": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"],
     "CC0-1.0": ["dedicated to the public domain", "no rights reserved", "released into the public domain"],
     "Proprietary": ["all rights reserved", "copyright all rights reserved", "no part of this publication may be reproduced without the prior written permission of the copyright owner", "unauthorized copying of this file is strictly prohibited confidential and proprietary"],
 }
-CUES = ["terms", "software", "modification", "modify", "distribute", "apache", "gplv2", "gplv3", "license", "licence", "licensed", "rights", "copyright", "permission", "permitted", "redistribution", "hereby", "cc", "cc0", "domain", "commons", "gnu", "gpl", "bsd", "prohibited", "proprietary", "public"]
+CUES = ["terms", "software", "modification", "modify", "distribute", "apache", "gplv2", "gplv3", "license", "licence", "licensed", "licenced", "rights", "copyright", "permission", "permitted", "redistribution", "hereby", "cc", "cc0", "domain", "commons", "gnu", "gpl", "bsd", "prohibited", "proprietary", "public", "mpl", "lgpl", "lgplv3", "agpl", "agplv3", "nc", "nd", "sa", "copy", "name", "names", "contributors", "holder", "mit", "isc"]
 NEGATIVES = [
     "the driver lost his license after the accident", "a fishing licence costs ten dollars", "civil rights and human rights", "the rights of way across the field", "copyright law is taught in the second year",
     "ask for permission before you enter", "parking is permitted on sundays", "the public library opens at nine", "the state owns the public domain lands", "a license plate with three digits", "released under pressure from the crowd",
@@ -69,7 +85,13 @@ FILLERS = ["the", "of", "and", "a", "report", "by", "see", "our", "site", "page"
 
 
 def templates() -> dict[str, list[str]]:
-    found = {family: [f"{verb} {name}" for verb in VERBS for name in names] for family, names in NAMES.items()}
+    found = {}
+    for family, names in NAMES.items():
+        short = SHORT.get(family, names[:1])
+        alone = [*[x for x in names if " " in x], *[x for x in short if " " in x], *[f"{x} license" for x in short]]
+        tag = "spdx license identifier " + family.lower().replace("-", " ").replace(".", " ")
+        every = [*[f"{verb} {name}" for verb in VERBS for name in [*names, *short]], *alone, tag]
+        found[family] = list(dict.fromkeys(y for x in every for y in (x, x.replace("the terms of", "_").replace(" license", " licence").replace("_", "the terms of")) if "identifier" not in y or y == x))
     for family, statements in STATEMENTS.items():
         found.setdefault(family, []).extend(statements)
     return found
@@ -100,9 +122,9 @@ def _examples(rng: np.random.Generator) -> list[tuple[str, str]]:
 
     for family, statements in templates().items():
         for statement in statements:
-            for _ in range(max(2, 8 // len(statements))):
+            for _ in range(max(2, 100 // len(statements))):
                 found.append((between(statement.split()), family))
-    for text in [*NEGATIVES, *VERBS] * 6:
+    for text in [*NEGATIVES, *VERBS] * 12:
         found.append((between(text.split()), UNKNOWN))
     for _ in range(100):
         found.append((" ".join(rng.choice([*FILLERS, *CUES], rng.integers(1, 30))), UNKNOWN))
@@ -163,7 +185,7 @@ def _cue_pattern() -> str:
 def scan(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, n_paragraphs, n_candidates, n_licensed, families, top_family, top_probability.
 
-    n_paragraphs counts lines with a letter or digit, n_candidates those with a cue word, n_licensed those
+    n_paragraphs counts paragraphs with a letter or digit, n_candidates those with a cue word, n_licensed those
     with a confirmed family. families lists the confirmed ones, sorted and distinct, joined by commas.
     top_family is the likeliest confirmed family (of equals the first by name), "unknown" without one,
     with probability 0. Null and empty texts have no paragraphs. Texts and paragraphs of any length are
@@ -178,9 +200,15 @@ def scan(docs: DataFrame) -> DataFrame:
     bias = np.round(model.bias / model.temperature, 5).tolist()
     pairs = [{"f": model.families.index(f), "g": sorted({f"{a} {b}" for a, b in zip(w, w[1:], strict=False)})} for f, ss in templates().items() for w in map(str.split, ss)]
 
-    lines = F.filter(F.split(text_or_empty(), "\n"), lambda x: x.rlike("[A-Za-z0-9]|[^\\x00-\\x7F]"))
-    base = docs.select("doc_id", F.size(lines).cast("long").alias("n_paragraphs"), F.filter(lines, lambda x: x.rlike(_cue_pattern())).alias("_lines"))
-    words = F.transform("_lines", lambda x: F.regexp_extract_all(F.lower(x), F.lit("[a-z0-9]+"), F.lit(0)))
+    paragraphs = F.filter(F.split(text_or_empty(), "\n(?:[^A-Za-z0-9\\x80-\\x{10FFFF}\n]*+\n)++"), lambda x: x.rlike("[A-Za-z0-9]|[^\\x00-\\x7F]"))
+    base = docs.select("doc_id", F.size(paragraphs).cast("long").alias("n_paragraphs"), F.filter(paragraphs, lambda x: x.rlike(_cue_pattern())).alias("_paragraphs"))
+    # the words of each line, then each line alone and with the words after it, under its paragraph's number
+    base = base.withColumn("_each", F.transform("_paragraphs", lambda p: F.transform(F.split(p, "\n"), lambda x: F.regexp_extract_all(F.lower(x), F.lit("[a-z0-9]+"), F.lit(0)))))
+    after = lambda ls, i: F.slice(F.flatten(F.transform(F.slice(ls, i + 2, REACH), lambda x: F.slice(x, 1, REACH))), 1, REACH)
+    pieces = F.transform("_each", lambda ls, k: F.transform(F.concat(ls, F.transform(F.slice(ls, 1, F.size(ls) - 1), lambda x, i: F.concat(x, after(ls, i)))), lambda w: F.struct(k.alias("k"), w.alias("w"))))
+    cues = F.array(*map(F.lit, CUES))
+    base = base.withColumn("_lines", F.filter(F.flatten(pieces), lambda x: F.arrays_overlap(x["w"], cues)))
+    words = F.transform("_lines", lambda x: x["w"])
 
     def pairs_of(w: Column) -> Column:
         return F.transform(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1)))
@@ -209,7 +237,7 @@ def scan(docs: DataFrame) -> DataFrame:
         return F.exists(own, lambda t: F.size(F.array_intersect(t["g"], F.get(F.col("_pairs"), i))) >= F.lit(SHARE) * F.size(t["g"]))
 
     verdicts = F.filter(
-        F.transform("_lines", lambda _, i: F.struct((-F.round(F.get(F.col("_p"), i), 6)).alias("p"), F.get(names, F.get(F.col("_best"), i)).alias("f"), ((F.get(F.col("_best"), i) > 0) & (F.get(F.col("_p"), i) >= LIKELY) & confirmed(i)).alias("ok"))),
+        F.transform("_lines", lambda x, i: F.struct((-F.round(F.get(F.col("_p"), i), 6)).alias("p"), F.get(names, F.get(F.col("_best"), i)).alias("f"), ((F.get(F.col("_best"), i) > 0) & (F.get(F.col("_p"), i) >= LIKELY) & confirmed(i)).alias("ok"), x["k"].alias("k"))),
         lambda v: v["ok"],
     )
     found = stepped.withColumn("_found", verdicts)
@@ -217,8 +245,8 @@ def scan(docs: DataFrame) -> DataFrame:
     return found.select(
         "doc_id",
         "n_paragraphs",
-        F.size("_lines").cast("long").alias("n_candidates"),
-        F.size("_found").cast("long").alias("n_licensed"),
+        F.size("_paragraphs").cast("long").alias("n_candidates"),
+        F.size(F.array_distinct(F.transform("_found", lambda v: v["k"]))).cast("long").alias("n_licensed"),
         F.array_join(F.array_sort(F.array_distinct(F.transform("_found", lambda v: v["f"]))), ",").alias("families"),
         F.coalesce(top["f"], F.lit(UNKNOWN)).alias("top_family"),
         F.coalesce(-top["p"], F.lit(0.0)).alias("top_probability"),
