@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+    """A session for tests and benchmarks on one machine, with a checkpoint folder of its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.driver.memory", memory)
@@ -23,17 +24,29 @@ def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> Spark
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    _folder(spark)
     return spark
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the cluster's checkpoint folder and return it without its lineage.
-
-    The folder is spark.checkpoint.dir. Only where a session has none, as in tests on one
-    machine, a temporary folder is set.
-    """
-    context = df.sparkSession.sparkContext
+def _folder(spark: SparkSession) -> str:
+    """The shared folder of spark.checkpoint.dir. Only where all runs on one machine may it be unset; a temporary one is set then."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured is None and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="loamwork-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write `df` to the cluster's checkpoint folder and return it without its lineage; partitions and their order stay."""
+    _folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same by a Parquet table, which is smaller and read by column, but may be cut into other partitions."""
+    path = f"{_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
