@@ -10,10 +10,15 @@ unique, and are dropped first.
 
 The rest makes a dictionary of distinct phrases with their number of occurrences. In highly repetitive
 text it is small: a phrase that occurs twice or more is wholly repeated, whatever the corpus holds of
-it, and only one occurrence of each distinct phrase is looked at again. The strings of the dictionary
-are ranked against each other, and the parse carries what is found back to the corpus. Only equality
-of 400-byte prefixes matters here, not the order of suffixes beyond it; strings are therefore grouped
-by a 128-bit hash, which deals a group over tasks, instead of sorted by their bytes.
+it, and only one occurrence of each distinct phrase is looked at again. The entries under one trigger
+are put into suffix order twice, by their bytes from the trigger on and by those before it read
+backwards, with the longest common prefixes of neighbours. A string is d bytes before its trigger and
+WIDTH - d from there on, so two entries share it if they lie in one run of each order with common
+prefixes of at least these lengths. Bytes are compared, not hashes. The parse carries what is found
+back to the corpus.
+
+A trigger with over CROWD entries is not sorted in one task: the strings of its entries are grouped by
+128-bit hashes instead, which deals them over tasks and gives the same answer.
 """
 
 from __future__ import annotations
@@ -22,60 +27,58 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import documents, runs, text_bytes
-from loamwork.runtime import cut
+from loamwork.llm.common import documents, runs, text_bytes, text_or_empty
+from loamwork.runtime import written
 
 WIDTH = 400
 GRAM = 16
-SPAN = 128
+SPAN = 256
 FOLLOW = WIDTH - (SPAN - 1)
 
-#: Slots of the filter that keeps texts without a repeat out of shuffles; its rows bound what is broadcast.
-SLOTS = 1 << 20
-#: Bytes of text that a task looks at together.
+#: Bits of the filter that keeps texts without a repeat out of shuffles; a 64th of them are rows that are broadcast.
+SLOTS = 1 << 22
+#: Entries of one trigger that a task sorts at most.
+CROWD = 8192
+#: Bytes of text, and of entries, that a task looks at together.
 BATCH = 1 << 20
+ENTRIES = 2 << 20
 
 _U = np.uint64
 _rng = np.random.default_rng(20240229)
-_BASES = [_U(int(b) | 1) for b in _rng.integers(1 << 61, 1 << 63, 2)]
-_TABLES = [_rng.integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1) for _ in range(2)]
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> _U(31))) * _U(0x7FB5D329728EA185)
-    h = (h ^ (h >> _U(27))) * _U(0x81DADEF4BC2DD44D)
-    return h ^ (h >> _U(33))
+_BASE = int(_rng.integers(1 << 61, 1 << 63)) | 1
+_TABLE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_PHRASE = "key long, entry long, doc_id long, tid long, lo int, before short, more short"
+_WANTED = "key long, single boolean, crowded boolean, lo int, before short, more short"
 
 
 class Rolling:
-    """Hashes of any substring of a buffer from running sums of weighted bytes, modulo 2^64."""
+    """Hashes of the grams of a buffer from running sums of weighted bytes, modulo 2^64.
 
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    They only choose triggers: grams that share a hash make longer or shorter phrases, no other result.
+    """
 
-    def __init__(self, data: np.ndarray, which: int = 0):
-        n = len(data)
-        powers, self._inverse = self._table(which, n + 1)
-        self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_TABLES[which][data] * powers[:n], out=self._sums[1:])
+    _powers: tuple[np.ndarray, np.ndarray] | None = None
 
     @classmethod
-    def _table(cls, which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        known = cls._powers.get(which)
-        if known is None or len(known[0]) < n:
+    def _table(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if cls._powers is None or len(cls._powers[0]) < n:
             size = max(n, 1 << 16)
-            base = int(_BASES[which])
-            known = tuple(np.cumprod(np.r_[_U(1), np.full(size - 1, _U(b), np.uint64)]) for b in (base, pow(base, -1, 1 << 64)))
-            cls._powers[which] = known
-        return known
-
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mix((self._sums[end] - self._sums[start]) * self._inverse[start])
+            cls._powers = tuple(np.cumprod(np.r_[_U(1), np.full(size - 1, _U(b), np.uint64)]) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+        return cls._powers
 
-    def every(self, width: int) -> np.ndarray:
-        return _mix((self._sums[width:] - self._sums[:-width]) * self._inverse[: len(self._sums) - width])
+    @classmethod
+    def grams(cls, data: np.ndarray, width: int) -> np.ndarray:
+        n = len(data)
+        powers, inverse = cls._table(n + 1)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_TABLE[data] * powers[:n], out=sums[1:])
+        h = (sums[width:] - sums[:-width]) * inverse[: n + 1 - width]
+        h = (h ^ (h >> _U(31))) * _U(0x7FB5D329728EA185)
+        return h ^ (h >> _U(29))
 
 
 def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
@@ -90,7 +93,7 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def phrases(texts: list[bytes], gram: int = GRAM, span: int = SPAN, width: int = WIDTH) -> tuple[np.ndarray, ...]:
-    """(key, entry, text number, first position, last position) of each phrase.
+    """(key, entry, text number, first position, positions before the trigger, positions after the first) of each phrase.
 
     key is the hash of what follows the trigger in all its strings, entry that of the phrase with all
     bytes that its strings cover.
@@ -99,14 +102,13 @@ def phrases(texts: list[bytes], gram: int = GRAM, span: int = SPAN, width: int =
     ends = np.cumsum([len(t) for t in texts])
     starts = ends - [len(t) for t in texts]
     count = np.maximum(ends - starts - width + 1, 0)
-    empty = np.zeros(0, np.int64)
     if not count.sum():
-        return empty, empty, empty, empty, empty
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    rolling = Rolling(data)
+        return (np.zeros(0, np.int64),) * 6
+    whole = b"".join(texts)
+    data = np.frombuffer(whole, np.uint8)
     at = np.arange(len(data) - gram + 1, dtype=np.uint64)
     # the last of equal grams wins, which two equal strings agree on
-    ranked = (rolling.every(gram) >> _U(32)) << _U(32) | (_U(0xFFFFFFFF) - at)
+    ranked = Rolling.grams(data, gram) & _U(0xFFFFFFFF00000000) | (_U(0xFFFFFFFF) - at)
     trigger = (_U(0xFFFFFFFF) - (least_in_windows(ranked, span) & _U(0xFFFFFFFF))).astype(np.int64)
     owner = np.repeat(np.arange(len(texts)), count)
     place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + starts[owner]
@@ -114,64 +116,175 @@ def phrases(texts: list[bytes], gram: int = GRAM, span: int = SPAN, width: int =
     first = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (owner[1:] != owner[:-1])])
     last = np.r_[first[1:], len(own)] - 1
     lo, hi, a, doc = place[first], place[last], own[first], owner[first]
-    key = rolling.of(a, a + follow)
-    entry = _mix(rolling.of(lo, hi + width) ^ _mix(((a - lo) << 20 | (hi - lo)).astype(np.uint64)))
-    return key.view(np.int64), entry.view(np.int64), doc, lo - starts[doc], hi - starts[doc]
+    key = [xxhash.xxh3_64_intdigest(whole[x : x + follow]) for x in a.tolist()]
+    shape = ((a - lo) << 16 | (hi - lo)).tolist()
+    entry = [xxhash.xxh3_64_intdigest(whole[x : y + width], s) for x, y, s in zip(lo.tolist(), hi.tolist(), shape, strict=True)]
+    return np.array(key, np.uint64).view(np.int64), np.array(entry, np.uint64).view(np.int64), doc, lo - starts[doc], a - lo, hi - lo
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, tid, text): a row is known by its id and its text's hash, so that texts that share an id stay apart."""
+    return docs.select("doc_id", F.xxhash64(text_or_empty()).alias("tid"), "text")
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """(key, entry, doc_id, lo, hi) of all phrases of the corpus."""
+    """(key, entry, doc_id, tid, lo, before, more) of all phrases of the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, BATCH):
-            key, entry, doc, lo, hi = phrases(text_bytes(batch))
-            ids = batch.column("doc_id").take(pa.array(doc))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(entry), ids, pa.array(lo.astype(np.int64)), pa.array(hi.astype(np.int64))], names=["key", "entry", "doc_id", "lo", "hi"])
+            key, entry, doc, lo, before, more = phrases(text_bytes(batch))
+            ids, tids = (batch.column(c).take(pa.array(doc)) for c in ("doc_id", "tid"))
+            columns = [pa.array(key), pa.array(entry), ids, tids, pa.array(lo.astype(np.int32)), pa.array(before.astype(np.int16)), pa.array(more.astype(np.int16))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "entry", "doc_id", "tid", "lo", "before", "more"])
+
+    return _texts(docs).mapInArrow(run, _PHRASE)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, entry long, doc_id long, lo long, hi long")
 
+def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`texts` with `seen`: false only if no row of `wanted` has the row's id and text. A filter of fixed size tells."""
+    slot = F.pmod(F.xxhash64("doc_id", "tid"), F.lit(SLOTS))
+    word, bit = F.shiftright(slot, 6), slot.bitwiseAND(F.lit(63).cast("long")).cast("int")
+    words = wanted.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    held = texts.join(F.broadcast(words), word == F.col("_word"), "left")
+    return held.withColumn("seen", F.coalesce(F.getbit("_bits", bit) == 1, F.lit(False))).drop("_word", "_bits")
 
-def _slot() -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).alias("slot")
 
+def _with(texts: DataFrame, by_row: DataFrame, column: str, how: str) -> DataFrame:
+    on = texts["doc_id"].eqNullSafe(by_row["doc_id"]) & (texts["tid"] == by_row["tid"])
+    return texts.join(by_row, on, how).select(texts["doc_id"], texts["tid"], "text", column)
 
-def _strings(docs: DataFrame, wanted: DataFrame, slots: DataFrame) -> DataFrame:
-    """(key, entry, single, doc_id, lo, hashes): the hash of each string of the phrases in `wanted`."""
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("key", "entry", "single", "lo", "hi")).alias("phrases"))
-    texts = docs.select("doc_id", "text").join(F.broadcast(slots), _slot() == F.col("slot"), "left_semi")
+
+def _covers(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`wanted` with the bytes that the strings of each phrase cover."""
+    by_row = wanted.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("key", "single", "crowded", "lo", "before", "more")).alias("phrases"))
+    texts = _marked(_texts(docs), wanted).where("seen").drop("seen")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, BATCH):
-            rows: list[tuple] = []
-            for doc_id, text, found in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), batch.column("phrases").to_pylist(), strict=True):
-                data = np.frombuffer(text, np.uint8)
-                hashes = Rolling(data, 1).every(WIDTH).view(np.int64) if len(data) >= WIDTH else np.zeros(0, np.int64)
-                rows.extend((p["key"], p["entry"], p["single"], doc_id, p["lo"], hashes[p["lo"] : p["hi"] + 1]) for p in found)
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["key", "entry", "single", "doc_id", "lo", "hashes"])
+            found = batch.column("phrases")
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(found.offsets.to_numpy()))
+            flat = found.flatten()
+            texts = text_bytes(batch)
+            cover = [texts[i][lo : lo + more + WIDTH] for i, lo, more in zip(owner.tolist(), flat.field("lo").to_pylist(), flat.field("more").to_pylist(), strict=True)]
+            ids, tids = (batch.column(c).take(pa.array(owner)) for c in ("doc_id", "tid"))
+            names = ["key", "single", "crowded", "lo", "before", "more"]
+            yield pa.RecordBatch.from_arrays([*[flat.field(c) for c in names], ids, tids, pa.array(cover, pa.binary())], names=[*names, "doc_id", "tid", "cover"])
+
+    return _with(texts, by_row, "phrases", "inner").mapInArrow(run, f"{_WANTED}, doc_id long, tid long, cover binary")
 
-    joined = texts.join(by_doc, texts["doc_id"].eqNullSafe(by_doc["doc_id"])).select(texts["doc_id"], "text", "phrases")
-    return joined.mapInArrow(run, "key long, entry long, single boolean, doc_id long, lo long, hashes array<long>")
 
+def _classes(keys: list[int], parts: list[bytes], depths: np.ndarray) -> np.ndarray:
+    """For each part and depth the number of its class: those under one key that agree in so many first bytes.
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, stop), which may overlap: every byte that goes lies in one, and no other byte does."""
-    parsed = parse(docs)
+    Parts are put into suffix order under their key; a class is a run whose neighbours' common prefixes reach the depth.
+    """
+    order = sorted(range(len(parts)), key=lambda i: (keys[i], parts[i]))
+    size = max(1, max(map(len, parts)))
+    rows = np.frombuffer(b"".join(parts[i].ljust(size, b"\0") for i in order), np.uint8).reshape(-1, size)
+    lengths = np.array([len(parts[i]) for i in order])
+    differs = rows[1:] != rows[:-1]
+    common = np.minimum(np.where(differs.any(1), differs.argmax(1), size), np.minimum(lengths[1:], lengths[:-1]))
+    held = np.array([keys[i] for i in order])
+    common[held[1:] != held[:-1]] = -1
+    found = np.zeros((len(parts), len(depths)), np.int32)
+    np.cumsum(common[:, None] < depths[None, :], axis=0, dtype=np.int32, out=found[1:])
+    ordered = np.empty_like(found)
+    ordered[order] = found
+    return ordered
+
+
+def shared_strings(keys: list[int], covers: list[bytes], before: np.ndarray, more: np.ndarray, single: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the entry, first, last) of each run of strings of single entries that another string equals.
+
+    first and last count positions from the start of the entry.
+    """
+    depths = np.arange(int((before - more).min()), int(before.max()) + 1)
+    left = _classes(keys, [c[:b][::-1] for c, b in zip(covers, before.tolist(), strict=True)], depths)
+    right = _classes(keys, [c[b:] for c, b in zip(covers, before.tolist(), strict=True)], width - depths)
+    inside = (depths <= before[:, None]) & (depths >= (before - more)[:, None])
+    codes = (left[inside].astype(np.int64) << 36) | (right[inside].astype(np.int64) << 12) | np.broadcast_to(np.arange(len(depths)), inside.shape)[inside]
+    order = np.argsort(codes, kind="stable")
+    same = codes[order[1:]] == codes[order[:-1]]
+    twice = np.zeros(len(codes), bool)
+    twice[order[1:]] = same
+    twice[order[:-1]] |= same
+    hit = np.zeros((len(covers), len(depths) + 2), bool)
+    hit[:, 1:-1][inside] = twice
+    hit[~single] = False
+    # depths fall as positions rise
+    edge = np.diff(hit.astype(np.int8), axis=1)
+    entry, high = np.nonzero(edge == -1)
+    _, low = np.nonzero(edge == 1)
+    return entry, before[entry] - depths[high - 1], before[entry] - depths[low]
+
+
+def _sorted_spans(covers: DataFrame) -> DataFrame:
+    """(doc_id, tid, start, stop) from the entries of triggers that are not crowded, in suffix order."""
+    names = ["key", "single", "lo", "before", "more", "doc_id", "tid", "cover"]
+
+    def spans(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        before, more, single, lo = (table.column(c).to_numpy() for c in ("before", "more", "single", "lo"))
+        entry, first, last = shared_strings(table.column("key").to_pylist(), table.column("cover").to_pylist(), before.astype(np.int64), more.astype(np.int64), single)
+        ids, tids = (table.column(c).combine_chunks().take(pa.array(entry)) for c in ("doc_id", "tid"))
+        start = lo[entry].astype(np.int64)
+        return pa.RecordBatch.from_arrays([ids, tids, pa.array(start + first), pa.array(start + last + WIDTH)], names=["doc_id", "tid", "start", "stop"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in runs(batches, ENTRIES, "cover"):
+            key = batch.column("key").to_numpy()
+            if size >= ENTRIES:
+                # all whose key cannot come again; a key has at most CROWD entries
+                fresh = np.flatnonzero(key != held[-1].column("key")[-1].as_py())
+                if len(fresh):
+                    yield spans([*held, batch.slice(0, int(fresh[0]))])
+                    held, size, batch = [], 0, batch.slice(int(fresh[0]))
+            held.append(batch)
+            size += batch.column("cover").nbytes
+        if held:
+            yield spans(held)
+
+    usual = covers.where("not crowded").select(*names)
+    return usual.repartition("key").sortWithinPartitions("key").mapInArrow(run, "doc_id long, tid long, start long, stop long")
+
+
+def _hashed_spans(covers: DataFrame) -> DataFrame:
+    """The same from the entries of crowded triggers, by hashes of their strings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches, BATCH >> 4, "cover"):
+            more = batch.column("more").to_numpy().astype(np.int64)
+            owner = np.repeat(np.arange(batch.num_rows), more + 1)
+            offset = np.arange(len(owner)) - np.repeat(np.cumsum(more + 1) - (more + 1), more + 1)
+            digests = b"".join(xxhash.xxh3_128_digest(c[k : k + WIDTH]) for c, m in zip(batch.column("cover").to_pylist(), more.tolist(), strict=True) for k in range(m + 1))
+            halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
+            single, ids, tids = (batch.column(c).take(pa.array(owner)) for c in ("single", "doc_id", "tid"))
+            start = batch.column("lo").to_numpy().astype(np.int64)[owner] + offset
+            yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1]), single, ids, tids, pa.array(start)], names=["h1", "h2", "single", "doc_id", "tid", "start"])
+
+    each = covers.where("crowded").select("single", "lo", "more", "doc_id", "tid", "cover").mapInArrow(run, "h1 long, h2 long, single boolean, doc_id long, tid long, start long")
+    twice = each.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    return each.where("single").join(twice, ["h1", "h2"], "left_semi").select("doc_id", "tid", "start", (F.col("start") + WIDTH).alias("stop"))
+
+
+def repeated_spans(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """(doc_id, tid, start, stop), which may overlap: every byte that goes lies in one, and no other byte does."""
+    parsed = written(parse(docs))
     # written first, so that the join below has nothing but joins above its exchanges and may be split at a hot key
-    shared = cut(parsed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    rows = cut(parsed.join(shared, "key", "left_semi"))
-    entries = cut(rows.groupBy("key", "entry").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "lo", "hi")).alias("at")))
-    whole = rows.join(entries.where("n > 1").select("key", "entry"), ["key", "entry"], "left_semi").select("doc_id", F.col("lo").alias("start"), (F.col("hi") + WIDTH).alias("stop"))
-    # keys with one entry are settled; the others' entries are compared string by string
-    open_keys = entries.groupBy("key").agg(F.count("*").alias("entries"), F.max((F.col("n") == 1).cast("int")).alias("any")).where("entries > 1 AND any = 1").select("key")
-    wanted = entries.join(open_keys, "key", "left_semi").select("key", "entry", (F.col("n") == 1).alias("single"), "at.doc_id", "at.lo", "at.hi")
-    wanted = cut(wanted)
-    strings = cut(_strings(docs, wanted, wanted.select(_slot()).distinct()))
-    each = strings.select("key", "single", "doc_id", "lo", F.posexplode("hashes").alias("k", "hash"))
-    twice = each.groupBy("key", "hash").agg(F.count("*").alias("n")).where("n > 1").select("key", "hash")
-    found = each.where("single").join(twice, ["key", "hash"], "left_semi")
-    part = found.select("doc_id", (F.col("lo") + F.col("k")).alias("start"), (F.col("lo") + F.col("k") + WIDTH).alias("stop"))
-    return whole.unionByName(part)
+    shared = written(parsed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    rows = written(parsed.join(shared, "key", "left_semi"))
+    # any one occurrence will do, as entries that have several are settled
+    one = [F.first(c).alias(c) for c in ("doc_id", "tid", "lo", "before", "more")]
+    entries = written(rows.groupBy("key", "entry").agg(F.count("*").alias("n"), *one))
+    whole = rows.join(entries.where("n > 1").select("key", "entry"), ["key", "entry"], "left_semi")
+    whole = whole.select("doc_id", "tid", F.col("lo").cast("long").alias("start"), (F.col("lo").cast("long") + F.col("more") + WIDTH).alias("stop"))
+    # keys with one entry are settled; the others' entries are compared
+    open_keys = entries.groupBy("key").agg(F.count("*").alias("entries"), F.min("n").alias("least")).where("entries > 1 AND least = 1").select("key", (F.col("entries") > crowd).alias("crowded"))
+    wanted = written(entries.join(open_keys, "key").select("key", (F.col("n") == 1).alias("single"), "crowded", "doc_id", "tid", "lo", "before", "more"))
+    covers = written(_covers(docs, wanted))
+    return whole.unionByName(_sorted_spans(covers)).unionByName(_hashed_spans(covers))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -185,43 +298,41 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _merged_by_document(spans: DataFrame) -> DataFrame:
-    """(doc_id, spans): each document's spans as maximal runs; a document has fewer than it has bytes."""
+def _merged_by_row(spans: DataFrame) -> DataFrame:
+    """(doc_id, tid, spans): each row's spans as maximal runs; a row has fewer than it has bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         for batch in batches:
             runs_of = [[{"start": a, "stop": b} for a, b in merged([(s["start"], s["stop"]) for s in found])] for found in batch.column("spans").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(runs_of, kind)], names=["doc_id", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tid"), pa.array(runs_of, kind)], names=["doc_id", "tid", "spans"])
 
-    by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return by_doc.mapInArrow(run, "doc_id long, spans array<struct<start:bigint,stop:bigint>>")
+    # a set, so that rows that stand many times over bring their spans once a task
+    by_row = spans.groupBy("doc_id", "tid").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    return by_row.mapInArrow(run, "doc_id long, tid long, spans array<struct<start:bigint,stop:bigint>>")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): each document's bytes without those of repeated strings.
 
-    Null texts count as empty. What is left may not be valid UTF-8. Rows that repeat a doc_id are
-    taken for the same document twice over, so that their strings repeat each other; rows without
-    a doc_id likewise. Strings never cross documents, texts of any length are parsed whole, and an
-    empty table gives an empty result. Only doc_id and text are read.
+    Null texts count as empty. What is left may not be valid UTF-8. Every row is a document of its own,
+    whatever its doc_id: rows that repeat one, or have none, lose what their own text shares with any
+    other row, so that equal rows lose all strings. Strings never cross documents, texts of any length
+    are parsed whole, and an empty table gives an empty result. Only doc_id and text are read.
     """
-    by_doc = cut(_merged_by_document(repeated_spans(docs)))
-    slots = by_doc.select(_slot()).distinct()
-    texts = docs.select("doc_id", "text")
-    # a document whose slot is free has no span; only the others are brought together with theirs
-    clean = texts.join(F.broadcast(slots), _slot() == F.col("slot"), "left_anti").withColumn("spans", F.lit(None).cast("array<struct<start:bigint,stop:bigint>>"))
-    others = texts.join(F.broadcast(slots), _slot() == F.col("slot"), "left_semi")
-    joined = others.join(by_doc, others["doc_id"].eqNullSafe(by_doc["doc_id"]), "left").select(others["doc_id"], "text", "spans")
+    by_row = written(_merged_by_row(repeated_spans(docs, crowd)))
+    texts = _marked(_texts(docs), by_row)
+    # only rows that may have a span are brought together with theirs
+    clean = texts.where("not seen").drop("seen").withColumn("spans", F.lit(None).cast("array<struct<start:bigint,stop:bigint>>"))
+    joined = _with(texts.where("seen").drop("seen"), by_row, "spans", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
             rows: list[tuple] = []
             for doc_id, text, found in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), batch.column("spans").to_pylist(), strict=True):
-                gone = [(s["start"], min(s["stop"], len(text))) for s in found or ()]
-                edges = [0, *(x for s in gone for x in s), len(text)]
+                edges = [0, *(x for s in found or () for x in (s["start"], s["stop"])), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                rows.append((doc_id, len(text), len(text) - len(kept), len(gone), kept))
+                rows.append((doc_id, len(text), len(text) - len(kept), len(found or ()), kept))
             kinds = [*[pa.int64()] * 4, pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 

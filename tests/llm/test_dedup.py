@@ -94,21 +94,36 @@ def brute_removed(rows, width=400):
     return out
 
 
-def found_removed(df):
-    return collections.Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in substring_dedup.remove_repeats(df).collect())
+def found_removed(df, **how):
+    return collections.Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in substring_dedup.remove_repeats(df, **how).collect())
 
 
 def test_substrings_of_odd_texts(odd):
     assert found_removed(odd) == brute_removed([(d, (t or "").encode()) for d, t in texts(odd)])
 
 
-def test_substrings_of_shared_passages(spark):
+@pytest.mark.parametrize("crowd", [substring_dedup.CROWD, 2])
+def test_substrings_of_shared_passages(spark, crowd):
     rng = random.Random(2)
     word = lambda n: "".join(rng.choice("abcdeé ") for _ in range(n))
     passages = [word(rng.randrange(380, 1200)) for _ in range(6)]
     rows = [(i, word(rng.randrange(0, 900)) + rng.choice(passages)[rng.randrange(0, 30) :] + word(rng.randrange(0, 300)) + rng.choice([*passages, ""]) + rng.choice(["", "ab" * 500])) for i in range(40)]
+    # texts of their own under one id and under none
+    rows += [(3, word(700)), (3, passages[0] + word(50)), (None, word(900)), (None, word(20) + passages[1]), (None, "short")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert found_removed(df) == brute_removed([(d, t.encode()) for d, t in rows])
+    assert found_removed(df, crowd=crowd) == brute_removed([(d, t.encode()) for d, t in rows])
+
+
+def test_shared_strings_of_one_batch():
+    rng = random.Random(5)
+    texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(14, 40))) for _ in range(60)]
+    key, entry, doc, lo, before, more = substring_dedup.phrases(texts, gram=2, span=5, width=10)
+    covers = [texts[d][p : p + m + 10] for d, p, m in zip(doc.tolist(), lo.tolist(), more.tolist())]
+    single = np.array([rng.random() < 0.8 for _ in covers])
+    found = {(i, p) for i, a, b in zip(*substring_dedup.shared_strings(key.tolist(), covers, before, more, single, 10)) for p in range(a, b + 1)}
+    count = collections.Counter((key[i], c[p : p + 10]) for i, c in enumerate(covers) for p in range(more[i] + 1))
+    assert found == {(i, p) for i, c in enumerate(covers) for p in range(more[i] + 1) if single[i] and count[key[i], c[p : p + 10]] > 1}
+    assert 0 < len(found) < sum(more + 1)
 
 
 def test_empty_tables(empty):
