@@ -113,11 +113,13 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
     The edited text has the last quarter of the code points (rounded down) replaced by the first as
     many of the next document, or all of it if it has fewer. Null texts count as empty; two texts that
-    are both empty are alike to 1. Rows without a doc_id are left out, as they have no next document;
-    rows that repeat one follow each other. Texts are read whole. An empty table gives an empty result.
+    are both empty are alike to 1. Rows without a doc_id have no place in the order: an empty text
+    counts as their next, and they are nobody's next. Rows that repeat an id follow each other by text.
+    Texts are read whole. An empty table gives an empty result. Only doc_id and text are read.
     """
-    texts = docs.where("doc_id is not null").select("doc_id", text_or_empty().alias("text"))
-    paired = with_next(with_signature(texts, "text", "signature"), ["text", "signature"])
+    texts = with_signature(docs.select("doc_id", text_or_empty().alias("text")), "text", "signature")
+    last = texts.where("doc_id is null").withColumn("next_text", F.lit("")).withColumn("next_signature", F.array().cast("array<bigint>"))
+    paired = with_next(texts.where("doc_id is not null"), ["text", "signature"]).unionByName(last)
     edited = paired.withColumn("_cut", F.floor(F.length("text") / 4).cast("int")).withColumn(
         "edited", F.concat(F.expr("left(text, length(text) - _cut)"), F.expr("left(next_text, _cut)"))
     )
