@@ -7,15 +7,24 @@ and how to wait are given from outside, so that the pool itself needs no network
 from __future__ import annotations
 
 import time
-from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from email.utils import parsedate_to_datetime
+from math import ceil, inf
 
 DAY = 86_400.0
+TICK = 1e-3
+#: Seconds for which a provider that failed once is left alone, and at most.
+BACKOFF = 2.0
+LONGEST = 120.0
 
 
 class RateLimited(Exception):
-    """The provider refused for now."""
+    """The provider refused for now; retry_after is the header of that name, if it sent one."""
+
+    def __init__(self, message: str = "", retry_after: str | None = None):
+        super().__init__(message)
+        self.retry_after = retry_after
 
 
 class ProviderError(Exception):
@@ -28,32 +37,64 @@ class QuotaExhausted(Exception):
 
 @dataclass
 class Slot:
+    """A provider's limits and what it has been asked: times of sent requests and of answers."""
+
     name: str
     role: str = "primary"
     rpd: float = 1e9
     rpm: float = 1e9
     margin: float = 0.85
     disabled: bool = False
-    successes: deque = field(default_factory=deque)
-    minute: deque = field(default_factory=deque)
+    available_after: float = 0.0
+    answered: list[float] = field(default_factory=list)
+    sent: list[float] = field(default_factory=list)
     failed: int = 0
-
-    def daily_dry(self, now: float) -> bool:
-        """Whether successes of the last 24 hours use up the day's share."""
-        while self.successes and self.successes[0] < now - DAY:
-            self.successes.popleft()
-        return len(self.successes) >= self.rpd * self.margin
-
-    def reserve(self, now: float) -> bool:
-        """Take a place in the calendar minute, if it and the day have one left."""
-        if self.daily_dry(now):
-            return False
-        while self.minute and self.minute[0] // 60 != now // 60:
-            self.minute.popleft()
-        if len(self.minute) >= self.rpm * self.margin:
-            return False
-        self.minute.append(now)
-        return True
+    in_a_row: int = 0
+
+    def ready_at(self, now: float) -> float:
+        """The first moment from `now` on at which a request fits all limits; infinite for a disabled slot.
+
+        A day's share frees a place as the answers of its last 24 hours age; a minute's share is that of
+        the calendar minute; and a provider that has refused is left alone until available_after.
+        """
+        daily, minutely = (ceil(x * self.margin) for x in (self.rpd, self.rpm))
+        if self.disabled or daily <= 0 or minutely <= 0:
+            return inf
+        recent = [t for t in self.answered if t >= now - DAY]
+        aged = recent[len(recent) - daily] + DAY + TICK if len(recent) >= daily else now
+        full = sum(t // 60 == now // 60 for t in self.sent) >= minutely
+        return max(now, self.available_after, aged, (now // 60 + 1) * 60 if full else now)
+
+    def note(self, now: float, answered: bool, pause: float | None = None, disable: bool = False) -> None:
+        """Take down a request's outcome. Failures in a row double the time for which the slot is left alone."""
+        self.sent = [*(t for t in self.sent if t // 60 == now // 60), now]
+        if answered:
+            self.answered = [*(t for t in self.answered if t >= now - DAY), now]
+            self.in_a_row = 0
+            return
+        self.failed += 1
+        self.in_a_row += 1
+        self.disabled = self.disabled or disable
+        self.available_after = now + (min(LONGEST, BACKOFF * 2 ** (self.in_a_row - 1)) if pause is None else pause)
+
+
+def choose(slots: list[Slot], roles: tuple[str, ...], now: float) -> tuple[float, Slot | None]:
+    """The slot of these roles that is ready first, the earlier in the list of equals, and when that is."""
+    moments = [(s.ready_at(now), k) for k, s in enumerate(slots) if s.role in roles]
+    when, k = min(moments, default=(inf, -1))
+    return (when, slots[k]) if when < inf else (inf, None)
+
+
+def seconds_of(header: str | None, now: float) -> float | None:
+    """A Retry-After header, which holds seconds or a date, in seconds from now."""
+    if not header:
+        return None
+    if header.strip().isdigit():
+        return float(header)
+    try:
+        return max(0.0, parsedate_to_datetime(header).timestamp() - now)
+    except ValueError:
+        return None
 
 
 def configured(specs: list[dict], environment: dict[str, str]) -> list[dict]:
@@ -72,31 +113,25 @@ class Pool:
     send: Callable[[Slot, object], str]
     clock: Callable[[], float] = time.time
     wait: Callable[[float], None] = time.sleep
-    pause: float = 30.0
     patience: float = 300.0
 
     def call(self, request: object, roles: tuple[str, ...] = ("primary",)) -> tuple[Slot, str]:
-        """The first slot, in order, that has budget and answers; waits while minutes are full."""
-        waited, tried = 0.0, set()
-        while True:
-            now = self.clock()
-            fitting = [s for s in self.slots if s.role in roles]
-            slot = next((s for s in fitting if s.name not in tried and not s.disabled and not s.daily_dry(now)), None)
-            if slot is None:
-                if all(s.disabled or s.daily_dry(now) for s in fitting) or waited >= self.patience:
-                    raise QuotaExhausted(f"no provider for {roles}")
-                self.wait(self.pause)
-                waited += self.pause
-                tried.clear()
-                continue
-            tried.add(slot.name)
-            if not slot.reserve(now):
-                continue
-            try:
-                text = self.send(slot, request)
-            except (RateLimited, ProviderError) as e:
-                slot.failed += 1
-                slot.disabled = slot.disabled or "insufficient balance" in str(e).lower()
-                continue
-            slot.successes.append(now)
-            return slot, text
+        """Who answered, and what. Waits for the slot that is ready first, up to `patience` seconds in all."""
+        end = self.clock() + self.patience
+        while (found := choose(self.slots, roles, now := self.clock()))[0] <= end:
+            when, slot = found
+            if when > now:
+                self.wait(when - now)
+            elif (text := self._ask(slot, request, now)) is not None:
+                return slot, text
+        raise QuotaExhausted(f"no provider for {roles}")
+
+    def _ask(self, slot: Slot, request: object, now: float) -> str | None:
+        try:
+            text = self.send(slot, request)
+        except RateLimited as e:
+            return slot.note(now, False, seconds_of(e.retry_after, now))
+        except ProviderError as e:
+            return slot.note(now, False, disable="insufficient balance" in str(e).lower())
+        slot.note(now, True)
+        return text
