@@ -71,3 +71,7 @@ WORDPRESS = r"wp-json|wp-content|wp-includes"
 #: Context lengths that token counts are held against, and what stands for a summary in them.
 CONTEXTS = [512, 768, 1024, 1536, 2048]
 PROXY_TARGET = "MANDATORY\n- (example requirement)\n\nRESTRICTIONS\n- (example restriction)\n\nSUMMARY\nThe opportunity is described above; key eligibility, deadlines, funding and restrictions are listed concisely."
+#: What a page needs to count as rendered by its server, and to be worth reading as HTML.
+RENDERED_LENGTH, RENDERED_LINKS, PAGE_BYTES = 15_000, 20, 10_000
+#: Answers of a host that does not want to be read.
+REFUSED_STATUS = [401, 403, 429]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loamwork import constants as C
 from loamwork.functions import text
+from loamwork.runtime import cut
 
 
 def occurrences(page: Column, tag: str) -> Column:
@@ -20,15 +21,15 @@ def page_probe(pages: DataFrame) -> DataFrame:
         pages.withColumn("html_bytes", F.octet_length("html")).withColumn("article_tags", occurrences(F.col("html"), "article")).withColumn("links", occurrences(F.col("html"), "a"))
         .withColumn("looks_like_wordpress", F.col("html").rlike(C.WORDPRESS)).withColumn("spa_markers", markers)
     )
-    return probed.withColumn("server_rendered_guess", (F.length("html") > 15000) & (F.col("links") > 20) & (F.size("spa_markers") == 0))
+    return probed.withColumn("server_rendered_guess", (F.length("html") > C.RENDERED_LENGTH) & (F.col("links") > C.RENDERED_LINKS) & (F.size("spa_markers") == 0))
 
 
 def api_kind(status: Column, body: Column, url: Column) -> Column:
-    """What answered an API probe: wp_rest, json_list, json_object, html, or none without an endpoint."""
+    """What answered an API probe: wp_rest, json_list, json_object, html, refused, error, or none without an endpoint."""
     bare = text.strip(F.coalesce(body, F.lit("")))
     parsed = F.try_parse_json(bare).isNotNull()
     wordpress = url.contains("/wp-json/")
-    return F.when(F.coalesce(url, F.lit("")) == "", "none").when(status.isNull(), "error").when(parsed & (bare.startswith("[") | bare.startswith("{")) & wordpress, "wp_rest").when(parsed & bare.startswith("["), "json_list").when(parsed & bare.startswith("{"), "json_object").otherwise("html")
+    return F.when(F.coalesce(url, F.lit("")) == "", "none").when(status.isNull(), "error").when(status.isin(C.REFUSED_STATUS), "refused").when(parsed & (bare.startswith("[") | bare.startswith("{")) & wordpress, "wp_rest").when(parsed & bare.startswith("["), "json_list").when(parsed & bare.startswith("{"), "json_object").otherwise("html")
 
 
 def recommended_method() -> Column:
@@ -37,7 +38,7 @@ def recommended_method() -> Column:
     blocked = F.coalesce("page_refused", no) | (F.coalesce("robots_allowed", F.lit(True)) == no)
     return (
         F.when(blocked, "blocked_document").when(F.col("api_kind") == "wp_rest", "wp_rest").when(F.col("api_kind").isin("json_list", "json_object"), "api_json")
-        .when(F.coalesce("rss_url", F.lit("")) != "", "rss").when((F.col("page_status") == 200) & (F.col("html_bytes") > 10000), "html").otherwise("needs_manual_review")
+        .when(F.coalesce("rss_url", F.lit("")) != "", "rss").when((F.col("page_status") == 200) & (F.col("html_bytes") > C.PAGE_BYTES), "html").otherwise("needs_manual_review")
     )
 
 
@@ -48,16 +49,25 @@ def allowed_method(recipe: Column, recommended: Column) -> Column:
 
 
 def registry(sources: DataFrame) -> DataFrame:
-    """Source ids from names; repeated slugs get _2, _3 and on in list order (column pos).
+    """Source ids from names: in list order (column pos), the first free of slug, slug_2, slug_3 and on.
 
-    A suffixed slug that another name has by itself is suffixed again until all are distinct.
+    Found without going through the list: each row claims an id, the first claimant in list order keeps
+    it, and the others claim their next, as do the later rows of the same slug with them. A row's first
+    claim counts the rows of its slug before it, as these hold as many ids. The first rows' claims never
+    fall back, so the rounds end when no id is claimed twice.
     """
-    named = sources.withColumn("name", text.strip(F.col("name"))).withColumn("slug", text.slugify(F.col("name")))
-    n = F.row_number().over(Window.partitionBy("slug").orderBy("pos"))
-    out = named.withColumn("_n", n).withColumn("source_id", F.when(F.col("_n") == 1, F.col("slug")).otherwise(F.concat_ws("_", "slug", F.col("_n").cast("string"))))
-    again = F.row_number().over(Window.partitionBy("source_id").orderBy(F.col("_n"), "pos"))
-    out = out.withColumn("_again", again).withColumn("source_id", F.when(F.col("_again") == 1, F.col("source_id")).otherwise(F.concat_ws("_", "source_id", F.col("_again").cast("string"))))
-    return out.drop("_n", "_again", "slug")
+    k = F.row_number().over(Window.partitionBy("_slug").orderBy("pos"))
+    named = sources.withColumn("name", text.strip(F.col("name"))).withColumn("_slug", text.slugify(F.col("name")))
+    claims = cut(named.select("pos", "_slug", k.alias("_k"), k.alias("_n")))
+    claim = F.when(F.col("_n") == 1, F.col("_slug")).otherwise(F.concat_ws("_", "_slug", F.col("_n").cast("string")))
+    while True:
+        held = claims.withColumn("source_id", claim)
+        lost = held.withColumn("_lost", F.row_number().over(Window.partitionBy("source_id").orderBy("pos")) > 1)
+        if lost.where("_lost").isEmpty():
+            return named.join(held.select("pos", "source_id"), "pos").drop("_slug")
+        upto = Window.partitionBy("_slug").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+        moved = F.col("_n") + F.col("_lost").cast("int") - F.col("_k")
+        claims = cut(lost.select("pos", "_slug", "_k", (F.max(moved).over(upto) + F.col("_k")).alias("_n")))
 
 
 def drift(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def read_yaml(spark: SparkSession, path: str) -> object:
     try:
         import yaml
     except ImportError:
-        return json.loads(document)
+        return json.loads("\n".join(x for x in document.split("\n") if not x.startswith("#")))
     return yaml.safe_load(document)
 
 
@@ -59,9 +59,41 @@ def log_run(spark: SparkSession, path: str, entry: dict) -> None:
     spark.createDataFrame([(json.dumps(entry, sort_keys=True),)], "value string").coalesce(1).write.mode("append").text(path)
 
 
+def write_registry(spark: SparkSession, path: str, sources: list[dict]) -> None:
+    """A registry in YAML's JSON form under a comment that says where it comes from."""
+    lines = ["# Source registry, written by a program: change the source list and build it again.", *json.dumps(sources, ensure_ascii=False, indent=1).split("\n")]
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray("\n".join([*lines, ""]).encode()))
+    finally:
+        stream.close()
+
+
 def save_snapshot(df: DataFrame, path: str) -> None:
-    """Overwrite a small table, such as providers' usage or an inventory."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Replace a small table, such as providers' usage or an inventory, with its columns in order of name.
+
+    The new version is whole beside the old one before it takes its place; load_snapshot() finds
+    whichever is left by a run that ends in between.
+    """
+    df.select(sorted(df.columns)).coalesce(1).write.mode("overwrite").json(f"{path}.new")
+    system, at = _file_system(df.sparkSession, path)
+    if system.exists(at(path)):
+        system.delete(at(f"{path}.old"), True)
+        system.rename(at(path), at(f"{path}.old"))
+    system.rename(at(f"{path}.new"), at(path))
+    system.delete(at(f"{path}.old"), True)
+
+
+def load_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    system, at = _file_system(spark, path)
+    whole = next((p for p in (path, f"{path}.new", f"{path}.old") if system.exists(at(f"{p}/_SUCCESS"))), path)
+    return spark.read.schema(schema).json(whole)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def versions(spark: SparkSession, root: str) -> list[str]:

@@ -52,6 +52,47 @@ def test_pool_rotates_waits_and_gives_up():
     assert len(providers.configured(specs, {"K": "k"})) == 1
 
 
+def test_waiting_times_of_a_slot():
+    slot = providers.Slot("s", rpd=100, rpm=10)
+    slot.answered = [1000.0 * k for k in range(84)]
+    now = 84_500.0
+    assert slot.ready_at(now) == now
+    slot.note(now, True)
+    assert slot.ready_at(now) == 0 + providers.DAY + providers.TICK and slot.ready_at(providers.DAY + 1) == providers.DAY + 1
+    slot = providers.Slot("s", rpm=2, margin=1.0)
+    slot.note(59.0, True)
+    slot.note(59.5, True)
+    assert slot.ready_at(59.9) == 60.0 and slot.ready_at(60.1) == 60.1
+    slot.note(61.0, False, providers.seconds_of("30", 61.0))
+    assert slot.available_after == 91.0 and slot.ready_at(70.0) == 91.0
+    slot.note(100.0, False)
+    slot.note(100.0, False)
+    assert slot.available_after == 100.0 + providers.BACKOFF * 4
+    assert providers.seconds_of("Thu, 01 Jan 1970 00:02:00 GMT", 60.0) == 60.0 and providers.seconds_of("soon", 0.0) is None
+    other = providers.Slot("t")
+    assert providers.choose([slot, other], ("primary",), 101.0) == (101.0, other) and providers.choose([slot], ("judge",), 0.0) == (providers.inf, None)
+
+
+def test_snapshots_and_registries(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for n in (1, 2):
+        config.save_snapshot(spark.createDataFrame([(n, "x")], "b long, a string"), path)
+        assert [tuple(r) for r in config.load_snapshot(spark, path, "a string, b long").collect()] == [("x", n)]
+    (tmp_path / "state").rename(tmp_path / "state.old")
+    assert config.load_snapshot(spark, path, "a string, b long").count() == 1
+    config.write_registry(spark, str(tmp_path / "r.yaml"), [{"name": "É", "postings_page": "https://a.org"}])
+    assert (tmp_path / "r.yaml").read_text(encoding="utf-8").startswith("# ") and config.read_sources(spark, str(tmp_path / "r.yaml")).first()["name"] == "É"
+    names = ["a", "a", "a 2", "a 2", "b", "a", "a 2 2", "B!"]
+    built = inventory.registry(spark.createDataFrame(list(enumerate(names)), "pos long, name string")).orderBy("pos").collect()
+    expected, used = [], set()
+    for name in names:
+        slug = name.lower().strip("!").replace(" ", "_")
+        found = next(x for n in range(1, 99) if (x := slug if n == 1 else f"{slug}_{n}") not in used)
+        used.add(found)
+        expected.append(found)
+    assert [r["source_id"] for r in built] == expected and len(used) == len(names)
+
+
 def test_remaining_projections(spark):
     df = spark.createDataFrame([("phd", {"b": 0.7, "a": 0.3}), ("none", {"a": 1.0})], "c string, p map<string,double>")
     found = df.select(text.category_index(F.col("c")).alias("i"), metrics.in_order(F.col("p"), ["a", "b"]).alias("p"), text.example_prompt("I", "E", "S", F.col("c")).alias("raw")).collect()
