@@ -15,6 +15,10 @@ from loamwork.operators.components import connected_components
 from loamwork.operators.pick import top
 
 
+#: Titles on one side of a task's share of a block.
+DEAL = 512
+
+
 def classify(records: DataFrame) -> DataFrame:
     """All records with clean_text, word_count, language and outcome: kept, short or other_language.
 
@@ -47,17 +51,41 @@ def title_pairs(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> Dat
     two titles' records interleave.
     """
     distinct = title_blocks(records).groupBy("word", "bucket", "t").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
-    a, b = (distinct.select("word", "bucket", *[F.col(c).alias(f"{c}{k}") for c in ("t", "lo", "hi")]) for k in ("a", "b"))
+    # a block is dealt in chunks of DEAL titles on one side, so that a frequent word's pairs are split over tasks
+    sizes = distinct.groupBy("word", "bucket").agg(F.ceil(F.count("*") / DEAL).cast("int").alias("chunks"))
+    dealt = distinct.join(sizes, ["word", "bucket"])
+    a, b = (dealt.select("word", "bucket", "chunks", *[F.col(c).alias(f"{c}{k}") for c in ("t", "lo", "hi")]) for k in ("a", "b"))
+    a = a.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+    b = b.withColumn("chunk", F.pmod(F.xxhash64("tb"), F.col("chunks")).cast("int")).drop("chunks")
     near = 2 * F.least(F.length("ta"), F.length("tb")) >= threshold * (F.length("ta") + F.length("tb"))
-    return a.join(b, ["word", "bucket"]).where((F.col("ta") != F.col("tb")) & (F.col("loa") < F.col("hib")) & near)
+    return a.join(b, ["word", "bucket", "chunk"]).where((F.col("ta") != F.col("tb")) & (F.col("loa") < F.col("hib")) & near).drop("chunk")
+
+
+def _letters(title: Column) -> list[Column]:
+    """A title's letters, numbered by occurrence, as a set of 256 bits in four longs."""
+    chars = F.array_sort(F.split(title, ""))
+    places = F.transform(F.transform(chars, lambda c, i: F.xxhash64(c, i + 1 - F.array_position(chars, c))), lambda h: F.pmod(h, F.lit(256)).cast("int"))
+    bit = lambda e: F.call_function("shiftleft", F.lit(1).cast("long"), e % 64)
+    return [F.aggregate(F.filter(places, lambda e: F.floor(e / 64) == k), F.lit(0).cast("long"), lambda m, e: m.bitwiseOR(bit(e))) for k in range(4)]
+
+
+def _may_be_similar(pairs: DataFrame, titles: DataFrame, threshold: float) -> DataFrame:
+    """`pairs` without those whose letters differ too much: what only one title has is not matched, and bits differ for no more than that."""
+    sets = titles.select("t").distinct()
+    sets = sets.select("t", *[x.alias(f"m{k}") for k, x in enumerate(_letters(F.col("t")))])
+    a, b = (sets.toDF(f"t{side}", *[f"m{k}{side}" for k in range(4)]) for side in ("a", "b"))
+    apart = sum((F.bit_count(F.col(f"m{k}a").bitwiseXOR(F.col(f"m{k}b"))) for k in range(4)), F.lit(0))
+    joined = pairs.join(a, "ta").join(b, "tb")
+    # a margin for the rounding of the product
+    return joined.where(apart <= (1 - threshold) * (F.length("ta") + F.length("tb")) + 1e-6).select(*pairs.columns)
 
 
 def title_edges(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> DataFrame:
     """(a, b): the first records of equal titles and of titles that are similar enough."""
     blocks = title_blocks(records)
-    least = Window.partitionBy("word", "bucket", "t")
-    same = blocks.withColumn("a", F.min("seq").over(least)).where("seq <> a").select("a", F.col("seq").alias("b"))
-    near = title_pairs(records, threshold).where(arrow.similarity("ta", "tb") >= threshold)
+    # a minimum is combined before the shuffle, and the join may be split at a frequent title
+    same = blocks.join(blocks.groupBy("word", "bucket", "t").agg(F.min("seq").alias("a")), ["word", "bucket", "t"]).where("seq <> a").select("a", F.col("seq").alias("b"))
+    near = _may_be_similar(title_pairs(records, threshold), blocks, threshold).where(arrow.similarity("ta", "tb") >= threshold)
     return same.unionByName(near.select(F.col("loa").alias("a"), F.col("lob").alias("b")))
 
 
@@ -71,9 +99,10 @@ def duplicate_groups(records: DataFrame, titles: bool = True) -> DataFrame:
         linked = title_edges(records).join(own.toDF("a", "ga"), "a").join(own.toDF("b", "gb"), "b").select("ga", "gb")
         parts = connected_components(linked, "ga", "gb").toDF("group_id", "component")
         grouped = grouped.join(parts, "group_id", "left").withColumn("group_id", F.coalesce("component", "group_id")).drop("component")
-    group = Window.partitionBy("group_id")
-    best = group.orderBy(text.word_count(F.col("clean_text")).desc(), F.coalesce(F.nullif(F.col("published_at"), F.lit("")), F.lit("9999-12-31")), "seq")
-    return grouped.withColumn("group_size", F.count("*").over(group)).withColumn("is_canonical", F.row_number().over(best) == 1)
+    # the longest, then earliest, then first record of a group: a minimum, which is combined before the shuffle
+    order = F.struct((-text.word_count(F.col("clean_text"))).alias("words"), F.coalesce(F.nullif(F.col("published_at"), F.lit("")), F.lit("9999-12-31")).alias("date"), "seq")
+    best = grouped.groupBy("group_id").agg(F.count("*").alias("group_size"), F.min(order)["seq"].alias("_best"))
+    return grouped.join(best, "group_id").withColumn("is_canonical", F.col("seq") == F.col("_best")).drop("_best")
 
 
 def canonical_records(grouped: DataFrame) -> DataFrame:
@@ -146,7 +175,8 @@ def audit_sample(records: DataFrame, signal: Column | None = None) -> DataFrame:
     for category, n in C.AUDIT_OVERSAMPLE.items():
         wanted = F.when(F.col("category") == category, n).otherwise(wanted)
     ranked = marked.withColumn("place", F.row_number().over(Window.partitionBy("category").orderBy("seq")))
-    return ranked.where(F.col("place") <= wanted)
+    # a constant limit is pushed below the window's shuffle, one that depends on the row is not
+    return ranked.where(F.col("place") <= max(C.AUDIT_SAMPLE, *C.AUDIT_OVERSAMPLE.values())).where(F.col("place") <= wanted)
 
 
 def stratified(records: DataFrame, n: int, signals: Column | None = None, distinct: bool = False) -> DataFrame:

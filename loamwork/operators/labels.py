@@ -12,6 +12,8 @@ from loamwork.functions import arrow, hashing, text
 from loamwork.operators.pick import best_annotation, last, latest
 
 ANSWER = "primary_category string, secondary_plausible_categories array<string>, classification_ambiguity double, summary string, ambiguity_score double"
+#: Places in the input order that a task of the review queue sorts together.
+STRETCH = 1 << 16
 HUMAN = ["approved", "approve", "corrected"]
 
 
@@ -114,11 +116,20 @@ def merge_review(entries: DataFrame, edits: DataFrame) -> DataFrame:
 
 
 def review_queue(entries: DataFrame) -> DataFrame:
-    """`entries` with place: rejected first, then undecided, ambiguous, corrected, approved; more flags first."""
+    """`entries` with place: rejected first, then undecided, ambiguous, corrected, approved; more flags first.
+
+    Rows are counted by range (severity, flags and stretches of the input order), the few ranges' counts
+    are summed up in order, and rows get their places within their range, so that no task sorts them all.
+    """
     status = F.col("review_status")
     severity = F.when(status.isin("rejected", "reject"), 0).when(status.isin("ambiguous", "mark ambiguous"), 2).when(status == "corrected", 3).when(status.isin("approved", "approve"), 4).otherwise(1)
     flags = F.coalesce(F.size("review_flags"), F.lit(0))
-    return entries.withColumn("severity", severity).withColumn("place", F.row_number().over(Window.orderBy(severity, flags.desc(), "seq")))
+    marked = entries.withColumn("severity", severity).withColumn("_flags", -flags).withColumn("_stretch", F.floor(F.col("seq") / STRETCH))
+    key = ["severity", "_flags", "_stretch"]
+    upto = Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
+    before = marked.groupBy(*key).agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0))).drop("_n")
+    within = F.row_number().over(Window.partitionBy(*key).orderBy("seq"))
+    return marked.join(before, key).withColumn("place", (F.col("_before") + within).cast("int")).drop("_flags", "_stretch", "_before")
 
 
 def quality_tier(verified: Column | None = None) -> Column:
