@@ -25,77 +25,110 @@ KEY = "loamwork"
 #: Rounds of drawing again before the build gives up.
 ROUNDS = 20
 
-# Titles by gender, and parts of the names that stand in for others.
+# Titles by gender, parts of the names that stand in for others, words inside names,
+# letters that start the tokens of services, and country calling codes of one and two digits.
 MALE = ["Mr", "Herr", "Señor", "Monsieur"]
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "Mademoiselle"]
+NEUTRAL = ["Dr", "Prof", "Doctor", "Professor"]
 MALE_NAMES = ["Albert", "Bruno", "Carl", "David", "Emil", "Frank", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leo", "Martin", "Nils", "Oscar", "Paul"]
 FEMALE_NAMES = ["Anna", "Berta", "Clara", "Dora", "Emma", "Flora", "Greta", "Helen", "Ida", "Julia", "Klara", "Laura", "Marta", "Nora", "Olga", "Paula"]
 SYLLABLES = ["bal", "cor", "dan", "fel", "gar", "hol", "jan", "kel", "lan", "mor", "nel", "pal", "ros", "sol", "tor", "wal"]
+PARTICLES = ["van", "von", "der", "den", "de", "del", "della", "di", "da", "du", "la", "le", "zu", "zur", "zum", "ten", "ter", "bin", "ibn", "al"]
+_SERVICE = r"gh[opusr]_|github_pat_|glpat-|xox[abeprs]-|sk-|AIza|A[KS]IA"
+_CALLING = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 
 #: Letters of one case, beside ASCII those of Latin-1, Greek and Cyrillic.
-_BLOCKS = [(97, 122), (65, 90), (0xE0, 0xF6), (0xC0, 0xD6), (0x3B1, 0x3C9), (0x391, 0x3A1), (0x430, 0x44F), (0x410, 0x42F)]
+_BLOCKS = [(97, 122), (65, 90), (0xE0, 0xF6), (0xC0, 0xD6), (0xF8, 0xFE), (0xD8, 0xDE), (0x3B1, 0x3C9), (0x391, 0x3A1), (0x430, 0x44F), (0x410, 0x42F)]
 _KEY_NAME = r"(?i:passwor[dt]|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']? ?[=:] ?[\"']?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_TITLES = rf"(?:{'|'.join([*MALE, *FEMALE, *NEUTRAL])})"
 _NAME = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}++(?:\p{Lu}\p{Ll}++)?(?:-\p{Lu}\p{Ll}++)*+(?!\p{L})"
 _INITIAL = r"\p{Lu}\.(?= \p{Lu})"
+_PARTICLE = rf"(?:{'|'.join(PARTICLES)})(?= )"
 #: A text in words, with what untitled names may hold, and what stands between words.
 _WORD = r"\p{L}++(?:['’-]\p{Lu}\p{L}++)*+|\P{L}++"
-#: In order of precedence. None can match across a line.
+_PEM = r"-----BEGIN (?:(?!PRIVATE)[A-Z]+ )*+PRIVATE KEY-----"
+#: In order of precedence. Only a private key's block matches across a line.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    "pem": rf"{_PEM}[^-]*+(?:-(?!----)[^-]*+)*+(?:-----END (?:(?!PRIVATE)[A-Z]+ )*+PRIVATE KEY-----)?",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}\p{M}._%+-]++@(?:[\p{L}\p{N}\p{M}-]{1,63}\.){1,8}\p{L}{2,24}",
     # up to its end, which a full stop is not part of
     "key": rf"{_KEY_NAME}(?=[A-Za-z_+/.=~-]*+[0-9])[A-Za-z0-9_+/.=~-]{{8,}}(?<!\.)",
-    "cloud": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "cloud": r"(?<![A-Za-z0-9])(?:A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])|gh[opusr]_[A-Za-z0-9]{36,}+|github_pat_[A-Za-z0-9_]{22,}+|glpat-[A-Za-z0-9_-]{20,}+|xox[abeprs]-[A-Za-z0-9-]{10,}+|sk-[A-Za-z0-9_-]{20,}+|AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-]))",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])|(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{4,}+(?:\.[A-Za-z0-9_-]++|\.(?=\.))(?:\.[A-Za-z0-9_-]++){0,3}+",
-    "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
+    # numbers of a version are no address
+    "ip": rf"(?<![A-Za-z0-9.])(?<![Vv]ersion )(?<![Rr]elease )(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){2,7}+(?: [A-Z0-9]{1,3})?+|[A-Z0-9]{11,30}+)(?![A-Za-z0-9])",
     "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])[0-9]{13,19}(?![0-9])|(?<![0-9]|[0-9][ -])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![ -]?[0-9])",
-    "name": rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? (?:{_NAME}|{_INITIAL})(?: (?:{_NAME}|{_INITIAL}))*+",
+    "name": rf"(?<!\p{{L}}){_TITLES}\.? (?:{_TITLES}\.? )?+(?:(?:{_NAME}|{_INITIAL}|{_PARTICLE}) )*?(?:{_NAME})(?: (?:{_INITIAL} |{_PARTICLE} )*+{_NAME})*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-_HINT = rf"[0-9@]|A[KS]IA|eyJ|[0-9a-fA-F]{{32}}|(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}"
+_HINT = rf"[0-9@]|A[KS]IA|eyJ|[0-9a-fA-F]{{32}}|{_SERVICE}|{_PEM}|{_TITLES}\.? \p{{L}}"
 
 
 def entities(text: Column) -> Column:
-    """All matches from left to right; what cannot have one is not searched."""
-    return F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    """All matches from left to right as (mention, kind, form); what cannot have one is not searched.
+
+    Each step is an array of its own, so that an expression is evaluated once a mention.
+    """
+    found = F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    kinds = F.transform(found, lambda m: F.struct(m.alias("mention"), kind(m).alias("kind")))
+    return F.transform(kinds, lambda x: F.struct(x["mention"].alias("mention"), x["kind"].alias("kind"), canonical(x["mention"], x["kind"]).alias("form")))
 
 
 def kind(entity: Column) -> Column:
+    """What an entity is; "none" for a number that looks like a card or account but lacks its checksum."""
     found = F.lit("name")
     for name, pattern in reversed([x for x in PATTERNS.items() if x[0] != "name"]):
-        found = F.when(entity.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(found)
+        what = F.lit(name)
+        if name == "card":
+            what = F.when(_luhn(F.regexp_replace(entity, "[^0-9]", "")) == 0, what).otherwise(F.lit("none"))
+        if name == "iban":
+            what = F.when(_mod97(F.regexp_replace(entity, " ", "")) == 1, what).otherwise(F.lit("none"))
+        found = F.when(entity.rlike(rf"^(?:{pattern})\z"), what).otherwise(found)
     return found
 
 
 def _title(entity: Column) -> Column:
-    return F.regexp_extract(entity, rf"^(?:{'|'.join(MALE + FEMALE)})\.? ", 0)
+    return F.regexp_extract(entity, rf"^(?:{_TITLES}\.? ){{1,2}}", 0)
 
 
 def _parts(entity: Column) -> Column:
-    """(form, word) of each part of a titled name: given names, then the family's; an initial has no form."""
-    gender = F.when(entity.rlike(rf"^(?:{'|'.join(FEMALE)})[. ]"), F.lit("f:")).otherwise(F.lit("m:"))
+    """(form, word) of each part of a titled name: given names, then the family's; initials and small words have no form."""
+    female, male = (rf"^(?:{_TITLES}\.? )?(?:{'|'.join(x)})[. ]" for x in (FEMALE, MALE))
+    gender = F.when(entity.rlike(female), F.lit("f:")).when(entity.rlike(male), F.lit("m:")).otherwise(F.lit("n:"))
     words = F.split(F.substring(entity, F.length(_title(entity)) + 1, F.length(entity)), " ")
-    form = lambda w, i: F.when(~w.endswith("."), F.concat(F.when(i == F.size(words) - 1, "name:").otherwise("given:"), gender, w))
+    # the family's name is the same whatever title stands before it
+    form = lambda w, i: F.when(~w.endswith(".") & ~w.rlike(r"^\p{Ll}"), F.when(i == F.size(words) - 1, F.concat(F.lit("name:n:"), w)).otherwise(F.concat(F.lit("given:"), gender, w)))
     return F.transform(words, lambda w, i: F.struct(form(w, i).alias("form"), w.alias("word")))
 
 
-def forms(entity: Column) -> Column:
-    """The canonical forms that a mention is replaced by: one, or those of a name's parts."""
-    return F.when(kind(entity) == "name", F.array_compact(F.transform(_parts(entity), lambda x: x["form"]))).otherwise(F.array(canonical(entity)))
+def forms(found: Column) -> Column:
+    """The canonical forms that an element of entities() is replaced by: one, those of a name's parts, or none."""
+    mention, what, form = found["mention"], found["kind"], found["form"]
+    return F.when(what == "name", F.array_compact(F.transform(_parts(mention), lambda x: x["form"]))).when(what == "none", F.array().cast("array<string>")).otherwise(F.array(form))
 
 
-def canonical(entity: Column) -> Column:
-    """The kind and what all mentions of an entity that is no name have in common."""
-    what = kind(entity)
-    digits = F.regexp_replace(entity, "[^0-9]", "")
-    value = (
-        F.when(what.isin("phone", "card", "ssn"), digits).when(what.isin("email", "secret"), F.lower(entity)).when(what == "ip", entity)
-        .when(what == "key", F.lower(F.regexp_replace(entity, f"^{_KEY_NAME}", ""))).when(what == "cloud", F.lower(F.substring(entity, 5, 99)))
-    )
+def canonical(entity: Column, what: Column) -> Column:
+    """The kind and what all mentions of an entity have in common; null for names, whose parts have forms of their own."""
+    named = F.regexp_replace(entity, f"^{_KEY_NAME}", "")
     # a secret is the same whether a name stands before it or not
-    return F.concat(F.when(what == "key", "secret").otherwise(what), F.lit(":"), value)
+    return (
+        F.when(what == "phone", F.concat(F.lit("phone:"), F.regexp_extract(entity, r"^\+?", 0), F.regexp_replace(entity, "[^0-9]", "")))
+        .when(what.isin("card", "ssn"), F.concat(what, F.lit(":"), F.regexp_replace(entity, "[^0-9]", "")))
+        .when(what == "key", F.concat(F.when(named.rlike(rf"(?i)^(?:{_SERVICE})"), F.lit("cloud:")).otherwise(F.lit("secret:")), F.lower(named)))
+        .when(what.isin("email", "secret", "pem", "cloud"), F.concat(what, F.lit(":"), F.lower(entity)))
+        .when(what.isin("ip", "iban"), F.concat(what, F.lit(":"), F.regexp_replace(entity, " ", "")))
+    )
+
+
+def _mod97(account: Column) -> Column:
+    """The remainder of an account number as its checksum has it: country and check digits at the end, letters as 10 to 35."""
+    turned = F.concat(F.substring(account, 5, 99), F.substring(account, 1, 4))
+    worth = F.transform(F.split(turned, ""), lambda c: F.when(c.rlike("[0-9]"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55))
+    return F.aggregate(worth, F.lit(0), lambda a, x: (a * F.when(x > 9, 100).otherwise(10) + x) % 97)
 
 
 def _substituted(value: Column, stream: Column, hexadecimal: Column) -> Column:
@@ -111,7 +144,10 @@ def _substituted(value: Column, stream: Column, hexadecimal: Column) -> Column:
         out = F.when(code.between(48, 57), other(c, "0123456789", draw)).when(hexadecimal & code.between(97, 102), other(c, "abcdef", draw))
         for first, last in _BLOCKS:
             out = out.when(code.between(first, last), other(c, "".join(map(chr, range(first, last + 1))), draw))
-        return out.otherwise(c)
+        # letters outside the blocks become those of their script, or of ASCII
+        han = F.decode(F.unhex(F.hex(F.lit(0x4E00) + F.pmod(draw, F.lit(20000)))), "UTF-16BE")
+        out = out.when(c.rlike(r"\p{IsHan}"), han).when(c.rlike(r"\p{Lu}"), other(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", draw))
+        return out.when(c.rlike(r"\p{L}"), other(c, "abcdefghijklmnopqrstuvwxyz", draw)).otherwise(c)
 
     return F.array_join(F.transform(F.split(value, ""), one), "")
 
@@ -122,6 +158,14 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(worth, F.lit(0), lambda a, x: a + F.when(x > 9, x - 9).otherwise(x)) % 10
 
 
+def _head(what: Column, value: Column) -> Column:
+    """What a surrogate keeps: the calling code, the mark of a service's token or private key, the account's country, the gender."""
+    return (
+        F.when(what == "phone", F.regexp_extract(value, rf"^\+(?:{_CALLING})", 0)).when(what.isin("cloud", "pem"), F.regexp_extract(value, rf"(?i)^(?:{_SERVICE}|{_PEM})", 0))
+        .when(what == "iban", F.substring(value, 1, 4)).when(what.isin("name", "given"), F.substring(value, 1, 2)).otherwise("")
+    )
+
+
 def draw(named: DataFrame, key: str) -> DataFrame:
     """(entity, nonce) with target, the canonical form that stands for the canonical form `entity`."""
     value, stream = F.col("_value"), F.col("_stream")
@@ -130,32 +174,43 @@ def draw(named: DataFrame, key: str) -> DataFrame:
         chosen = F.pmod(F.xxhash64(stream, F.lit("name"), F.lit(place)), F.lit(len(options))).cast("int")
         return F.get(F.array(*map(F.lit, options)), chosen)
 
-    top = F.regexp_extract(value, "[.][a-z]+$", 0)
-    octets = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (1 + F.pmod(F.xxhash64(stream, i), F.lit(254))).cast("string"))
+    octet = lambda i: (1 + F.pmod(F.xxhash64(stream, F.lit(i)), F.lit(254))).cast("string")
+    # an address of a private or reserved range stays in it
+    fixed = F.regexp_extract(value, r"^(?:10|127|0|192\.168|169\.254|172\.(?:1[6-9]|2[0-9]|3[01]))\.", 0)
+    octets = F.array(*map(octet, range(4)))
+    drawn = F.array_join(octets, ".")
+    held = F.size(F.split(fixed, "[.]")) - 1
+    # and an open one does not come to lie in one
+    public = F.when(drawn.rlike(r"^(?:10|127|192|169|172)\."), F.concat(F.lit("203."), F.substring_index(drawn, ".", -3))).otherwise(drawn)
+    address = F.when(fixed == "", public).otherwise(F.concat(fixed, F.array_join(F.slice(octets, held + 1, 4 - held), ".")))
     # the last digit moves the remainder by as much as it changes, so that the wanted remainder can be met
     last = F.pmod(F.substring(F.col("_plain"), -1, 1).cast("int") + _luhn(value) - _luhn(F.col("_plain")), F.lit(10)).cast("string")
     syllables = F.transform(F.sequence(F.lit(1), F.lit(3) + F.floor(F.col("nonce") / 4).cast("int")), lambda i: pick(SYLLABLES, i))
-    name = F.initcap(F.array_join(syllables, ""))
-    listed = F.when(F.startswith(value, F.lit("f:")), pick(FEMALE_NAMES, 0)).otherwise(pick(MALE_NAMES, 0))
+    # a compound name gets as many parts, of which the first has the nonce's length
+    parts = F.transform(F.split(value, "-"), lambda x, k: F.when(k == 0, F.initcap(F.array_join(syllables, ""))).otherwise(F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2)), lambda i: pick(SYLLABLES, 100 * k + i)), ""))))
+    name = F.array_join(parts, "-")
+    listed = F.when(F.startswith(value, F.lit("f:")), pick(FEMALE_NAMES, 0)).when(F.startswith(value, F.lit("m:")), pick(MALE_NAMES, 0)).otherwise(pick([*MALE_NAMES, *FEMALE_NAMES], 0))
     # when the listed names are used up, others are made
     given = F.when(F.col("nonce") < 4, listed).otherwise(name)
-    latin = value.rlike(r"^[mf]:[\p{IsLatin} -]+$")
+    latin = value.rlike(r"^[mfn]:[\p{IsLatin}'’ -]+$")
+    country, account = F.substring(value, 1, 2), F.expr("substring(_plain, 5)")
     what = F.col("_kind")
     target = (
-        F.when(what == "email", F.concat(_substituted(F.regexp_replace(value, "[.][a-z]+$", ""), stream, F.lit(False)), top))
-        .when(what == "ip", F.array_join(octets, "."))
+        F.when(what == "ip", address)
+        .when(what == "iban", F.concat(country, F.lpad((98 - _mod97(F.concat(country, F.lit("00"), account))).cast("string"), 2, "0"), account))
         .when(what == "card", F.concat(F.expr("left(_plain, length(_plain) - 1)"), last))
         .when(what.isin("name", "given") & latin, F.concat(F.substring(value, 1, 2), F.when(what == "given", given).otherwise(name)))
-        .when(what.isin("name", "given"), F.concat(F.substring(value, 1, 2), _substituted(F.expr("substring(_value, 3)"), stream, F.lit(False))))
         .otherwise(F.col("_plain"))
     )
     return (
         named.withColumn("_kind", F.substring_index("entity", ":", 1))
         .withColumn("_value", F.expr("substring(entity, length(_kind) + 2)"))
+        .withColumn("_head", _head(F.col("_kind"), F.col("_value")))
+        .withColumn("_tail", F.when(F.col("_kind") == "email", F.regexp_extract("_value", r"[.]\p{L}+$", 0)).otherwise(""))
         .withColumn("_stream", F.sha2(F.concat_ws("|", F.lit(key), F.col("nonce").cast("string"), F.col("entity")), 256))
-        .withColumn("_plain", _substituted(value, stream, what == "secret"))
+        .withColumn("_plain", F.concat("_head", _substituted(F.expr("substring(_value, length(_head) + 1, length(_value) - length(_head) - length(_tail))"), stream, what == "secret"), "_tail"))
         .withColumn("target", F.concat(what, F.lit(":"), target))
-        .drop("_kind", "_value", "_stream", "_plain")
+        .drop("_kind", "_value", "_head", "_tail", "_stream", "_plain")
     )
 
 
@@ -177,35 +232,37 @@ def surrogates(found: DataFrame, key: str = KEY) -> DataFrame:
 def _written(mention: Column, target: Column) -> Column:
     """The target in the mention's format."""
     what = F.substring_index(target, ":", 1)
-    bare = F.regexp_replace(target, "^[a-z]+:(?:[mf]:)?", "")
-    digits = F.array_join(
-        F.transform(
-            F.split(mention, ""),
-            lambda c, i: F.when(c.rlike("[0-9]"), F.substring(bare, F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), "[^0-9]", "")), F.lit(1))).otherwise(c),
-        ),
-        "",
-    )
-    # a key keeps its name, and a cloud key the letters that mark it as one
-    before = F.when(what == "secret", F.regexp_extract(mention, f"^{_KEY_NAME}", 0)).when(what == "cloud", F.substring(mention, 1, 4)).otherwise(F.lit(""))
-    rest = F.substring(mention, F.length(before) + 1, F.length(mention))
+    bare = F.regexp_replace(target, "^[a-z]+:", "")
+    digits = F.regexp_replace(bare, "[^0-9]", "")
+    place = lambda i, unwanted: F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), unwanted, ""))
+    spread = lambda chars, wanted, unwanted: F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike(wanted), F.substring(chars, place(i, unwanted), F.lit(1))).otherwise(c)), "")
+    # a key keeps its name, a service's token and a private key what marks them
+    name = F.regexp_extract(mention, f"^{_KEY_NAME}", 0)
+    rest = F.substring(mention, F.length(name) + 1, F.length(mention))
+    end = F.when(what == "pem", F.regexp_extract(mention, "(?:-----END[A-Z ]*-----)?$", 0)).otherwise("")
     # both are cut up once, so that a long secret costs no more a letter than a short one
-    cased = F.concat(before, F.array_join(F.zip_with(F.split(rest, ""), F.split(bare, ""), lambda c, x: F.when(c.rlike("[A-Z]"), F.upper(x)).otherwise(x)), ""))
-    return F.when(what.isin("phone", "card", "ssn"), digits).when(what.isin("email", "secret", "cloud"), cased).when(what == "ip", bare)
+    cased = F.array_join(F.zip_with(F.split(rest, ""), F.split(bare, ""), lambda c, x: F.when(c.rlike("[A-Z]"), F.upper(x)).otherwise(x)), "")
+    kept = F.regexp_extract(rest, rf"^(?:{_SERVICE}|{_PEM})", 0)
+    marked = F.when(what.isin("cloud", "pem"), F.concat(kept, F.substring(cased, F.length(kept) + 1, F.length(cased) - F.length(kept) - F.length(end)), end)).otherwise(cased)
+    return (
+        F.when(what.isin("phone", "card", "ssn"), spread(digits, "[0-9]", "[^0-9]")).when(what == "iban", spread(bare, "[A-Z0-9]", "[^A-Z0-9]"))
+        .when(what.isin("secret", "cloud", "pem"), F.concat(name, marked)).when(what == "email", cased).when(what == "ip", bare)
+    )
 
 
 def _bare(target: Column) -> Column:
-    return F.regexp_replace(target, "^[a-z]+:[mf]:", "")
+    return F.regexp_replace(target, "^[a-z]+:[mfn]:", "")
 
 
 def _renamed(mention: Column, targets: Column) -> Column:
-    """A titled name with the surrogate of each part; an initial becomes X."""
-    words = F.transform(_parts(mention), lambda x: F.when(x["form"].isNull(), F.lit("X.")).otherwise(_bare(F.element_at(targets, x["form"]))))
+    """A titled name with the surrogate of each part; an initial becomes X, small words stay."""
+    words = F.transform(_parts(mention), lambda x: F.when(x["form"].isNotNull(), _bare(F.element_at(targets, x["form"]))).when(x["word"].endswith("."), F.lit("X.")).otherwise(x["word"]))
     return F.concat(_title(mention), F.array_join(words, " "))
 
 
 def _untitled(word: Column, targets: Column) -> Column:
     """The surrogate of a word that is part of a titled name of its document, or null."""
-    known = F.coalesce(*[F.element_at(targets, F.concat(F.lit(k), word)) for k in ("name:m:", "name:f:", "given:m:", "given:f:")])
+    known = F.coalesce(*[F.element_at(targets, F.concat(F.lit(k), word)) for k in ("name:n:", "given:m:", "given:f:", "given:n:")])
     return F.when(word.rlike(r"^\p{Lu}"), _bare(known))
 
 
@@ -230,11 +287,12 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     cut_up = cut_up.withColumn("_found", F.when(named & F.col("_between").isNotNull(), F.transform("_between", lambda x: F.transform(F.regexp_extract_all(x, F.lit(_WORD), F.lit(0)), lambda w: F.struct(w.alias("word"), _untitled(w, targets).alias("new"))))))
     cut_up = cut_up.withColumn("_between", F.when(F.col("_found").isNotNull(), F.transform("_found", lambda x: F.array_join(F.transform(x, lambda w: F.coalesce(w["new"], w["word"])), ""))).otherwise(F.col("_between")))
     cut_up = cut_up.withColumn("_more", F.coalesce(F.size(F.filter(F.flatten("_found"), lambda w: w["new"].isNotNull())), F.lit(0)))
-    new = lambda m: F.when(kind(m) == "name", _renamed(m, targets)).otherwise(_written(m, F.element_at(targets, canonical(m))))
-    rest = F.transform("_mentions", lambda m, i: F.concat(new(m), F.get("_between", i + 1)))
+    aimed = F.transform("_mentions", lambda x: F.struct(x["mention"].alias("mention"), x["kind"].alias("kind"), F.when(x["form"].isNotNull(), F.element_at(targets, x["form"])).alias("target")))
+    new = lambda x: F.when(x["kind"] == "name", _renamed(x["mention"], targets)).when(x["kind"] == "none", x["mention"]).otherwise(_written(x["mention"], x["target"]))
+    rest = F.transform(F.transform(aimed, new), lambda x, i: F.concat(x, F.get("_between", i + 1)))
     text = F.when(F.col("_between").isNotNull(), F.concat(F.get("_between", F.lit(0)), F.array_join(rest, ""))).otherwise(F.col("text"))
     columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return cut_up.select(*columns, F.coalesce(F.when(F.size("_mentions") > 0, F.size("_mentions") + F.col("_more")), F.lit(0)).cast("long").alias("n_entities"))
+    return cut_up.select(*columns, F.coalesce(F.when(F.size("_mentions") > 0, F.size(F.filter("_mentions", lambda m: m["kind"] != "none")) + F.col("_more")), F.lit(0)).cast("long").alias("n_entities"))
 
 
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
