@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType
 
 from loamwork import constants as C
 
+# Tags that stand on lines of their own, and those whose content is not text.
 _BLOCKS = {"p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "blockquote", "section", "article"}
 _HIDDEN = {"script", "style", "noscript", "template"}
 

@@ -61,20 +61,17 @@ def title_pairs(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> Dat
     return a.join(b, ["word", "bucket", "chunk"]).where((F.col("ta") != F.col("tb")) & (F.col("loa") < F.col("hib")) & near).drop("chunk")
 
 
-def _letters(title: Column) -> list[Column]:
-    """A title's letters, numbered by occurrence, as a set of 256 bits in four longs."""
-    chars = F.array_sort(F.split(title, ""))
-    places = F.transform(F.transform(chars, lambda c, i: F.xxhash64(c, i + 1 - F.array_position(chars, c))), lambda h: F.pmod(h, F.lit(256)).cast("int"))
-    bit = lambda e: F.call_function("shiftleft", F.lit(1).cast("long"), e % 64)
-    return [F.aggregate(F.filter(places, lambda e: F.floor(e / 64) == k), F.lit(0).cast("long"), lambda m, e: m.bitwiseOR(bit(e))) for k in range(4)]
+def _letters(title: Column) -> Column:
+    """How often a title has each letter and digit, and the number of its other characters."""
+    counts = [F.length(title) - F.length(F.replace(title, F.lit(c), F.lit(""))) for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    return F.array(*counts)
 
 
 def _may_be_similar(pairs: DataFrame, titles: DataFrame, threshold: float) -> DataFrame:
-    """`pairs` without those whose letters differ too much: what only one title has is not matched, and bits differ for no more than that."""
-    sets = titles.select("t").distinct()
-    sets = sets.select("t", *[x.alias(f"m{k}") for k, x in enumerate(_letters(F.col("t")))])
-    a, b = (sets.toDF(f"t{side}", *[f"m{k}{side}" for k in range(4)]) for side in ("a", "b"))
-    apart = sum((F.bit_count(F.col(f"m{k}a").bitwiseXOR(F.col(f"m{k}b"))) for k in range(4)), F.lit(0))
+    """`pairs` without those whose letters differ too much: what only one title has is not matched."""
+    sets = titles.select("t").distinct().withColumn("m", _letters(F.col("t")))
+    a, b = (sets.toDF(f"t{side}", f"m{side}") for side in ("a", "b"))
+    apart = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.abs(x - y)), F.lit(0), lambda n, x: n + x)
     joined = pairs.join(a, "ta").join(b, "tb")
     # a margin for the rounding of the product
     return joined.where(apart <= (1 - threshold) * (F.length("ta") + F.length("tb")) + 1e-6).select(*pairs.columns)
@@ -148,6 +145,17 @@ def term_counts(terms: DataFrame, n: int = 40) -> DataFrame:
     return terms.groupBy(text.strip(F.lower("term")).alias("term")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(n)
 
 
+def term_counts_by_source(terms: DataFrame) -> DataFrame:
+    """(source_id, term, n) of column `term`, in lower case, stripped."""
+    return terms.groupBy("source_id", text.strip(F.lower("term")).alias("term")).agg(F.count("*").alias("n"))
+
+
+def top_source(records: DataFrame) -> DataFrame:
+    """One row: the source with most records (of equals the first by name) and its share of all."""
+    counts = records.groupBy("source_id").agg(F.count("*").alias("n"))
+    return counts.agg(F.min(F.struct((-F.col("n")).alias("n"), "source_id"))["source_id"].alias("source_id"), (F.max("n") / F.sum("n")).alias("share"))
+
+
 def cue_counts(records: DataFrame, cues: Column | None = None, examples: int = 3) -> DataFrame:
     """(cue, n, examples): how often each cue stands in titles and the first titles that have it."""
     cue = text.title_signals(F.col("title")) if cues is None else cues

@@ -89,3 +89,16 @@ def category_ids(terms: DataFrame, keywords: list[str]) -> DataFrame:
     """(keyword, ids): category ids whose name or slug holds a keyword, over rows (id, name, slug)."""
     each = terms.select("id", F.lower(F.concat_ws(" ", "name", "slug")).alias("t"), F.explode(F.array(*map(F.lit, keywords))).alias("keyword"))
     return each.where(F.col("t").contains(F.col("keyword"))).groupBy("keyword").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+
+
+def known_methods(registered: DataFrame, probes: DataFrame) -> DataFrame:
+    """`registered` with recommended_method: the probe's, or what the endpoint says of a source without one."""
+    guess = F.when(F.coalesce("api_endpoint", F.lit("")).contains("/wp-json/"), "wp_rest").otherwise("needs_manual_review")
+    found = probes.select("source_id", F.col("recommended_method").alias("_probed"))
+    return registered.join(found, "source_id", "left").withColumn("recommended_method", F.coalesce("_probed", guess)).drop("_probed")
+
+
+def targets(registered: DataFrame, source: str | None = None, methods: list[str] | None = None) -> DataFrame:
+    """The sources of a run: one by its id or all, of these only those of the methods asked for."""
+    chosen = registered if source is None else registered.where(F.col("source_id") == source)
+    return chosen if methods is None else chosen.where(F.col("recommended_method").isin(methods))

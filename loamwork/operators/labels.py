@@ -289,3 +289,26 @@ def training_rows(split: DataFrame, task: str, first: int | None = None) -> Data
     if task == "classify":
         return rows.select(F.col("input").alias("text"), text.category_index(F.col("target")).alias("label"))
     return rows.select(F.col("input").alias("prompt"), F.col("target").alias("completion"))
+
+
+def provenance(entries: DataFrame, task: str, prompt_version: str, schema_version: str) -> DataFrame:
+    """`entries` of records with what an annotation was made from: its input's hash, task and versions."""
+    known = {"input_hash": hashing.input_hash(F.col("title"), F.col("clean_text")), "task": F.lit(task), "prompt_version": F.lit(prompt_version), "schema_version": F.lit(schema_version)}
+    return entries.withColumns(known | {"taxonomy_version": F.lit("taxonomy_v1" if task == "classify" else None).cast("string")})
+
+
+def run_statistics(records: DataFrame, entries: DataFrame, before: DataFrame) -> DataFrame:
+    """One row: what a run did with `records`, of which those with an entry in `before` were skipped.
+
+    An entry of an unknown status is an error.
+    """
+    status, flags = F.coalesce("status", F.lit("error")), F.concat_ws(" ", "review_flags")
+    known = ["completed", "rate_limited", "needs_review"]
+    counts = [F.count_if(status == s).alias(s) for s in known] + [F.count_if(~status.isin(known)).alias("errors"), F.count_if(flags.contains("disagree")).alias("disagreements")]
+    counted = entries.agg(*counts, F.count_if(F.array_contains(F.coalesce("review_flags", F.array().cast("array<string>")), "recovered_by_second_opinion")).alias("second_opinions"))
+    skipped = records.join(before.select("record_id"), "record_id", "left_semi").agg(F.count("*").alias("skipped"))
+    return counted.crossJoin(F.broadcast(skipped))
+
+
+def noul_counts(items: DataFrame) -> DataFrame:
+    return items.groupBy("family", "target").agg(F.count("*").alias("n"))

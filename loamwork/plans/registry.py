@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamwork.plans import corpus, labelling, relational, scores
+from loamwork.plans import corpus, decisions, labelling, relational, scores
 
-_MODULES = (corpus, labelling, relational, scores)
+_MODULES = (corpus, labelling, relational, scores, decisions)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

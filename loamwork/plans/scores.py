@@ -70,10 +70,6 @@ def q_temperature_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(metrics.negative_log_likelihood(scored(spark, sf_dir), [0.25, 0.5, 1.0, 2.0, 4.0, 8.0]))
 
 
-def q_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(round(metrics.fit_temperature(scored(spark, sf_dir)), 3),)], "temperature double")
-
-
 def q_binary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(metrics.binary_scores(binary(spark, sf_dir)))
 
@@ -163,7 +159,7 @@ _TAG = "len(regexp_extract_all(html, '(?i)<{}[\\s>]'))"
 _SPA = "list_filter([" + ", ".join(f"CASE WHEN contains(html, '{m}') THEN '{m}' END" for m in C.SPA_MARKERS) + "], lambda x: x IS NOT NULL)"
 
 QUERIES = {f.__name__: f for f in (
-    q_softmax_choice, q_confusion, q_class_metrics, q_macro_f1, q_reliability, q_ece, q_brier, q_temperature_grid, q_temperature, q_binary_metrics, q_binary_ece, q_threshold_table, q_roc_auc, q_pr_auc,
+    q_softmax_choice, q_confusion, q_class_metrics, q_macro_f1, q_reliability, q_ece, q_brier, q_temperature_grid, q_binary_metrics, q_binary_ece, q_threshold_table, q_roc_auc, q_pr_auc,
     q_gate, q_provider_scores, q_rouge_l, q_summary_stats, q_html_to_text, q_domain_of, q_page_probe, q_recommended_method, q_chat_render,
 )}
 
