@@ -24,14 +24,15 @@ _HIDDEN = {"script", "style", "noscript", "template"}
 class _Text(HTMLParser):
     """Collects the text of a page; a block's end and a line break become a line end."""
 
-    def __init__(self) -> None:
+    def __init__(self, without: tuple[str, ...] = ()) -> None:
         super().__init__(convert_charrefs=True)
+        self._without = _HIDDEN | set(without)
         self.parts: list[str] = []
         self._hidden = 0
         self._open: list[str] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in _HIDDEN:
+        if tag in self._without:
             self._hidden += 1
         elif tag == "br":
             self.parts.append("\n")
@@ -41,7 +42,7 @@ class _Text(HTMLParser):
             self._open.append(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in _HIDDEN:
+        if tag in self._without:
             self._hidden = max(0, self._hidden - 1)
         elif tag in _BLOCKS and tag in self._open:
             while self._open:
@@ -54,11 +55,11 @@ class _Text(HTMLParser):
             self.parts.append(data)
 
 
-def html_text(page: str | None) -> str:
-    """Readable text of a page: blocks on lines of their own, blanks collapsed, one empty line at most."""
+def html_text(page: str | None, without: tuple[str, ...] = ()) -> str:
+    """Readable text of a page: blocks on lines of their own, blanks collapsed, one empty line at most; tags in `without` are left out."""
     if not page or "<" not in page:
         return html.unescape(page or "").strip()
-    parser = _Text()
+    parser = _Text(without)
     parser.feed(page)
     parser.close()
     out: list[str] = []

@@ -10,6 +10,8 @@ from __future__ import annotations
 import html
 import json
 from collections.abc import Callable, Iterator
+from datetime import UTC, datetime
+from email.utils import parsedate_to_datetime
 from hashlib import sha1
 from urllib.parse import urljoin
 from urllib.robotparser import RobotFileParser
@@ -63,6 +65,17 @@ def unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield batch.map(lambda x: html.unescape(x or "").strip())
 
 
+def utc_stamp(written: str) -> str:
+    """A feed's date, in either of the two usual forms, as ISO in UTC; empty if it is none. Without a zone it is UTC."""
+    for read in (parsedate_to_datetime, datetime.fromisoformat):
+        try:
+            found = read(written.strip())
+        except (TypeError, ValueError):
+            continue
+        return (found if found.tzinfo else found.replace(tzinfo=UTC)).astimezone(UTC).replace(microsecond=0).isoformat()
+    return ""
+
+
 @pandas_udf(StringType())
 def feed_items(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """The entries of an RSS or Atom document as JSON; a broken document has none."""
@@ -83,7 +96,7 @@ def feed_items(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         except ElementTree.ParseError:
             return "[]"
         found = [n for n in root.iter() if n.tag.rsplit("}", 1)[-1] in ("item", "entry")]
-        return json.dumps([{"link": child(n, "link"), "title": child(n, "title"), "content": child(n, "encoded", "content", "description", "summary"), "published": child(n, "pubDate", "published", "updated", "date")} for n in found])
+        return json.dumps([{"link": child(n, "link"), "title": child(n, "title"), "content": child(n, "encoded", "content", "description", "summary"), "published": utc_stamp(child(n, "pubDate", "published", "date") or child(n, "updated"))} for n in found])
 
     for batch in batches:
         yield batch.map(items)
@@ -110,8 +123,8 @@ def listing_items(item: str, title: str, link: str, date: str | None = None) ->
     return run
 
 
-def detail_text(selector: str, deadline: str | None = None) -> Callable:
-    """An Arrow function from a detail page to its text, after "DEADLINE: ..." where the page states one."""
+def detail_text(selector: str, deadline: str | None = None, without: tuple[str, ...] = ()) -> Callable:
+    """An Arrow function from a detail page to its text, after "DEADLINE: ..." where the page states one; tags in `without` are left out."""
 
     @pandas_udf(StringType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -120,7 +133,7 @@ def detail_text(selector: str, deadline: str | None = None) -> Callable:
             body = (tree.select(selector) or tree.select("body") or [tree])[0]
             stated = tree.select(deadline) if deadline else []
             head = f"DEADLINE: {stated[0].text().strip()}\n" if stated and stated[0].text().strip() else ""
-            return head + arrow.html_text(body.markup())
+            return head + arrow.html_text(body.markup(), without)
 
         for batch in batches:
             yield batch.map(one)
@@ -150,8 +163,33 @@ def _terms(kind: str) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.filter(every, lambda t: t["taxonomy"] == kind), lambda t: t["name"])))
 
 
+def page_urls(listing: str, pagination: dict) -> list[str]:
+    """The pages of a listing: the first is the listing itself, the others follow a path template or a parameter."""
+    start, end = int(pagination.get("start", 1)), int(pagination.get("max_pages", 1))
+    template, parameter = pagination.get("path_template"), pagination.get("page_param", "page")
+
+    def url(n: int) -> str:
+        if n == 1:
+            return listing
+        return listing.rstrip("/") + template.format(page=n) if template else f"{listing}{'&' if '?' in listing else '?'}{parameter}={n}"
+
+    return [url(n) for n in range(start, end + 1)]
+
+
+def wp_rest_targeted(responses: DataFrame, per_target: int = 60, **how: object) -> DataFrame:
+    """Records asked for by slug or category id, which `responses` has in column target: up to `per_target` of each.
+
+    A record of several targets comes once for each.
+    """
+    own = responses.withColumn("_source", F.col("source_id")).withColumn("source_id", F.concat_ws("\n", "source_id", "target"))
+    found = wp_rest(own.select(*[c for c in responses.columns if c != "target"]), cap=per_target, **how)
+    return found.withColumn("target", F.element_at(F.split("source_id", "\n"), 2)).withColumn("source_id", F.substring_index("source_id", "\n", 1))
+
+
 def wp_rest(responses: DataFrame, deadline_fields: tuple[str, ...] = ("deadline", "application_deadline"), cap: int = CAPS["wp_rest"]) -> DataFrame:
-    posts = responses.where("status = 200").select("source_id", "page", F.col("url").alias("listing_url"), F.posexplode(F.from_json("text", f"array<{POST}>")).alias("place", "p"))
+    # the first page says how many there are; what a server sends beyond that is not read
+    within = responses.where("status = 200 AND (coalesce(total_pages, 0) < 1 OR page <= total_pages)")
+    posts = within.select("source_id", "page", F.col("url").alias("listing_url"), F.posexplode(F.from_json("text", f"array<{POST}>")).alias("place", "p"))
     stated = F.get(F.filter(F.array(*[F.col(f"p.{f}") for f in deadline_fields]), lambda x: F.trim(x) != ""), F.lit(0))
     extra = F.struct(F.col("p.id").alias("wp_id"), F.col("p.modified").alias("wp_modified"), _terms("category").alias("wp_categories"), _terms("post_tag").alias("wp_tags"), F.substring("p.excerpt.rendered", 1, 500).alias("excerpt"))
     return _records(posts.select("source_id", "page", "place", "listing_url", F.col("p.link").alias("link"), F.col("p.title.rendered").alias("title"), F.coalesce("p.content.rendered", F.lit("")).alias("content"), F.coalesce("p.date_gmt", "p.date").alias("published"), stated.alias("deadline"), extra.alias("extra")), cap)
@@ -161,7 +199,7 @@ def rss(responses: DataFrame, details: DataFrame | None = None, selector: str =
     """Feed entries; those with little text take the text of their page in `details` (url, text)."""
     items = responses.where("status = 200").select("source_id", "page", F.col("url").alias("listing_url"), F.posexplode(F.from_json(feed_items("text"), ITEM)).alias("place", "i")).select("source_id", "page", "place", "listing_url", "i.*")
     out = _records(items.withColumns({"deadline": F.lit(None).cast("string"), "extra": F.lit(None).cast("struct<feed_title:string>")}), cap)
-    return out if details is None else with_details(out, details, selector, deadline, SHORT)
+    return out if details is None else with_details(out, details, selector, deadline, SHORT, ("nav", "footer", "aside"))
 
 
 def html_listing(responses: DataFrame, recipe: dict, details: DataFrame | None = None, cap: int = CAPS["html"]) -> DataFrame:
@@ -173,8 +211,8 @@ def html_listing(responses: DataFrame, recipe: dict, details: DataFrame | None =
     return out if details is None else with_details(out, details, detail.get("content_selector", "article"), detail.get("deadline_selector"), None)
 
 
-def with_details(records: DataFrame, details: DataFrame, selector: str, deadline: str | None, shorter_than: int | None) -> DataFrame:
-    pages = details.where("status = 200").select(F.col("url").alias("canonical_url"), detail_text(selector, deadline)("text").alias("_detail"))
+def with_details(records: DataFrame, details: DataFrame, selector: str, deadline: str | None, shorter_than: int | None, without: tuple[str, ...] = ()) -> DataFrame:
+    pages = details.where("status = 200").select(F.col("url").alias("canonical_url"), detail_text(selector, deadline, without)("text").alias("_detail"))
     joined = records.join(pages, "canonical_url", "left")
     wanted = F.col("_detail").isNotNull() & (F.lit(True) if shorter_than is None else F.length("clean_text") < shorter_than)
     replaced = joined.withColumn("clean_text", F.when(wanted, F.col("_detail")).otherwise(F.col("clean_text"))).drop("_detail")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loamwork import schemas
 from loamwork.functions import hashing
-from loamwork.sources import connectors, files
+from loamwork.sources import connectors, fetching, files
 
 
 def post(i, **more):
@@ -39,6 +39,38 @@ def test_feeds(spark):
     assert full["clean_text"] == "DEADLINE: 2 May\nLong text"
 
 
+def test_pages_targets_and_dates(spark):
+    assert connectors.page_urls("https://a.org/x/", {"max_pages": 2, "path_template": "/page/{page}"}) == ["https://a.org/x/", "https://a.org/x/page/2"]
+    assert connectors.page_urls("https://a.org/x?s=1", {"max_pages": 3, "start": 2, "page_param": "p"}) == ["https://a.org/x?s=1&p=2", "https://a.org/x?s=1&p=3"] and connectors.page_urls("u", {}) == ["u"]
+    many = responses(spark, [(n, 200, json.dumps([post(n)])) for n in (1, 2, 3)])
+    assert connectors.wp_rest(many.withColumn("total_pages", F.lit(2))).count() == 2 and connectors.wp_rest(many.withColumn("total_pages", F.lit(0))).count() == 3
+    both = many.withColumn("target", F.lit("phd")).unionByName(many.withColumn("target", F.lit("12")))
+    found = connectors.wp_rest_targeted(both, 2).collect()
+    assert sorted((r["source_id"], r["target"], r["canonical_url"][-1]) for r in found) == [("s", "12", "1"), ("s", "12", "2"), ("s", "phd", "1"), ("s", "phd", "2")]
+    assert connectors.utc_stamp("Mon, 05 Jan 2026 12:00:00 +0200") == connectors.utc_stamp("2026-01-05T10:00:00Z") == "2026-01-05T10:00:00+00:00" and connectors.utc_stamp("soon") == ""
+    feed = "<rss><channel><item><title>A</title><link>https://x.org/a</link><pubDate>Mon, 05 Jan 2026 12:00:00 +0200</pubDate></item></channel></rss>"
+    page = '<body><article>Long <nav>menu</nav>text<aside>ad</aside></article></body>'
+    details = spark.createDataFrame([("k", "s", "https://x.org/a", 1, 200, "t", 1, page)], schemas.RESPONSE)
+    one = connectors.rss(responses(spark, [(1, 200, feed)]), details).first()
+    assert one["clean_text"] == "Long text" and one["published_at"] == "2026-01-05T10:00:00+00:00"
+
+
+def test_polite_fetching():
+    now, sent = [0.0], []
+    answers = {"https://a.org/1": [fetching.Response(503), fetching.Response(429, retry_after="30"), fetching.Response(200, "x")], "https://a.org/2": [fetching.Response(404)], "https://b.org/1": [fetching.Response(403)], "https://c.org/1": [fetching.Response(None)] * 9}
+
+    def send(url):
+        sent.append((now[0], url))
+        return answers[url].pop(0)
+
+    urls = ["https://a.org/1", "https://a.org/2", "https://b.org/1", "https://b.org/2", "https://c.org/1", "https://c.org/private"]
+    found = list(fetching.fetch(urls, send, lambda u: "private" not in u, clock=lambda: now[0], wait=lambda s: now.__setitem__(0, now[0] + s)))
+    assert {u: w for u, _, w in found} == {urls[0]: "done", urls[1]: "failed", urls[2]: "refused", urls[3]: "refused", urls[4]: "failed", urls[5]: "disallowed"}
+    to_a = [t for t, u in sent if "a.org" in u]
+    assert all(b - a >= fetching.DELAY for a, b in zip(to_a, to_a[1:])) and any(b - a >= 30 for a, b in zip(to_a, to_a[1:]))
+    assert sum("c.org" in u for _, u in sent) == 1 + fetching.RETRIES and len({t for t, u in sent[:3] if t == 0.0}) == 1
+
+
 def test_listings(spark):
     page = "".join(f'<article><h2><a href="/p/{i}">Post {i}</a></h2></article>' for i in range(3)) + "<article><h2>none</h2></article>"
     found = connectors.html_listing(responses(spark, [(1, 200, page), (2, 404, page)]), {"item": "article", "title": "h2 a", "link": "h2 a"}).orderBy("canonical_url").collect()
