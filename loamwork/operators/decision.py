@@ -16,6 +16,8 @@ from loamwork.operators import metrics
 
 GATE = 0.5
 MAX_STATE = 60_000
+#: The score of a criterion that did not fit.
+TRUNCATED = -1e9
 
 
 def validate_questions(questions: DataFrame) -> DataFrame:
@@ -42,10 +44,14 @@ def expand(states: DataFrame, questions: DataFrame) -> DataFrame:
 
 
 def score(expanded: DataFrame, scorer: Callable) -> DataFrame:
-    """`scorer` is a mapInPandas function from (.., prompt) to (.., score); questions are scored independently."""
+    """`scorer` is a mapInPandas function from (.., prompt) to (.., score); questions are scored independently.
+
+    A score is the mean log-probability of a criterion's tokens; it is null where the prompt was cut
+    before the criterion's end, which then counts as all but impossible.
+    """
     columns = [c for c in expanded.columns if c != "prompt"]
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in expanded.schema if f.name in columns)
-    return expanded.mapInPandas(scorer, f"{ddl}, score double")
+    return expanded.mapInPandas(scorer, f"{ddl}, score double").withColumn("score", F.coalesce("score", F.lit(TRUNCATED)))
 
 
 def answer(scored: DataFrame) -> DataFrame:

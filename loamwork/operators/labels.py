@@ -103,12 +103,15 @@ def second_pass_targets(entries: DataFrame) -> DataFrame:
 def merge_review(entries: DataFrame, edits: DataFrame) -> DataFrame:
     """Human edits over annotations: an edit's label replaces the stored one, and changes turn approval into correction.
 
-    `edits` has record_id, action and edited_label (null: unchanged).
+    `edits` has record_id, action and edited_label (null: unchanged). Edited fields join those that an
+    entry has from earlier reviews.
     """
     joined = entries.join(edits, "record_id", "left")
     changed = F.col("edited_label").isNotNull() & ~F.col("edited_label").eqNullSafe(F.col("label"))
+    none = F.array().cast("array<string>")
+    before = F.coalesce("human_edited_fields", none) if "human_edited_fields" in entries.columns else none
     return (
-        joined.withColumn("human_edited_fields", F.when(changed, F.array(F.lit("primary_category"))).otherwise(F.array().cast("array<string>")))
+        joined.withColumn("human_edited_fields", F.array_sort(F.array_union(before, F.when(changed, F.array(F.lit("primary_category"))).otherwise(none))))
         .withColumn("review_status", F.when((F.col("action") == "approved") & changed, "corrected").otherwise(F.coalesce("action", "review_status")))
         .withColumn("label", F.coalesce("edited_label", "label"))
         .drop("action", "edited_label")

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from loamwork.operators import labels
+from loamwork.operators import decision, labels
 
 ANN = "seq long, record_id string, label string, review_status string, status string, parsed_annotation string, needs_human_review boolean, reviewed_at string, verified_at string, teacher_timestamp string"
 VER = "seq long, record_id string, verifier string, priority int, verifier_label string, verifier_validation string, verified_at string"
@@ -69,3 +69,33 @@ def test_review_edits(spark):
     edits = spark.createDataFrame([("r1", "approved", "grants"), ("r2", "approved", None)], "record_id string, action string, edited_label string")
     found = {r["record_id"]: (r["label"], r["review_status"], r["human_edited_fields"]) for r in labels.merge_review(entries, edits).collect()}
     assert found == {"r1": ("grants", "corrected", ["primary_category"]), "r2": ("phd", "approved", [])}
+
+
+def test_edited_fields_add_up(spark):
+    entries = spark.createDataFrame([("r", "phd", "", ["summary"]), ("q", "phd", "", None)], "record_id string, label string, review_status string, human_edited_fields array<string>")
+    edits = spark.createDataFrame([("r", "approved", "grants"), ("q", "approved", None)], "record_id string, action string, edited_label string")
+    found = {r["record_id"]: r for r in labels.merge_review(entries, edits).collect()}
+    assert found["r"]["human_edited_fields"] == ["primary_category", "summary"] and found["r"]["review_status"] == "corrected"
+    assert found["q"]["human_edited_fields"] == [] and found["q"]["review_status"] == "approved"
+
+
+def test_answers_do_not_depend_on_batches(spark):
+    """One to eight questions together, in batches of any size, give the same answers; what was cut is never chosen."""
+    questions = [(f"q{k}", "choice", f"Question {k}?", {"a": "x" * (k + 1), "b": "yy", "c": "zzz"}) for k in range(8)]
+    schema = "question_id string, kind string, instructions string, criteria map<string,string>"
+    states = spark.createDataFrame([(i, "word " * (i + 1)) for i in range(3)], "state_id long, state string")
+
+    def scorer(batches):
+        for b in batches:
+            yield b.drop(columns="prompt").assign(score=[None if o == "c" and q == "q3" else len(p) * 0.37 % 3.1 for p, o, q in zip(b["prompt"], b["option"], b["question_id"])])
+
+    answers = {}
+    for n in (1, 4, 8):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
+        for at in range(0, 8, n):
+            asked = spark.createDataFrame(questions[at : at + n], schema)
+            for r in decision.answer(decision.score(decision.expand(states, asked), scorer)).collect():
+                answers.setdefault((r["state_id"], r["question_id"]), []).append(r["probabilities"])
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(answers) == 24 and all(len(x) == 3 and all(abs(x[0][k] - y[k]) < 1e-9 for y in x for k in "abc") for x in answers.values())
+    assert answers[0, "q3"][0]["c"] == 0.0
