@@ -107,7 +107,9 @@ def q_rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = spark.read.parquet(f"{sf_dir}/conversations.parquet").where("role = 'assistant'")
-    return _rounded(metrics.summary_scores(c.select(F.col("text").alias("summary"), F.substring("text", 1, 200).alias("reference")))).drop("rouge_l_mean").withColumns({c: F.col(c).cast("long") for c in ("word_count_p50", "word_count_max")})
+    # the summary stands whole in a reference of twice its length, so that SQL knows the score; q_rouge_l_short has others
+    scores = metrics.summary_scores(c.select(F.col("text").alias("summary"), F.concat_ws("\n", "text", "text").alias("reference")))
+    return _rounded(scores).withColumns({c: F.col(c).cast("long") for c in ("word_count_p50", "word_count_max")})
 
 
 def q_html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,7 +181,7 @@ ORACLES = {
     "q_pr_auc": f"WITH {_B}, {_CUM} SELECT round(sum(pos * tp / (tp + fp)) / sum(pos), 6) AS pr_auc FROM k",
     "q_gate": f"WITH {_B} SELECT CASE WHEN p < 0.5 THEN 'not_an_opportunity' END AS error, count(*) AS n FROM b GROUP BY 1",
     "q_provider_scores": "SELECT event_type AS model, round(avg(CASE WHEN event_id % 3 = 0 THEN 1.0 ELSE 0.0 END), 6) AS accuracy, round(avg(CASE WHEN event_id % 5 > 0 THEN 1.0 ELSE 0.0 END), 6) AS json_valid_rate, round(median(value), 6) AS median_latency, count(*) AS n FROM events GROUP BY 1",
-    "q_summary_stats": f"WITH a AS (SELECT text, len(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '')) AS w, ({' + '.join(f'CAST(contains(upper(text), {x!r}) AS INTEGER)' for x in C.SUMMARY_SECTIONS)}) AS k FROM conversations WHERE role = 'assistant') SELECT count(*) AS n, round(avg(CASE WHEN w BETWEEN 1 AND 150 THEN 1.0 ELSE 0.0 END), 6) AS word_limit_compliance, round(avg(CASE WHEN {_W} = '' THEN 1.0 ELSE 0.0 END), 6) AS empty_rate, round(avg(CASE WHEN {_W} = '' THEN 0.0 ELSE least(1.0, k / 3) * CASE WHEN contains(text, '-') THEN 1.0 ELSE 0.5 END END), 6) AS section_format_mean, list(w ORDER BY w)[count(*) // 2 + 1] AS word_count_p50, max(w) AS word_count_max FROM a",
+    "q_summary_stats": f"WITH a AS (SELECT text, len(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '')) AS w, ({' + '.join(f'CAST(contains(upper(text), {x!r}) AS INTEGER)' for x in C.SUMMARY_SECTIONS)}) AS k FROM conversations WHERE role = 'assistant') SELECT count(*) AS n, round(avg(CASE WHEN w BETWEEN 1 AND 150 THEN 1.0 ELSE 0.0 END), 6) AS word_limit_compliance, round(avg(CASE WHEN {_W} = '' THEN 1.0 ELSE 0.0 END), 6) AS empty_rate, round(avg(CASE WHEN {_W} = '' THEN 0.0 ELSE least(1.0, k / 3) * CASE WHEN contains(text, '-') THEN 1.0 ELSE 0.5 END END), 6) AS section_format_mean, round(avg(CASE WHEN w > 0 THEN 2.0 / 3 ELSE 0.0 END), 6) AS rouge_l_mean, list(w ORDER BY w)[count(*) // 2 + 1] AS word_count_p50, max(w) AS word_count_max FROM a",
     "q_domain_of": "SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') AS domain FROM pages",
     "q_page_probe": f"SELECT page_id, strlen(html) AS html_bytes, {_TAG.format('article')} AS article_tags, {_TAG.format('a')} AS links, regexp_matches(html, '{C.WORDPRESS}') AS looks_like_wordpress, length(html) > 15000 AND {_TAG.format('a')} > 20 AND len({_SPA}) = 0 AS server_rendered_guess, array_to_string({_SPA}, ',') AS spa_markers FROM pages",
     "q_recommended_method": "SELECT CASE WHEN page_id % 11 = 0 OR page_id % 13 = 0 THEN 'blocked_document' WHEN page_id % 5 = 0 THEN 'wp_rest' WHEN page_id % 7 = 0 THEN 'api_json' WHEN page_id % 3 = 0 THEN 'rss' WHEN page_id % 2 = 0 AND strlen(html) > 10000 THEN 'html' ELSE 'needs_manual_review' END AS recommended_method, count(*) AS n FROM pages GROUP BY 1",

@@ -1,4 +1,4 @@
-"""Some registered queries against their SQL; the names that cheap tables serve."""
+"""Registered queries against their SQL on the smallest tables, one or more of every operator group."""
 
 import glob
 import os
@@ -7,10 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from loamwork.plans import registry
+from loamwork.plans import decisions, registry
 
 DATA = "/root/testdata/sf0.001"
-NAMES = ["q_normalize_by_source", "q_consensus", "q_dataset", "q_class_metrics", "q_budget_state", "q_region_revenue", "q_page_probe"]
+NAMES = [
+    "q_normalize_by_source", "q_consensus", "q_dataset", "q_class_metrics", "q_budget_state", "q_region_revenue", "q_page_probe", "q_record_keys", "q_canonical_record", "q_title_signals", "q_audit_sample", "q_group_split",
+    "q_registry", "q_review_queue", "q_best_annotation", "q_rolling_24h", "q_ece", "q_roc_auc", "q_threshold_table", "q_summary_stats", "q_recommended_method", "q_chat_render", "q_difference", *decisions.ORACLES,
+]
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
