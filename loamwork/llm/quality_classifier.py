@@ -36,6 +36,18 @@ def labelled_sample(labels_table: DataFrame, label: str, size: int) -> DataFrame
     return usable.select("doc_id", F.col(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(size)
 
 
+def sampled_texts(docs: DataFrame, labels_table: DataFrame, label: str, size: int) -> DataFrame:
+    """(doc_id, label, text) of the sample: its ids are sent to the tasks that read the texts.
+
+    Rows without an id or a label of 0 or 1 are not used, nor ids that no document has. Repeated rows
+    count once, an id with both labels twice. Of the texts of an id the least is taken (null if it has
+    no other), so that an id that many documents share brings one row.
+    """
+    chosen = labelled_sample(labels_table, label, size).distinct()
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
 @dataclass(frozen=True)
 class Ranking:
     """score() is the probability of label 1; `slope` 0 stands for a constant."""
@@ -97,9 +109,12 @@ def _with_features(docs: DataFrame, columns: str) -> DataFrame:
 
 
 def train(docs: DataFrame, labels_table: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Ranking:
-    """The sample's ids are sent to the tasks that read the texts; its size bounds them and what comes back."""
-    chosen = labelled_sample(labels_table, label, sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    """A ranking learnt from at most `sample` labelled rows, which bounds what reaches the driver.
+
+    Rows and texts are chosen as sampled_texts() says. Without labels, or with labels of one kind, the
+    score is a constant. Other columns of either table are not read.
+    """
+    texts = sampled_texts(docs, labels_table, label, sample)
     rows = _with_features(texts.select("label", "doc_id", "text"), "label int, doc_id long").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["label"], r["features"]))
     x = np.array([r["features"] for r in rows]).reshape(-1, N_FEATURES)

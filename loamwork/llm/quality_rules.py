@@ -1,6 +1,6 @@
 """Quality rules: base counts with fixed thresholds, then a classifier over hashed n-grams.
 
-Words, pairs of words and character trigrams are hashed into buckets. A logistic regression over the
+Words, pairs of words and character trigrams (of code points) are hashed into buckets. A logistic regression over the
 buckets' shares is trained on a bounded sample of labelled rows, its probability is calibrated on rows
 that it has not seen, and Arrow batches of texts are scored against a fixed threshold.
 """
@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamwork.llm.common import documents, labels, runs, text_bytes
-from loamwork.llm.quality_classifier import labelled_sample
+from loamwork.llm.quality_classifier import sampled_texts
 from loamwork.llm.textstats import base_counts
-from loamwork.runtime import cut
+from loamwork.runtime import written
 
 #: Labelled rows to learn from at most, log2 of the buckets of each kind, and the threshold of the verdict.
 SAMPLE = 3000
@@ -34,11 +34,11 @@ _SHIFT = np.uint64(64 - BUCKET_BITS)
 
 
 def grams(text: bytes, words: list[bytes]) -> list[np.ndarray]:
-    """The bucket of each word, of each pair of words and of each character trigram (of bytes)."""
+    """The bucket of each word, of each pair of words and of each three successive code points."""
     hashed = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(0)), np.uint64, len(words))
     pairs = (hashed[:-1] * _ODD + hashed[1:]) * _ODD if len(words) > 1 else hashed[:0]
-    x = np.frombuffer(text, np.uint8).astype(np.uint64)
-    chars = ((x[:-2] << np.uint64(16) | x[1:-1] << np.uint64(8) | x[2:]) + np.uint64(1)) * _ODD if len(x) > 2 else x[:0]
+    x = np.frombuffer(text if text.isascii() else text.decode().encode("utf-32-le"), np.uint8 if text.isascii() else np.uint32).astype(np.uint64)
+    chars = ((x[:-2] << np.uint64(42) | x[1:-1] << np.uint64(21) | x[2:]) + np.uint64(1)) * _ODD if len(x) > 2 else x[:0]
     return [h >> _SHIFT for h in (hashed, pairs, chars)]
 
 
@@ -62,30 +62,29 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(rows: list[tuple[int, list[int], list[float]]], rounds: int = 60, ridge: float = 1e-3) -> Linear:
-    """rows: label, buckets, shares. With labels of one kind or none the probability is their mean, or 0.5."""
+def fit(y: np.ndarray, lengths: np.ndarray, place: np.ndarray, share: np.ndarray, rounds: int = 60, ridge: float = 1e-3) -> Linear:
+    """Labels and numbers of buckets by row; the rows' buckets and shares, one after another.
+
+    With labels of one kind or none the probability is their mean, or 0.5.
+    """
     size = _KINDS << BUCKET_BITS
-    y = np.array([r[0] for r in rows], float)
     if len(set(y.tolist())) < 2:
         p = min(0.999, max(0.001, float(y.mean()) if len(y) else 0.5))
         return Linear(np.zeros((_KINDS, 1 << BUCKET_BITS)), float(np.log(p / (1 - p))))
-    lengths = np.array([len(r[1]) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    place = np.concatenate([np.asarray(r[1], np.int64) for r in rows])
-    share = np.concatenate([np.asarray(r[2], np.float32) for r in rows]).astype(float)
-    learns = np.arange(len(rows)) % 5 != 0
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), lengths)
+    learns = np.arange(len(y)) % 5 != 0
     # accelerated gradient descent; a bucket's step is scaled by how much it occurs
-    energy = np.bincount(place, share * share, size) / len(rows)
+    energy = np.bincount(place, share * share, size) / len(y)
     scale = 1 / np.sqrt(energy + energy[energy > 0].mean())
     w, v, bias, pull = np.zeros(size), np.zeros(size), 0.0, 0.0
     on = learns[owner]
     for _ in range(rounds):
-        z = np.bincount(owner, share * (w * scale)[place], len(rows)) + bias
+        z = np.bincount(owner, share * (w * scale)[place], len(y)) + bias
         e = np.where(learns, y - _sigmoid(z), 0.0)
         g = np.bincount(place[on], (share * e[owner])[on], size) * scale / learns.sum() - ridge * w
         v, pull = 0.9 * v + g, 0.9 * pull + e.sum() / learns.sum()
         w, bias = w + 0.5 * v, bias + 0.5 * pull
-    z = np.bincount(owner, share * (w * scale)[place], len(rows)) + bias
+    z = np.bincount(owner, share * (w * scale)[place], len(y)) + bias
     slope, shift = _platt(z[~learns], y[~learns])
     return Linear((w * scale).reshape(_KINDS, -1), float(bias), slope, shift)
 
@@ -105,9 +104,12 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def train(docs: DataFrame, labels_table: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Linear:
-    """The sample's ids are sent to the tasks that read the texts; a text's buckets and their shares come back."""
-    chosen = labelled_sample(labels_table, label, sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    """A classifier learnt from at most `sample` labelled rows; their texts' buckets and shares come back.
+
+    Rows and texts are chosen as quality_classifier.sampled_texts() says. Without labels, or with labels
+    of one kind, the probability is a constant. Other columns of either table are not read.
+    """
+    texts = sampled_texts(docs, labels_table, label, sample)
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
@@ -121,9 +123,11 @@ def train(docs: DataFrame, labels_table: DataFrame, label: str = "quality", samp
                 names=["doc_id", "label", "place", "share"],
             )
 
-    found = cut(texts.select("doc_id", "label", "text").mapInArrow(shares, "doc_id long, label int, place array<int>, share array<float>"))
-    rows = found.orderBy("doc_id", "label").toArrow().to_pydict()
-    return fit(list(zip(rows["label"], rows["place"], rows["share"], strict=True)))
+    found = written(texts.select("doc_id", "label", "text").mapInArrow(shares, "doc_id long, label int, place array<int>, share array<float>"))
+    rows = found.orderBy("doc_id", "label").toArrow()
+    # columns as they are in memory, without a Python object for each bucket
+    place, share = (rows.column(c).combine_chunks() for c in ("place", "share"))
+    return fit(rows.column("label").to_numpy().astype(float), np.diff(place.offsets.to_numpy()), place.flatten().to_numpy(), share.flatten().to_numpy())
 
 
 def judge(docs: DataFrame, model: Linear, keep: float = KEEP) -> DataFrame:

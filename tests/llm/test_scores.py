@@ -3,6 +3,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from loamwork.llm import license_scan, order_minhash, pii, quality_classifier, quality_rules
 from loamwork.llm.textstats import base_counts
 
@@ -28,6 +30,20 @@ def test_ranking_separates_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_trainers_take_odd_rows(spark, odd, empty):
+    """Null ids and labels, ids without a text, repeated rows, clashing columns; a repeated id is one row of the sample."""
+    rows = [(i, i % 2) for i in range(14)] * 2 + [(25, 1), (25, 0), (20, 1), (None, 1), (5, None), (999, 0)]
+    labels = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "doc_id long, quality int, text string, label string")
+    for module in (quality_classifier, quality_rules):
+        model = module.train(odd, labels)
+        again = module.train(odd.repartition(2), labels.repartition(5))
+        assert np.allclose(model.weights, again.weights)
+        module.train(empty, labels)
+        module.train(odd, labels.limit(0))
+    chosen = quality_classifier.sampled_texts(odd, labels, "quality", 100)
+    assert chosen.count() == chosen.select("doc_id", "label").distinct().count() > 10
+
+
 def test_ranking_without_labels(odd, empty, spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = quality_classifier.train(odd, none)
@@ -63,12 +79,15 @@ def test_rules(spark, odd, empty):
     judged = quality_rules.judge(odd, model).collect()
     assert len(judged) == odd.count() and all(r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]) and not (r["base_failed"] and r["kept"]) for r in judged)
     assert quality_rules.judge(empty, model).count() == 0
-    assert quality_rules.fit([]).probability(quality_rules.fit([]).bias) == 0.5
+    none = quality_rules.fit(*[np.zeros(0, int)] * 4)
+    assert none.probability(none.bias) == 0.5
 
 
 def test_fingerprints(odd, empty):
     rows = sorted(((r["doc_id"], r["text"] or "") for r in odd.where("doc_id IS NOT NULL").select("doc_id", "text").collect()))
-    found = order_minhash.fingerprint_edits(odd).collect()
+    every = order_minhash.fingerprint_edits(odd).collect()
+    assert len(every) == odd.count()
+    found = [r for r in every if r["doc_id"] is not None]
     expected = collections.Counter()
     for (doc_id, text), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
         k = len(text) // 4
@@ -142,7 +161,7 @@ def test_licenses(spark, odd, empty):
 
 
 def test_every_template_needs_a_cue():
-    cue = re.compile(license_scan._cue_pattern())
+    cue = re.compile(license_scan.cue_pattern())
     for statements in license_scan.templates().values():
         for s in statements:
             pairs = {f"{a} {b}" for a, b in zip(s.split(), s.split()[1:], strict=False)}
@@ -156,7 +175,7 @@ def test_license_model_on_unseen_statements():
     place = {g: i for i, g in enumerate(model.vocabulary)}
     examples = license_scan._examples(np.random.default_rng(99))
     hits = 0
-    for text, family in examples:
+    for _, text, family in examples:
         rows = [place[g] for g in set(license_scan.grams(text.split())) if g in place]
         hits += model.families[int(np.argmax(model.weights[rows].sum(0) + model.bias))] == family
     assert hits >= 0.97 * len(examples)
