@@ -25,6 +25,11 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def text_hash(name: str = "text") -> Column:
+    """Tells texts that share a doc_id apart; null counts as empty."""
+    return F.xxhash64(text_or_empty(name))
+
+
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The texts of a batch in UTF-8; null counts as empty."""
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]

@@ -22,35 +22,36 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import BLANK, documents, runs, text_bytes
+from loamwork.llm.common import BLANK, documents, runs, text_bytes, text_hash
 from loamwork.runtime import cut
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 _STRIP = BLANK.encode()
-_LINES = "h1 long, h2 long, doc_id long, pos int"
+_LINES = "h1 long, h2 long, doc_id long, tid long, pos int"
 
 
 def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h1, h2, doc_id, pos) of each line whose key has at least `min_chars` code points."""
+    """(h1, h2, doc_id, tid, pos) of each line whose key has at least `min_chars` code points; tid is the text's hash."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
-            digests, ids, places = [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), strict=True):
+            digests, rows, places = [], [], []
+            for row, text in enumerate(text_bytes(batch)):
                 for pos, line in enumerate(text.lower().split(b"\n")):
                     key = line.strip(_STRIP)
                     if len(key) >= min_chars and (key.isascii() or len(key.decode()) >= min_chars):
                         digests.append(xxhash.xxh3_128_digest(key))
-                        ids.append(doc_id)
+                        rows.append(row)
                         places.append(pos)
             halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+            ids, tids = (batch.column(c).take(pa.array(rows, pa.int64())) for c in ("doc_id", "tid"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(ids, pa.int64()), pa.array(places, pa.int32())],
-                names=["h1", "h2", "doc_id", "pos"],
+                [pa.array(halves[:, 0]), pa.array(halves[:, 1]), ids, tids, pa.array(places, pa.int32())],
+                names=["h1", "h2", "doc_id", "tid", "pos"],
             )
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(hashes, _LINES)
+    return docs.where("doc_id is not null").select("doc_id", text_hash().alias("tid"), "text").mapInArrow(hashes, _LINES)
 
 
 class _Groups:
@@ -60,7 +61,7 @@ class _Groups:
         self.min_docs, self.before, self.first_total, self.last, self.last_total = min_docs, before, first_total, last, last_total
         self.key = self.top = self.doc = None
         self.n = 0
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held: list[tuple[np.ndarray, ...]] = []
         self.first: tuple | None = None
 
     def _enough(self) -> bool:
@@ -81,7 +82,7 @@ class _Groups:
         if self.key is not None and self.first is None:
             self.first = (*self.key, self.n)
 
-    def feed(self, h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def feed(self, h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, *more: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         starts = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
         ends = np.r_[starts[1:], len(h1)]
         fresh = np.r_[True, (doc[1:] != doc[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
@@ -96,22 +97,22 @@ class _Groups:
                 self._open(key, int(doc[lo]))
             self.n += int(counted[i]) - (self.doc == int(doc[lo]))
             self.doc = int(doc[hi - 1])
-            rows = (doc[lo:hi], pos[lo:hi])
+            rows = (doc[lo:hi], *(x[lo:hi] for x in more))
             if self._enough():
-                for d, p in [*self.held, rows]:
-                    lost = slice(None) if self.top is None else d != self.top
-                    yield d[lost], p[lost]
+                for each in [*self.held, rows]:
+                    lost = slice(None) if self.top is None else each[0] != self.top
+                    yield tuple(x[lost] for x in each)
                 self.held = []
             else:
                 self.held.append(rows)
 
 
 def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [batch.column(c).to_numpy(zero_copy_only=False) for c in ("h1", "h2", "doc_id", "pos")]
+    return [batch.column(c).to_numpy(zero_copy_only=False) for c in ("h1", "h2", "doc_id", "tid", "pos")]
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, pos) of each line that goes."""
+    """(doc_id, tid, pos) of each line that goes."""
     sorted_rows = cut(
         line_hashes(docs, min_chars)
         .repartitionByRange("h1", "h2", F.desc("doc_id"))
@@ -146,10 +147,9 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
                 groups = _Groups(min_docs, *known.get(batch.column("part")[0].as_py(), ()))
             lost = list(groups.feed(*_columns(batch)))
             if lost:
-                ids, places = (np.concatenate([x[k] for x in lost]) for k in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(places)], names=["doc_id", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*lost, strict=True)], names=["doc_id", "tid", "pos"])
 
-    return sorted_rows.mapInArrow(stream, "doc_id long, pos int")
+    return sorted_rows.mapInArrow(stream, "doc_id long, tid long, pos int")
 
 
 def _neighbours(found: list[tuple]) -> dict[int, tuple]:
@@ -165,12 +165,12 @@ def _neighbours(found: list[tuple]) -> dict[int, tuple]:
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, n_dropped, keep): for each document that loses lines, a zlib-compressed bitmap.
+    """(doc_id, tid, n_dropped, keep): for each text that loses lines, a zlib-compressed bitmap.
 
     Bit i, least significant first, is 1 if line i stays; lines beyond the bitmap stay. Documents
     without a row here stay whole.
     """
-    lost = dropped_lines(docs, min_chars, min_docs).groupBy("doc_id").agg(F.collect_set("pos").alias("pos"))
+    lost = dropped_lines(docs, min_chars, min_docs).groupBy("doc_id", "tid").agg(F.collect_set("pos").alias("pos"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,9 +180,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
                 bits[places] = 0
                 maps.append(zlib.compress(np.packbits(bits, bitorder="little").tobytes()))
                 counts.append(len(places))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(maps, pa.binary())], names=["doc_id", "n_dropped", "keep"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tid"), pa.array(counts, pa.int64()), pa.array(maps, pa.binary())], names=["doc_id", "tid", "n_dropped", "keep"])
 
-    return lost.mapInArrow(pack, "doc_id long, n_dropped long, keep binary")
+    return lost.mapInArrow(pack, "doc_id long, tid long, n_dropped long, keep binary")
 
 
 def kept_text(text: bytes, keep: bytes | None) -> tuple[bytes, int]:
@@ -199,11 +199,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     """`docs` with n_lines, n_dropped and kept_text; other columns stay.
 
     Null and empty texts have one empty line. Rows without a doc_id stay whole; rows that repeat a
-    doc_id count as one document, and lose the same line numbers. Ties cannot occur: a line's
-    keeper is the largest id. An empty table gives an empty result.
+    doc_id count as one document when holders of a line are counted, and each loses the lines of its
+    own text. Ties cannot occur: a line's keeper is the largest id. An empty table gives an empty result.
     """
-    bitmaps = keep_bitmaps(docs, min_chars, min_docs).select("doc_id", F.col("keep").alias("_keep"))
-    joined = docs.join(bitmaps, "doc_id", "left")
+    bitmaps = keep_bitmaps(docs, min_chars, min_docs).select("doc_id", F.col("tid").alias("_tid"), F.col("keep").alias("_keep"))
+    joined = docs.withColumn("_tid", text_hash()).join(bitmaps, ["doc_id", "_tid"], "left")
     out = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_dropped", "kept_text")]
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out] + ["n_lines long, n_dropped long, kept_text string"])
 
