@@ -17,7 +17,7 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(words(text))
+    return F.regexp_count(text, F.lit(f"[^{C.WS[1:-1]}]+"))
 
 
 def first_words(text: Column, n: int) -> Column:
@@ -33,10 +33,11 @@ def clean_text(text: Column) -> Column:
 
 def is_english(text: Column) -> Column:
     """Whether enough words of the lower-cased text are frequent English ones; false without words."""
-    found = F.regexp_extract_all(F.lower(text), F.lit("[a-z']+"), F.lit(0))
-    frequent = F.array(*map(F.lit, C.ENGLISH))
-    share = F.size(F.filter(found, lambda w: F.array_contains(frequent, w))) / F.size(found)
-    return (F.size(found) > 0) & (share >= C.ENGLISH_SHARE)
+    low = F.lower(text)
+    # matches are counted in place, without an array of words
+    found = F.regexp_count(low, F.lit("[a-z']+"))
+    frequent = F.regexp_count(low, F.lit(f"(?<![a-z'])(?:{'|'.join(C.ENGLISH)})(?![a-z'])"))
+    return F.when(found > 0, frequent / found >= C.ENGLISH_SHARE).otherwise(F.lit(False))
 
 
 def normalize_title(title: Column) -> Column:
