@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import documents, runs, text_bytes, text_or_empty
+from loamwork.llm.common import documents, runs, text_bytes, text_hash
 from loamwork.runtime import written
 
 WIDTH = 400
@@ -51,7 +51,7 @@ _U = np.uint64
 _rng = np.random.default_rng(20240229)
 _BASE = int(_rng.integers(1 << 61, 1 << 63)) | 1
 _TABLE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_PHRASE = "key long, entry long, doc_id long, tid long, lo int, before short, more short"
+_PHRASE = "key long, entry long, doc_id long, tid long, lo int, before short, more short, times int"
 _WANTED = "key long, single boolean, crowded boolean, lo int, before short, more short"
 
 
@@ -93,17 +93,18 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def phrases(texts: list[bytes], gram: int = GRAM, span: int = SPAN, width: int = WIDTH) -> tuple[np.ndarray, ...]:
-    """(key, entry, text number, first position, positions before the trigger, positions after the first) of each phrase.
+    """(key, entry, text number, first position, positions before the trigger, positions after the first, times) of each phrase.
 
     key is the hash of what follows the trigger in all its strings, entry that of the phrase with all
-    bytes that its strings cover.
+    bytes that its strings cover. A phrase that follows itself, as in periodic text, comes once with
+    the number of times.
     """
     follow = width - (span - 1)
     ends = np.cumsum([len(t) for t in texts])
     starts = ends - [len(t) for t in texts]
     count = np.maximum(ends - starts - width + 1, 0)
     if not count.sum():
-        return (np.zeros(0, np.int64),) * 6
+        return (np.zeros(0, np.int64),) * 7
     whole = b"".join(texts)
     data = np.frombuffer(whole, np.uint8)
     at = np.arange(len(data) - gram + 1, dtype=np.uint64)
@@ -119,23 +120,25 @@ def phrases(texts: list[bytes], gram: int = GRAM, span: int = SPAN, width: int =
     key = [xxhash.xxh3_64_intdigest(whole[x : x + follow]) for x in a.tolist()]
     shape = ((a - lo) << 16 | (hi - lo)).tolist()
     entry = [xxhash.xxh3_64_intdigest(whole[x : y + width], s) for x, y, s in zip(lo.tolist(), hi.tolist(), shape, strict=True)]
-    return np.array(key, np.uint64).view(np.int64), np.array(entry, np.uint64).view(np.int64), doc, lo - starts[doc], a - lo, hi - lo
+    columns = np.array(key, np.uint64).view(np.int64), np.array(entry, np.uint64).view(np.int64), doc, lo - starts[doc], a - lo, hi - lo
+    fresh = np.flatnonzero(np.r_[True, (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1]) | (doc[1:] != doc[:-1])])
+    return *(c[fresh] for c in columns), np.diff(np.r_[fresh, len(doc)])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     """(doc_id, tid, text): a row is known by its id and its text's hash, so that texts that share an id stay apart."""
-    return docs.select("doc_id", F.xxhash64(text_or_empty()).alias("tid"), "text")
+    return docs.select("doc_id", text_hash().alias("tid"), "text")
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """(key, entry, doc_id, tid, lo, before, more) of all phrases of the corpus."""
+    """(key, entry, doc_id, tid, lo, before, more, times) of all phrases of the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, BATCH):
-            key, entry, doc, lo, before, more = phrases(text_bytes(batch))
+            key, entry, doc, lo, before, more, times = phrases(text_bytes(batch))
             ids, tids = (batch.column(c).take(pa.array(doc)) for c in ("doc_id", "tid"))
-            columns = [pa.array(key), pa.array(entry), ids, tids, pa.array(lo.astype(np.int32)), pa.array(before.astype(np.int16)), pa.array(more.astype(np.int16))]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "entry", "doc_id", "tid", "lo", "before", "more"])
+            columns = [pa.array(key), pa.array(entry), ids, tids, *(pa.array(c.astype(t)) for c, t in ((lo, np.int32), (before, np.int16), (more, np.int16), (times, np.int32)))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "entry", "doc_id", "tid", "lo", "before", "more", "times"])
 
     return _texts(docs).mapInArrow(run, _PHRASE)
 
@@ -273,13 +276,14 @@ def repeated_spans(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(doc_id, tid, start, stop), which may overlap: every byte that goes lies in one, and no other byte does."""
     parsed = written(parse(docs))
     # written first, so that the join below has nothing but joins above its exchanges and may be split at a hot key
-    shared = written(parsed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    shared = written(parsed.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1").select("key"))
     rows = written(parsed.join(shared, "key", "left_semi"))
     # any one occurrence will do, as entries that have several are settled
     one = [F.first(c).alias(c) for c in ("doc_id", "tid", "lo", "before", "more")]
-    entries = written(rows.groupBy("key", "entry").agg(F.count("*").alias("n"), *one))
+    entries = written(rows.groupBy("key", "entry").agg(F.sum("times").alias("n"), *one))
     whole = rows.join(entries.where("n > 1").select("key", "entry"), ["key", "entry"], "left_semi")
-    whole = whole.select("doc_id", "tid", F.col("lo").cast("long").alias("start"), (F.col("lo").cast("long") + F.col("more") + WIDTH).alias("stop"))
+    first = F.col("lo").cast("long")
+    whole = whole.select("doc_id", "tid", first.alias("start"), (first + F.col("times") * (F.col("more") + 1) - 1 + WIDTH).alias("stop"))
     # keys with one entry are settled; the others' entries are compared
     open_keys = entries.groupBy("key").agg(F.count("*").alias("entries"), F.min("n").alias("least")).where("entries > 1 AND least = 1").select("key", (F.col("entries") > crowd).alias("crowded"))
     wanted = written(entries.join(open_keys, "key").select("key", (F.col("n") == 1).alias("single"), "crowded", "doc_id", "tid", "lo", "before", "more"))

@@ -25,6 +25,14 @@ def test_lines(odd):
     assert sum(k[2] for k in expected) > 5
 
 
+def test_lines_of_texts_that_share_an_id(spark):
+    shared, other = "x" * 50, "y" * 50
+    rows = [(i, shared) for i in range(6)] + [(2, f"{other}\n{shared}\nend"), (2, f"only here {other}\nsecond"), (9, f"{other}\n{shared}")]
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert collections.Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in found) == collections.Counter(brute.lines(rows))
+    assert (2, f"only here {other}\nsecond") in {(r["doc_id"], r["kept_text"]) for r in found}
+
+
 def test_line_groups_across_partitions_and_batches():
     rng = random.Random(3)
     rows = sorted({(rng.randrange(9), 0, -rng.randrange(12), rng.randrange(3)) for _ in range(400)})
@@ -116,8 +124,9 @@ def test_substrings_of_shared_passages(spark, crowd):
 
 def test_shared_strings_of_one_batch():
     rng = random.Random(5)
-    texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(14, 40))) for _ in range(60)]
-    key, entry, doc, lo, before, more = substring_dedup.phrases(texts, gram=2, span=5, width=10)
+    texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(14, 40))) for _ in range(60)] + [b"ab" * 20]
+    key, entry, doc, lo, before, more, times = substring_dedup.phrases(texts, gram=2, span=5, width=10)
+    assert (times * (more + 1)).sum() == sum(max(0, len(t) - 9) for t in texts) and times.max() > 1
     covers = [texts[d][p : p + m + 10] for d, p, m in zip(doc.tolist(), lo.tolist(), more.tolist())]
     single = np.array([rng.random() < 0.8 for _ in covers])
     found = {(i, p) for i, a, b in zip(*substring_dedup.shared_strings(key.tolist(), covers, before, more, single, 10)) for p in range(a, b + 1)}
