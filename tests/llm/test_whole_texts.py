@@ -65,3 +65,48 @@ def test_formats_stay(spark):
     assert tokens and tokens[1] == tokens[2] and tokens[1] not in texts[7]
     assert found[8][:-16] == texts[8][:-16] and found[8][-16:] != texts[8][-16:] and rows[8]["n_entities"] == 1
     assert re.fullmatch(r"x -----BEGIN RSA PRIVATE KEY-----\n\w{4}-\w{4}: \d,[A-Z]{9}\n\n\w{17}\n\w{3}\+/==\n-----END RSA PRIVATE KEY----- y", found[9]) and "MIIE" not in found[9]
+
+
+def luhn(digits):
+    return sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(int(c) for c in reversed(digits))) % 10
+
+
+def test_planted_entities_one_by_one(spark):
+    """Where entities stand is known here: they alone change, equal ones alike everywhere, different ones apart, in their own format."""
+    rng = random.Random(12)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    digits, hexadecimal, low = "0123456789", "0123456789abcdef", "abcdefghijklmnop"
+
+    def card():
+        plain = "4" + word(digits, 14)
+        return next(plain + c for c in digits if luhn(plain + c) == 0)
+
+    def account():
+        rest = word(digits, 18)
+        return f"DE{98 - int(rest + '131400') % 97:02}{rest}"
+
+    made = {
+        "email": lambda: f"{word(low, 5)}.{word(digits, 2)}@{word(low, 6)}.org", "ip": lambda: ".".join(str(rng.randrange(11, 120)) for _ in range(4)), "phone": lambda: f"+1 ({word('23456789', 3)}) 555-{word(digits, 4)}",
+        "card": card, "ssn": lambda: f"{word(digits, 3)}-{word(digits, 2)}-{word(digits, 4)}", "iban": account, "secret": lambda: word(hexadecimal, 40), "cloud": lambda: "AKIA" + word("ABCDEF234567", 16),
+    }
+    pool = sorted({make() for make in made.values() for _ in range(25)})
+    fillers = ["plain words", "12 of 3.4", "version 1.2.3.4", "mail at home", "9 - 10", "4111111111111112", ""]
+    docs = [[rng.choice(pool) if rng.random() < 0.5 else rng.choice(fillers) for _ in range(rng.randrange(0, 12))] for _ in range(80)]
+    found = replaced(spark, [" | ".join(d) for d in docs])
+    surrogate = {}
+    for before, after in zip(docs, found, strict=True):
+        pieces = after.split(" | ")
+        assert len(pieces) == max(1, len(before))
+        for a, b in zip(before, pieces, strict=False):
+            assert b == a if a not in pool else surrogate.setdefault(a, b) == b
+    assert len(surrogate) > 100 and len(set(surrogate.values())) == len(surrogate) and not set(surrogate.values()) & set(pool)
+    shape = lambda x: re.sub("[A-Z]", "A", re.sub("[a-z]", "a", re.sub("[0-9]", "0", x)))
+    for a, b in surrogate.items():
+        if re.fullmatch(r"[0-9a-f]{40}", a):
+            assert re.fullmatch(r"[0-9a-f]{40}", b)
+        elif a.count(".") == 3 and "@" not in a:
+            assert re.fullmatch(r"\d+\.\d+\.\d+\.\d+", b)
+        else:
+            assert shape(a) == shape(b)
+        assert luhn(b) == 0 if re.fullmatch(r"\d{16}", a) else True
+        assert int(b[4:] + "1314" + b[2:4]) % 97 == 1 if a.startswith("DE") else True
