@@ -24,9 +24,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import documents, runs, text_bytes
+from loamwork.llm.common import documents, runs, text_bytes, text_hash
 from loamwork.operators.components import connected_components
-from loamwork.runtime import cut
+from loamwork.runtime import written
 
 SHINGLE = 3
 SEED = 42
@@ -52,14 +52,14 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits of the fingerprint as a signed long."""
+    """(doc_id, tid, fp): fp holds the 64 bits of the fingerprint as a signed long; tid, the text's hash, tells texts of one id apart."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
             found = np.array([simhash(t, shingle) for t in text_bytes(batch)], dtype="<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tid"), pa.array(found)], names=["doc_id", "tid", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(compute, "doc_id long, fp long")
+    return docs.select("doc_id", text_hash().alias("tid"), "text").mapInArrow(compute, "doc_id long, tid long, fp long")
 
 
 def _segments(fp: Column) -> tuple[Column, Column]:
@@ -100,7 +100,8 @@ def linked_pairs(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET)
     """(a, b), each pair of distinct fingerprints in `fps` that differ in at most `max_bits` bits, a < b as signed numbers, once."""
     if not 0 < max_bits <= 2:
         raise ValueError("two segments with one wildcard find at most two differing bits")
-    index = _variants(fps)
+    # 64 rows come of one: dealt before by a fixed number, as adaptive execution merges small partitions
+    index = _variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
     sizes = index.groupBy("key").agg(F.count("*").alias("n"))
     crowded = sizes.where(F.col("n") > bucket).select("key")
     usual = index.join(sizes.where((F.col("n") > 1) & (F.col("n") <= bucket)).select("key"), "key", "left_semi")
@@ -131,23 +132,24 @@ def _joined(rows: DataFrame, on: list[str], max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id, n_links): component_id is the smallest doc_id reachable over links.
+    """(doc_id, tid, fp, component_id, n_links): component_id is the smallest doc_id reachable over links.
 
     Null, empty and blank texts have fingerprint 0, which is linked like any other; texts of any
     length are read whole. Repeated rows give equal fingerprints. A null doc_id takes part in its
     fingerprint's component without naming it. n_links counts the distinct fingerprints linked to
     the document's own. Only doc_id and text are read; an empty table gives an empty result.
     """
-    marked = cut(fingerprints(docs, shingle))
+    marked = written(fingerprints(docs, shingle))
     groups = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    pairs = cut(linked_pairs(groups.select("fp"), max_bits))
+    pairs = written(linked_pairs(groups.select("fp"), max_bits))
     parts = connected_components(pairs)
     degree = pairs.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.count("*").alias("n_links"))
     linked = groups.join(parts.withColumnRenamed("node", "fp"), "fp")
     smallest = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     named = linked.join(smallest, "component").join(degree, "fp").select("fp", "component_id", "n_links")
-    whole = groups.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return marked.join(whole, "fp").select("doc_id", "fp", "component_id", "n_links")
+    # written first, so that the join stands alone above its exchanges and may be split at a frequent fingerprint
+    whole = written(groups.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return marked.join(whole, "fp").select("doc_id", "tid", "fp", "component_id", "n_links")
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
