@@ -31,6 +31,7 @@ def tables(spark, tmp_path_factory):
         text = "\n".join([" ".join(body), *[x for x in shared if rng.random() < 0.4]])
         rows.append((i, text + (f"\nask k{i}.{i}@mail{i % 3}.example.com" if i % 7 == 1 else "")))
         labels.append((i, int(i % 5 > 0), 0))
+    rows += [(400, " ".join(rng.choice(words) for _ in range(20000))), (13, "Another text under an id that is there already. " + " ".join(words[:150])), (13, rows[11][1].replace("a", "a", 1))]
     rows += [(200 + i, rows[11 + i][1].replace("a", "a", 1)) for i in range(6)] + [(300, None), (301, ""), (302, rows[12][1]), (302, rows[12][1])]
     where = str(tmp_path_factory.mktemp("tables"))
     spark.createDataFrame([(d, t, "en", "s", len(t or ""), "x", "y") for d, t in rows], SCHEMA).repartition(3).write.parquet(f"{where}/documents.parquet")
@@ -57,12 +58,12 @@ def test_each_stage_equals_its_plain_version(spark, tables, tmp_path):
     good = [(d, t) for d, t in texts(docs) if model.score(np.array([features((t or "").encode())]))[0] >= quality_classifier.CUT]
     assert collections.Counter(after[0]) == collections.Counter(good) and 100 < len(good) < len(texts(docs))
     assert collections.Counter(after[1]) == collections.Counter((d, t) for d, _, _, t in brute.lines(after[0]))
-    keep = {d for d, _, c in brute.components(after[1]) if d == c}
-    assert collections.Counter(after[2]) == collections.Counter((d, t) for d, t in after[1] if d in keep) and len(after[2]) < len(after[1])
+    group = brute.components(after[1])
+    assert collections.Counter(after[2]) == collections.Counter(r for r, (d, _, c) in zip(after[1], group, strict=True) if d == c) and len(after[2]) < len(after[1])
     mail = re.compile(r"\S+@\S+")
-    plain = {d: t for d, t in after[2]}
-    for d, t in after[3]:
-        assert mail.sub("", t) == mail.sub("", plain[d]) and not set(mail.findall(t)) & set(mail.findall(plain[d]))
+    without, mails = ([f(t) for _, t in rows] for rows, f in ((after[3], lambda t: mail.sub("", t)), (after[3], mail.findall)))
+    assert collections.Counter(zip((d for d, _ in after[3]), without, strict=True)) == collections.Counter((d, mail.sub("", t)) for d, t in after[2])
+    assert not {m for x in mails for m in x} & {m for _, t in after[2] for m in mail.findall(t)} and any(mails)
     library = Tokenizer.from_file(bpe.default_vocabulary())
     lengths = collections.Counter()
     for d, t in after[3]:
