@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamwork.llm import bpe, elkan, license_scan, line_dedup, order_minhash, packing, piece_bpe, pii, quality_classifier, quality_rules, simhash_dedup, substring_dedup
+from loamwork.llm import bpe, elkan, license_scan, line_dedup, order_minhash, packing, phrases, piece_bpe, pii, quality_classifier, quality_rules, simhash_dedup, substring_dedup
 
-_MODULES = (bpe, elkan, license_scan, line_dedup, order_minhash, packing, piece_bpe, pii, quality_classifier, quality_rules, simhash_dedup, substring_dedup)
+_MODULES = (bpe, elkan, license_scan, line_dedup, order_minhash, packing, phrases, piece_bpe, pii, quality_classifier, quality_rules, simhash_dedup, substring_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
