@@ -7,6 +7,10 @@ counts the phrases of its fragments that hold their pivot, and nothing else, so
 final. Of a pivot that has more than a 1024th of all words, fragments are dealt to several partitions
 and their counts are added up.
 
+Pairs are counted first. A longer phrase can only be as frequent as each pair in it, so that fragments
+end between words that make no frequent pair. A table of bits of fixed size says which ones do; bits
+that pairs share only leave fragments longer than they need be.
+
 Words travel as short codes in order of frequency. The lexicon of codes that tasks hold is bounded; if
 there are more frequent words than that, the others travel spelled out, and count as rarer than all
 with a code.
@@ -16,7 +20,7 @@ from __future__ import annotations
 
 import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,6 +47,8 @@ PARTS = 1024
 #: Words of the corpus for each partition of the counting, and the most partitions.
 PARTITION_WORDS = 1 << 20
 MOST_PARTITIONS = 1 << 15
+#: Bits of the table of frequent pairs.
+PAIR_BITS = 1 << 24
 #: Groups that the candidates of a language are dealt to before its first ones are taken.
 SALTS = 256
 
@@ -121,92 +127,181 @@ def lexicon(frequent: DataFrame, total: int, size: int | None = None) -> Lexicon
     return Lexicon(codes, [r["word"] for r in rows[:size]], parts, len(rows) <= size)
 
 
-def _windows(rank: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """How many words in a row, up to `reach`, are more frequent than each word: before it, and (or the same word) after it."""
+@dataclass(frozen=True)
+class Words:
+    """Texts of one language as a row of words: for each distinct word its number, rank and token; `codes` has the words' places."""
+
+    number: np.ndarray
+    rank: np.ndarray
+    tokens: pa.Array
+    codes: np.ndarray
+
+    @classmethod
+    def of(cls, lang: str, texts: list[bytes], known: Lexicon) -> Words:
+        distinct, codes = _coded(texts)
+        own, size = known.codes.get(lang, {}), len(known.words)
+        number = np.array([own.get(w, -1) for w in distinct], np.int64)
+        # the more frequent a word, the higher its rank; words without a code follow in the order of their bytes
+        rank = np.where(number >= 0, size - number, _GAP)
+        if not known.whole:
+            spelled = [i for i, w in enumerate(distinct) if number[i] < 0 and w != _CUT]
+            for place, i in enumerate(sorted(spelled, key=distinct.__getitem__)):
+                rank[i] = -1 - place
+                number[i] = size + zlib.crc32(distinct[i])
+        tokens = pa.array([code_text(c) if 0 <= c < size else _SPELLED + w.decode() if c >= 0 else None for c, w in zip(number.tolist(), distinct, strict=True)], pa.string())
+        return cls(number, rank, tokens, codes)
+
+
+def _owners(pivot: np.ndarray, mixed: np.ndarray, known: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+    """The partition key of each pivot, and whether the pivot has several, among which `mixed` chooses."""
+    parts = known.parts[np.minimum(pivot, len(known.parts) - 1)]
+    parts[pivot >= len(known.words)] = 1
+    return pivot * (PARTS + 1) + ((mixed >> np.uint64(20)) % parts.astype(np.uint64)).astype(np.int64), parts > 1
+
+
+def _mixed(*numbers: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(numbers[0]), np.uint64)
+    for x in numbers:
+        out = (out ^ x.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def pairs_of(lang: str, texts: list[bytes], known: Lexicon) -> pa.Table:
+    """(owner, split, lang, phrase, times) of the pairs of texts in one language, equal ones counted."""
+    words_ = Words.of(lang, texts, known)
+    codes, far = words_.codes, len(words_.number)
+    open_ = words_.rank[codes] > _GAP
+    both = np.flatnonzero(open_[:-1] & open_[1:])
+    pairs, times = np.unique(codes[both] * far + codes[both + 1], return_counts=True)
+    first, second = pairs // max(far, 1), pairs % max(far, 1)
+    pivot = words_.number[np.where(words_.rank[second] < words_.rank[first], second, first)]
+    owner, split = _owners(pivot, _mixed(words_.number[first], words_.number[second]), known)
+    phrase = pc.binary_join_element_wise(words_.tokens.take(pa.array(first)), words_.tokens.take(pa.array(second)), " ")
+    return pa.table({"owner": owner, "split": split, "lang": pa.array([lang] * len(pairs), pa.string()), "phrase": phrase, "times": times})
+
+
+def _windows(rank: np.ndarray, linked: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many words in a row, up to `reach`, are linked to and more frequent than each word: before it, and (or the same word) after it."""
     n = len(rank)
+    none = np.zeros(reach, bool)
     padded = np.concatenate([np.full(reach, _GAP), rank, np.full(reach, _GAP)])
+    chain = np.concatenate([none, linked, none])  # whether a word is linked to the next, from the first gap on
     before, after = np.zeros(n, np.int64), np.zeros(n, np.int64)
     left = right = np.ones(n, bool)
     for k in range(1, reach + 1):
-        left = left & (padded[reach - k : reach - k + n] > rank)
-        right = right & (padded[reach + k : reach + k + n] >= rank)
+        left = left & chain[reach - k : reach - k + n] & (padded[reach - k : reach - k + n] > rank)
+        right = right & chain[reach + k - 1 : reach + k - 1 + n] & (padded[reach + k : reach + k + n] >= rank)
         before += left
         after += right
     return before, after
 
 
-def fragments_of(lang: str, texts: list[bytes], known: Lexicon, longest: int) -> pa.Table:
+def fragments_of(lang: str, texts: list[bytes], known: Lexicon, longest: int, bits: np.ndarray) -> pa.Table:
     """(owner, split, lang, before, fragment, times) of texts in one language, equal ones counted.
 
     `before` words of the fragment precede its pivot. Of equal pivots in a phrase the first one counts,
-    which is why only the words after a pivot may be the pivot again.
+    which is why only the words after a pivot may be the pivot again. Fragments of two words are left out.
     """
-    distinct, codes = _coded(texts)
-    own, size = known.codes.get(lang, {}), len(known.words)
-    number = np.array([own.get(w, -1) for w in distinct], np.int64)
-    # the more frequent a word, the higher its rank; words without a code follow in the order of their bytes
-    rank = np.where(number >= 0, size - number, _GAP)
-    if not known.whole:
-        spelled = sorted(i for i, w in enumerate(distinct) if number[i] < 0 and w != _CUT)
-        for place, i in enumerate(sorted(spelled, key=distinct.__getitem__)):
-            rank[i] = -1 - place
-            number[i] = size + zlib.crc32(distinct[i])
-    tokens = pa.array([code_text(c) if 0 <= c < size else _SPELLED + w.decode() if c >= 0 else None for c, w in zip(number.tolist(), distinct, strict=True)], pa.string())
+    words_ = Words.of(lang, texts, known)
+    codes, number = words_.codes, words_.number
+    rank = words_.rank[codes]
+    linked = np.zeros(len(codes), bool)
+    both = np.flatnonzero((rank[:-1] > _GAP) & (rank[1:] > _GAP))
+    linked[both] = has_bit(bits, number[codes[both]], number[codes[both + 1]])
     reach = longest - 1
-    before, after = _windows(rank[codes], reach)
-    at = np.flatnonzero((rank[codes] > _GAP) & (before + after > 0))
+    before, after = _windows(rank, linked, reach)
+    at = np.flatnonzero((rank > _GAP) & (before + after > 1))
     before, after = before[at], after[at]
-    columns, mixed = [], np.zeros(len(at), np.uint64)
+    columns, mixed = [], []
     for k in range(-reach, reach + 1):
         outside = (k < -before) | (k > after)
         where = codes[np.clip(at + k, 0, len(codes) - 1)]
-        columns.append(tokens.take(pa.array(where, mask=outside)))
-        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + np.where(outside, 0, number[where] + 1).astype(np.uint64)
-    pivot = number[codes[at]]
-    parts = known.parts[np.minimum(pivot, len(known.parts) - 1)]
-    parts[pivot >= size] = 1
-    owner = pivot * (PARTS + 1) + ((mixed >> np.uint64(20)) % parts.astype(np.uint64)).astype(np.int64)
-    table = pa.table({"owner": owner, "split": parts > 1, "before": before.astype(np.int8), "fragment": pc.binary_join_element_wise(*columns, " ", null_handling="skip")})
+        columns.append(words_.tokens.take(pa.array(where, mask=outside)))
+        mixed.append(np.where(outside, 0, number[where] + 1))
+    owner, split = _owners(number[codes[at]], _mixed(*mixed), known)
+    table = pa.table({"owner": owner, "split": split, "before": before.astype(np.int8), "fragment": pc.binary_join_element_wise(*columns, " ", null_handling="skip")})
     counted = table.group_by(["owner", "split", "before", "fragment"]).aggregate([([], "count_all")])
     return counted.rename_columns({"count_all": "times"}).append_column("lang", pa.array([lang] * len(counted), pa.string()))
 
 
+def _slots(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return (_mixed(first, second) >> np.uint64(24)) % np.uint64(PAIR_BITS)
+
+
+def has_bit(bits: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Whether the pairs of two words' numbers have their bit set."""
+    slots = _slots(first, second)
+    return (bits[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
+
+
+def pair_bits(pairs: DataFrame, known: Lexicon) -> np.ndarray:
+    """The table of bits of (lang, phrase), pairs of tokens; at most PAIR_BITS / 64 rows come to the driver."""
+    sent = pairs.sparkSession.sparkContext.broadcast({code_text(i): i for i in range(len(known.words))})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = sent.value
+        for batch in batches:
+            tokens = [t for p in batch.column("phrase").to_pylist() for t in p.split(" ")]
+            numbers = np.array([number[t] if t[0] != _SPELLED else len(number) + zlib.crc32(t[1:].encode()) for t in tokens], np.int64)
+            slots = _slots(numbers[::2], numbers[1::2])
+            bit = np.left_shift(np.uint64(1), slots & np.uint64(63)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((slots >> np.uint64(6)).astype(np.int32)), pa.array(bit)], names=["place", "bits"])
+
+    rows = pairs.select("phrase").mapInArrow(run, "place int, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(PAIR_BITS // 64, np.uint64)
+    bits[rows.column("place").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return bits
+
+
 _FRAGMENT = "owner long, split boolean, lang string, before byte, fragment string, times long"
 
 
-def fragments(docs: DataFrame, known: Lexicon, longest: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(known)
+_PAIR = "owner long, split boolean, lang string, phrase string, times long"
+
 
+def _mined(docs: DataFrame, schema: str, find: Callable[[str, list[bytes]], pa.Table]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split(" ")[0] for c in schema.split(", ")]
         for batch in runs(batches):
             for lang, texts in _by_lang(batch):
-                found = fragments_of(lang, texts, sent.value, longest)
-                yield from found.select(["owner", "split", "lang", "before", "fragment", "times"]).to_batches()
+                yield from find(lang, texts).select(names).to_batches()
 
-    return docs.mapInArrow(run, _FRAGMENT)
+    return docs.mapInArrow(run, schema)
 
 
-def owned(longest: int) -> Column:
-    """The phrases of `fragment` that hold its pivot, from two words to `longest`."""
+def owned(shortest: int, longest: int) -> Column:
+    """The phrases of `parts` that hold their pivot, from `shortest` words to `longest`."""
     parts, before = F.col("parts"), F.col("before")
     after = F.size(parts) - before - 1
-    spans = [(a, b) for a in range(longest) for b in range(longest - a) if a + b]
+    spans = [(a, b) for a in range(longest) for b in range(longest - a) if a + b + 1 >= shortest]
     return F.array(*[F.when((before >= a) & (after >= b), F.array_join(F.slice(parts, before - a + 1, F.lit(a + b + 1)), " ")) for a, b in spans])
 
 
+def _counted(mined: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, n) of what occurs `least` times; only the counts of divided pivots meet again."""
+    local = mined.groupBy("owner", "split", "lang", "phrase").agg(F.sum("times").alias("n")).where(F.col("split") | (F.col("n") >= least))
+    return local.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
 def frequent_phrases(docs: DataFrame, known: Lexicon, total: int, longest: int, least: int) -> DataFrame:
     """(lang, phrase, n) of the phrases of two words and more that occur `least` times."""
+    context = docs.sparkSession.sparkContext
     partitions = max(1, min(MOST_PARTITIONS, total // PARTITION_WORDS))
-    dealt = fragments(docs, known, longest).repartition(partitions, "owner")
-    same = dealt.groupBy("owner", "split", "lang", "before", "fragment").agg(F.sum("times").alias("times"))
-    cut = same.withColumn("parts", F.split("fragment", " "))
-    mined = cut.select("owner", "split", "lang", "times", F.explode(owned(longest)).alias("phrase")).where(F.col("phrase").isNotNull())
-    local = mined.groupBy("owner", "split", "lang", "phrase").agg(F.sum("times").alias("n")).where(F.col("split") | (F.col("n") >= least))
-    found = local.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    sent = docs.sparkSession.sparkContext.broadcast({code_text(i): w for i, w in enumerate(known.words)})
+    sent = context.broadcast(known)
+    pairs = _mined(docs, _PAIR, lambda lang, texts: pairs_of(lang, texts, sent.value)).repartition(partitions, "owner")
+    found = _counted(pairs, least)
+    if longest > 2:
+        found = written(found)
+        bits = context.broadcast(pair_bits(found, known))
+        dealt = _mined(docs, _FRAGMENT, lambda lang, texts: fragments_of(lang, texts, sent.value, longest, bits.value)).repartition(partitions, "owner")
+        same = dealt.groupBy("owner", "split", "lang", "before", "fragment").agg(F.sum("times").alias("times"))
+        cut = same.withColumn("parts", F.split("fragment", " "))
+        found = found.unionByName(_counted(cut.select("owner", "split", "lang", "times", F.explode(owned(3, longest)).alias("phrase")).where(F.col("phrase").isNotNull()), least))
+    words_ = context.broadcast({code_text(i): w for i, w in enumerate(known.words)})
 
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word = sent.value
+        word = words_.value
         for batch in batches:
             texts = [" ".join(t[1:] if t.startswith(_SPELLED) else word[t] for t in p.split(" ")) for p in batch.column("phrase").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(texts, pa.string()), batch.column("n")], names=["lang", "phrase", "n"])

@@ -69,7 +69,8 @@ def test_fragments_hold_their_pivot_and_more_frequent_words():
 
     known = phrases.Lexicon({"en": {w: i for i, w in enumerate(order[:20])}}, [w.decode() for w in order[:20]], np.ones(20, np.int64), True)
     number = {phrases.code_text(i): i for i in range(20)}
-    found = phrases.fragments_of("en", texts, known, 5).to_pylist()
+    every = np.full(phrases.PAIR_BITS // 64, np.uint64(0xFFFFFFFFFFFFFFFF))
+    found = phrases.fragments_of("en", texts, known, 5, every).to_pylist()
     assert found
     for row in found:
         codes = [number[t] for t in row["fragment"].split(" ")]
