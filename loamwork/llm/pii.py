@@ -9,7 +9,10 @@ part; a document's words that are part of one of its titled names are replaced w
 A surrogate depends on the key and the entity's canonical form (digits of a number, lower case of an
 address or secret), so that every mention of an entity gets the same surrogate in its own format. All
 distinct entities of the corpus are checked: surrogates that two entities share, and surrogates that
-are themselves an entity of the corpus, are drawn again with the next nonce until none is left.
+are themselves an entity of the corpus, are drawn again with the next nonce until none is left. Words
+and secrets grow with the nonce, so that their formats cannot be used up. Formats of few values (short
+numbers, addresses of a private range) are permuted by the key instead: there no two entities share a
+surrogate and none is its own, but one may be another entity of the corpus, as all values may be taken.
 Entities are made distinct before they are joined with anything, so that a common one costs one row.
 """
 
@@ -18,22 +21,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import documents
+from loamwork.llm.common import documents, text_hash
 from loamwork.runtime import cut
 
 KEY = "loamwork"
-#: Rounds of drawing again before the build gives up.
-ROUNDS = 20
+#: Rounds of drawing again before the build gives up, and those from which on words and secrets get longer.
+ROUNDS = 40
+LONGER = 8
+#: Digits of a number that is permuted rather than drawn, at most.
+PERMUTED = 9
 
 # Titles by gender, parts of the names that stand in for others, words inside names,
-# letters that start the tokens of services, and country calling codes of one and two digits.
-MALE = ["Mr", "Herr", "Señor", "Monsieur"]
-FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "Mademoiselle"]
+# words before what is no name and months, letters that start the tokens of services, and country
+# calling codes of one and two digits.
+MALE = ["Mr", "Herr", "Hr", "Señor", "Sr(?=[.])", "Monsieur", "M(?=[.] )"]
+FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Fr(?=[.])", "Señora", "Sra", "Señorita", "Srta", "Madame", "Mme", "Mademoiselle", "Mlle"]
 NEUTRAL = ["Dr", "Prof", "Doctor", "Professor"]
 MALE_NAMES = ["Albert", "Bruno", "Carl", "David", "Emil", "Frank", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leo", "Martin", "Nils", "Oscar", "Paul"]
 FEMALE_NAMES = ["Anna", "Berta", "Clara", "Dora", "Emma", "Flora", "Greta", "Helen", "Ida", "Julia", "Klara", "Laura", "Marta", "Nora", "Olga", "Paula"]
 SYLLABLES = ["bal", "cor", "dan", "fel", "gar", "hol", "jan", "kel", "lan", "mor", "nel", "pal", "ros", "sol", "tor", "wal"]
 PARTICLES = ["van", "von", "der", "den", "de", "del", "della", "di", "da", "du", "la", "le", "zu", "zur", "zum", "ten", "ter", "bin", "ibn", "al"]
+ARTICLES = ["the", "The", "a", "A", "an", "An"]
+MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December", "Mai", "März", "Juni", "Juli"]
 _SERVICE = r"gh[opusr]_|github_pat_|glpat-|xox[abeprs]-|sk-|AIza|A[KS]IA"
 _CALLING = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 
@@ -47,10 +56,15 @@ _INITIAL = r"\p{Lu}\.(?= \p{Lu})"
 _PARTICLE = rf"(?:{'|'.join(PARTICLES)})(?= )"
 #: A text in words, with what untitled names may hold, and what stands between words.
 _WORD = r"\p{L}++(?:['’-]\p{Lu}\p{L}++)*+|\P{L}++"
-_PEM = r"-----BEGIN (?:(?!PRIVATE)[A-Z]+ )*+PRIVATE KEY-----"
+_PEM = r"-----BEGIN (?:(?!PRIVATE)[A-Z]{1,20} ){0,4}+PRIVATE KEY-----"
+_PEM_END = r"-----END (?:(?!PRIVATE)[A-Z]{1,20} ){0,4}+PRIVATE KEY-----"
+#: Line ends, also as they are written in strings, and the lines before a key's own.
+_ENDS = r"(?:\\[rn]|\s)"
+_KEY_HEAD = rf"(?:{_ENDS}{{0,8}}[A-Za-z-]{{3,40}}: [^\n]{{1,200}}(?=\n)){{0,6}}+"
 #: In order of precedence. Only a private key's block matches across a line.
 PATTERNS = {
-    "pem": rf"{_PEM}[^-]*+(?:-(?!----)[^-]*+)*+(?:-----END (?:(?!PRIVATE)[A-Z]+ )*+PRIVATE KEY-----)?",
+    # either up to its end mark, or as many full lines as follow; a mark alone is none
+    "pem": rf"{_PEM}{_KEY_HEAD}(?:(?={_ENDS}{{0,8}}[A-Za-z0-9+/]{{16}})[A-Za-z0-9+/=\s\\]++{_PEM_END}|(?:{_ENDS}{{0,8}}[A-Za-z0-9+/]{{40,}}+){{1,1000}}+(?:{_ENDS}{{0,8}}[A-Za-z0-9+/]{{1,80}}={{1,2}})?+)",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}\p{M}._%+-]++@(?:[\p{L}\p{N}\p{M}-]{1,63}\.){1,8}\p{L}{2,24}",
     # up to its end, which a full stop is not part of
     "key": rf"{_KEY_NAME}(?=[A-Za-z_+/.=~-]*+[0-9])[A-Za-z0-9_+/.=~-]{{8,}}(?<!\.)",
@@ -62,7 +76,8 @@ PATTERNS = {
     "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])[0-9]{13,19}(?![0-9])|(?<![0-9]|[0-9][ -])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![ -]?[0-9])",
-    "name": rf"(?<!\p{{L}}){_TITLES}\.? (?:{_TITLES}\.? )?+(?:(?:{_NAME}|{_INITIAL}|{_PARTICLE}) )*?(?:{_NAME})(?: (?:{_INITIAL} |{_PARTICLE} )*+{_NAME})*+",
+    # of what looks like a name the first nine parts at most
+    "name": rf"(?<!\p{{L}}){_TITLES}\.? (?:{_TITLES}\.? )?+(?:(?:{_NAME}|{_INITIAL}|{_PARTICLE}) ){{0,4}}?(?:{_NAME})(?: (?:{_INITIAL} |{_PARTICLE} ){{0,3}}+{_NAME}){{0,4}}+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _HINT = rf"[0-9@]|A[KS]IA|eyJ|[0-9a-fA-F]{{32}}|{_SERVICE}|{_PEM}|{_TITLES}\.? \p{{L}}"
@@ -166,8 +181,41 @@ def _head(what: Column, value: Column) -> Column:
     )
 
 
+def _permuted(named: DataFrame, key: str) -> DataFrame:
+    """`named` with _permuted, the surrogate value of a number of few digits or an address of a private range, else null.
+
+    A value is cut in halves, each of which is moved four times by a keyed hash of the other; one is
+    added, and the halves are moved back. That is one cycle through all values of the format, so that
+    each value has another one of its own.
+    """
+    what, value = F.col("_kind"), F.col("_value")
+    range_ = F.when(what == "ip", F.regexp_extract(value, r"^(?:10|127|0|192\.168|169\.254|172\.(?:1[6-9]|2[0-9]|3[01]))\.", 0)).otherwise("")
+    rest = F.expr("substring(_value, length(_head) + 1)")
+    digits = F.when(what.isin("phone", "ssn") & F.length(rest).between(1, PERMUTED), rest)
+    octet = lambda i: F.get(F.split(value, "[.]"), F.lit(i)).cast("long")
+    wide = F.length(F.regexp_replace("_range", "[^.]", "")) == 1
+    low = F.when(F.col("_range") != "", F.when(wide, 4096).otherwise(256)).otherwise(F.pow(F.lit(10), F.length("_digits") - F.floor(F.length("_digits") / 2))).cast("long")
+    high = F.when(F.col("_range") != "", F.when(wide, 4096).otherwise(256)).otherwise(F.pow(F.lit(10), F.floor(F.length("_digits") / 2))).cast("long")
+    number = F.when(F.col("_range") != "", F.when(wide, octet(1) * 65536).otherwise(0) + octet(2) * 256 + octet(3)).otherwise(F.col("_digits").cast("long"))
+    out = named.withColumn("_range", range_).withColumn("_digits", digits).withColumn("_low", low).withColumn("_high", high)
+    out = out.withColumn("_number", number).withColumn("_left", F.expr("_number div _low")).withColumn("_right", F.expr("pmod(_number, _low)"))
+    # the halves of each step: what is moved, by what, and within what
+    steps = [("_left", "_right", "_high"), ("_right", "_left", "_low")] * 2
+    by = lambda i, other: F.pmod(F.xxhash64(F.sha2(F.lit(f"{key}|{i}"), 256), "_kind", "_head", "_range", "_low", other), F.lit(1 << 40))
+    for i, (half, other, size) in enumerate(steps):
+        out = out.withColumn(half, F.pmod(F.col(half) + by(i, other), F.col(size)))
+    out = out.withColumn("_number", F.expr("pmod(_left * _low + _right + 1, _low * _high)")).withColumn("_left", F.expr("_number div _low")).withColumn("_right", F.expr("pmod(_number, _low)"))
+    for i, (half, other, size) in reversed(list(enumerate(steps))):
+        out = out.withColumn(half, F.pmod(F.col(half) - by(i, other), F.col(size)))
+    n = F.expr("_left * _low + _right")
+    part = lambda by: F.pmod(F.floor(n / by), F.lit(256)).cast("string")
+    address = F.concat("_range", F.when(wide, F.concat(part(65536), F.lit("."))).otherwise(""), part(256), F.lit("."), part(1))
+    permuted = F.when(F.col("_range") != "", address).when(F.col("_digits").isNotNull(), F.concat("_head", F.lpad(n.cast("string"), F.length("_digits"), F.lit("0"))))
+    return out.withColumn("_permuted", permuted).drop("_range", "_digits", "_low", "_high", "_number", "_left", "_right")
+
+
 def draw(named: DataFrame, key: str) -> DataFrame:
-    """(entity, nonce) with target, the canonical form that stands for the canonical form `entity`."""
+    """(entity, nonce, target, permuted): the canonical form that stands for the canonical form `entity`, and whether it is of a permuted format."""
     value, stream = F.col("_value"), F.col("_stream")
 
     def pick(options: list[str], place: int | Column) -> Column:
@@ -175,14 +223,9 @@ def draw(named: DataFrame, key: str) -> DataFrame:
         return F.get(F.array(*map(F.lit, options)), chosen)
 
     octet = lambda i: (1 + F.pmod(F.xxhash64(stream, F.lit(i)), F.lit(254))).cast("string")
-    # an address of a private or reserved range stays in it
-    fixed = F.regexp_extract(value, r"^(?:10|127|0|192\.168|169\.254|172\.(?:1[6-9]|2[0-9]|3[01]))\.", 0)
-    octets = F.array(*map(octet, range(4)))
-    drawn = F.array_join(octets, ".")
-    held = F.size(F.split(fixed, "[.]")) - 1
-    # and an open one does not come to lie in one
-    public = F.when(drawn.rlike(r"^(?:10|127|192|169|172)\."), F.concat(F.lit("203."), F.substring_index(drawn, ".", -3))).otherwise(drawn)
-    address = F.when(fixed == "", public).otherwise(F.concat(fixed, F.array_join(F.slice(octets, held + 1, 4 - held), ".")))
+    drawn = F.array_join(F.array(*map(octet, range(4))), ".")
+    # an open address does not come to lie in a private or reserved range
+    public = F.when(drawn.rlike(r"^(?:0|10|127|192|169|172)\."), F.concat(F.lit("203."), F.substring_index(drawn, ".", -3))).otherwise(drawn)
     # the last digit moves the remainder by as much as it changes, so that the wanted remainder can be met
     last = F.pmod(F.substring(F.col("_plain"), -1, 1).cast("int") + _luhn(value) - _luhn(F.col("_plain")), F.lit(10)).cast("string")
     syllables = F.transform(F.sequence(F.lit(1), F.lit(3) + F.floor(F.col("nonce") / 4).cast("int")), lambda i: pick(SYLLABLES, i))
@@ -195,33 +238,34 @@ def draw(named: DataFrame, key: str) -> DataFrame:
     latin = value.rlike(r"^[mfn]:[\p{IsLatin}'’ -]+$")
     country, account = F.substring(value, 1, 2), F.expr("substring(_plain, 5)")
     what = F.col("_kind")
+    longer = F.array_join(F.transform(F.sequence(F.lit(LONGER), F.greatest(F.col("nonce"), F.lit(LONGER))), lambda i: F.substring(F.lit("abcdef"), (F.pmod(F.xxhash64(stream, i), F.lit(6)) + 1).cast("int"), F.lit(1))), "")
+    grown = F.when((F.col("nonce") >= LONGER) & what.isin("email", "secret", "cloud", "pem"), longer).otherwise("")
     target = (
-        F.when(what == "ip", address)
+        F.when(F.col("_permuted").isNotNull(), F.col("_permuted"))
+        .when(what == "ip", public)
         .when(what == "iban", F.concat(country, F.lpad((98 - _mod97(F.concat(country, F.lit("00"), account))).cast("string"), 2, "0"), account))
         .when(what == "card", F.concat(F.expr("left(_plain, length(_plain) - 1)"), last))
         .when(what.isin("name", "given") & latin, F.concat(F.substring(value, 1, 2), F.when(what == "given", given).otherwise(name)))
         .otherwise(F.col("_plain"))
     )
+    parsed = named.select("entity", "nonce").withColumn("_kind", F.substring_index("entity", ":", 1)).withColumn("_value", F.expr("substring(entity, length(_kind) + 2)")).withColumn("_head", _head(F.col("_kind"), F.col("_value")))
     return (
-        named.withColumn("_kind", F.substring_index("entity", ":", 1))
-        .withColumn("_value", F.expr("substring(entity, length(_kind) + 2)"))
-        .withColumn("_head", _head(F.col("_kind"), F.col("_value")))
+        _permuted(parsed, key)
         .withColumn("_tail", F.when(F.col("_kind") == "email", F.regexp_extract("_value", r"[.]\p{L}+$", 0)).otherwise(""))
         .withColumn("_stream", F.sha2(F.concat_ws("|", F.lit(key), F.col("nonce").cast("string"), F.col("entity")), 256))
-        .withColumn("_plain", F.concat("_head", _substituted(F.expr("substring(_value, length(_head) + 1, length(_value) - length(_head) - length(_tail))"), stream, what == "secret"), "_tail"))
-        .withColumn("target", F.concat(what, F.lit(":"), target))
-        .drop("_kind", "_value", "_head", "_tail", "_stream", "_plain")
+        .withColumn("_plain", F.concat("_head", grown, _substituted(F.expr("substring(_value, length(_head) + 1, length(_value) - length(_head) - length(_tail))"), stream, what == "secret"), "_tail"))
+        .select("entity", "nonce", F.concat(what, F.lit(":"), target).alias("target"), F.col("_permuted").isNotNull().alias("permuted"))
     )
 
 
 def surrogates(found: DataFrame, key: str = KEY) -> DataFrame:
-    """(entity, target) for the distinct `entity` of `found`; no two entities share a target and no target is an entity."""
+    """(entity, target) for the distinct `entity` of `found`; no two entities share a target, and outside permuted formats no target is an entity."""
     known = cut(found.select("entity").distinct())
     drawn = cut(draw(known.withColumn("nonce", F.lit(0)), key))
     real = known.select(F.col("entity").alias("target"), F.lit(True).alias("real"))
     for _ in range(ROUNDS):
-        first = drawn.groupBy("target").agg(F.min("entity").alias("first"))
-        checked = drawn.join(first, "target").join(real, "target", "left")
+        first = drawn.groupBy("target").agg(F.min(F.struct((~F.col("permuted")).alias("drawn"), "entity"))["entity"].alias("first"))
+        checked = drawn.where(~F.col("permuted")).join(first, "target").join(real, "target", "left")
         lost = checked.where((F.col("entity") != F.col("first")) | F.col("real")).select("entity", (F.col("nonce") + 1).alias("nonce"))
         if lost.isEmpty():
             return drawn.select("entity", "target")
@@ -260,39 +304,57 @@ def _renamed(mention: Column, targets: Column) -> Column:
     return F.concat(_title(mention), F.array_join(words, " "))
 
 
-def _untitled(word: Column, targets: Column) -> Column:
-    """The surrogate of a word that is part of a titled name of its document, or null."""
+def _part(word: Column, targets: Column) -> Column:
+    """What stands for a word that is part of a titled name of its document, or null."""
     known = F.coalesce(*[F.element_at(targets, F.concat(F.lit(k), word)) for k in ("name:n:", "given:m:", "given:f:", "given:n:")])
     return F.when(word.rlike(r"^\p{Lu}"), _bare(known))
 
 
+def _untitled(words: Column, i: Column, targets: Column) -> Column:
+    """The surrogate of the i-th of a text's words if it mentions a titled name of its document, or null.
+
+    After an article, before another capital word that is part of no name, and, for a month, after a
+    small word, it is no mention: the White House, in May.
+    """
+    word = lambda k: F.get(words, i + k)
+    before, after = F.when(word(-1) == " ", word(-2)), F.when(word(1) == " ", word(2))
+    other = F.coalesce(before.isin(ARTICLES), F.lit(False)) | (F.coalesce(after.rlike(r"^\p{Lu}"), F.lit(False)) & _part(after, targets).isNull()) | (word(0).isin(MONTHS) & F.coalesce(before.rlike(r"^\p{Ll}"), F.lit(False)))
+    new = _part(word(0), targets)
+    return F.when(new.isNotNull() & ~other, new)
+
+
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """`docs` with surrogates in `text`, and n_entities, the number of mentions that were replaced.
 
     Texts without an entity, null and empty texts stay as they are. Texts of any length are searched
-    whole. Rows that repeat a doc_id, or have none, share a table of surrogates and get the same
-    replacements. Equal entities get equal surrogates wherever they stand. Other columns stay; one
-    named n_entities is replaced. An empty table gives an empty result.
+    whole. A row's table of surrogates holds the entities of its own text, so that rows that repeat a
+    doc_id, or have none, share nothing but equal texts. Equal entities get equal surrogates wherever
+    they stand. The mark of a private key alone, or without its end and full lines, is no entity. Other
+    columns stay, whatever their names; one named n_entities is replaced. An empty table gives an empty
+    result.
     """
-    docs = docs.drop("n_entities")
-    mentions = docs.select("doc_id", F.explode(F.array_distinct(F.flatten(F.transform(entities(F.col("text")), forms)))).alias("entity"))
-    mentions = cut(mentions)
-    known = mentions.join(surrogates(mentions, key), "entity").groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("entity", "target"))).alias("_targets"))
-    known = known.withColumnRenamed("doc_id", "_id")
-    joined = docs.join(known, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
-    cut_up = joined.withColumn("_mentions", F.when(F.col("_targets").isNotNull(), entities(F.col("text")))).withColumn("_between", F.when(F.size("_mentions") > 0, F.split("text", ANY, -1)))
+    columns = [c for c in docs.columns if c != "n_entities"]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    packed = packed.withColumn("id", F.col("row.doc_id")).withColumn("tid", text_hash("row.text"))
+    mentions = packed.select("id", "tid", F.explode(F.array_distinct(F.flatten(F.transform(entities(F.col("row.text")), forms)))).alias("entity"))
+    mentions = cut(mentions.distinct())
+    known = mentions.join(surrogates(mentions, key), "entity").groupBy("id", "tid").agg(F.map_from_entries(F.collect_set(F.struct("entity", "target"))).alias("targets"))
+    known = known.withColumnRenamed("id", "own").withColumnRenamed("tid", "own_tid")
+    joined = packed.join(known, F.col("id").eqNullSafe(F.col("own")) & (F.col("tid") == F.col("own_tid")), "left").select("row", "targets")
+    whole, targets = F.col("row.text"), F.col("targets")
+    cut_up = joined.withColumn("mentions", F.when(targets.isNotNull(), entities(whole))).withColumn("between", F.when(F.size("mentions") > 0, F.split(whole, ANY, -1)))
     # only texts with a titled name are cut into words
-    targets = F.col("_targets")
     named = F.exists(F.map_keys(targets), lambda k: F.startswith(k, F.lit("name:")) | F.startswith(k, F.lit("given:")))
-    cut_up = cut_up.withColumn("_found", F.when(named & F.col("_between").isNotNull(), F.transform("_between", lambda x: F.transform(F.regexp_extract_all(x, F.lit(_WORD), F.lit(0)), lambda w: F.struct(w.alias("word"), _untitled(w, targets).alias("new"))))))
-    cut_up = cut_up.withColumn("_between", F.when(F.col("_found").isNotNull(), F.transform("_found", lambda x: F.array_join(F.transform(x, lambda w: F.coalesce(w["new"], w["word"])), ""))).otherwise(F.col("_between")))
-    cut_up = cut_up.withColumn("_more", F.coalesce(F.size(F.filter(F.flatten("_found"), lambda w: w["new"].isNotNull())), F.lit(0)))
-    aimed = F.transform("_mentions", lambda x: F.struct(x["mention"].alias("mention"), x["kind"].alias("kind"), F.when(x["form"].isNotNull(), F.element_at(targets, x["form"])).alias("target")))
+    cut_up = cut_up.withColumn("words", F.when(named & F.col("between").isNotNull(), F.transform("between", lambda x: F.regexp_extract_all(x, F.lit(_WORD), F.lit(0)))))
+    cut_up = cut_up.withColumn("found", F.transform("words", lambda x: F.transform(x, lambda w, i: F.struct(w.alias("word"), _untitled(x, i, targets).alias("new")))))
+    cut_up = cut_up.withColumn("between", F.when(F.col("found").isNotNull(), F.transform("found", lambda x: F.array_join(F.transform(x, lambda w: F.coalesce(w["new"], w["word"])), ""))).otherwise(F.col("between")))
+    cut_up = cut_up.withColumn("more", F.coalesce(F.size(F.filter(F.flatten("found"), lambda w: w["new"].isNotNull())), F.lit(0)))
+    aimed = F.transform("mentions", lambda x: F.struct(x["mention"].alias("mention"), x["kind"].alias("kind"), F.when(x["form"].isNotNull(), F.element_at(targets, x["form"])).alias("target")))
     new = lambda x: F.when(x["kind"] == "name", _renamed(x["mention"], targets)).when(x["kind"] == "none", x["mention"]).otherwise(_written(x["mention"], x["target"]))
-    rest = F.transform(F.transform(aimed, new), lambda x, i: F.concat(x, F.get("_between", i + 1)))
-    text = F.when(F.col("_between").isNotNull(), F.concat(F.get("_between", F.lit(0)), F.array_join(rest, ""))).otherwise(F.col("text"))
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return cut_up.select(*columns, F.coalesce(F.when(F.size("_mentions") > 0, F.size(F.filter("_mentions", lambda m: m["kind"] != "none")) + F.col("_more")), F.lit(0)).cast("long").alias("n_entities"))
+    rest = F.transform(F.transform(aimed, new), lambda x, i: F.concat(x, F.get("between", i + 1)))
+    text = F.when(F.col("between").isNotNull(), F.concat(F.get("between", F.lit(0)), F.array_join(rest, ""))).otherwise(whole)
+    kept = [text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in columns]
+    return cut_up.select(*kept, F.coalesce(F.when(F.size("mentions") > 0, F.size(F.filter("mentions", lambda m: m["kind"] != "none")) + F.col("more")), F.lit(0)).cast("long").alias("n_entities"))
 
 
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
