@@ -30,6 +30,12 @@ def text_hash(name: str = "text") -> Column:
     return F.xxhash64(text_or_empty(name))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, with a number after it if `df` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    return next(c for c in (name, *(f"{name}{i}" for i in range(len(taken) + 1))) if c.lower() not in taken)
+
+
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The texts of a batch in UTF-8; null counts as empty."""
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import BLANK, documents, runs, text_bytes, text_hash
+from loamwork.llm.common import BLANK, documents, runs, text_bytes, text_hash, unused
 from loamwork.runtime import cut
 
 MIN_CHARS = 40
@@ -202,15 +202,16 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     doc_id count as one document when holders of a line are counted, and each loses the lines of its
     own text. Ties cannot occur: a line's keeper is the largest id. An empty table gives an empty result.
     """
-    bitmaps = keep_bitmaps(docs, min_chars, min_docs).select("doc_id", F.col("tid").alias("_tid"), F.col("keep").alias("_keep"))
-    joined = docs.withColumn("_tid", text_hash()).join(bitmaps, ["doc_id", "_tid"], "left")
+    tid, held = unused(docs, "_tid"), unused(docs, "_keep")
+    bitmaps = keep_bitmaps(docs, min_chars, min_docs).select("doc_id", F.col("tid").alias(tid), F.col("keep").alias(held))
+    joined = docs.withColumn(tid, text_hash()).join(bitmaps, ["doc_id", tid], "left")
     out = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_dropped", "kept_text")]
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out] + ["n_lines long, n_dropped long, kept_text string"])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
             texts = text_bytes(batch)
-            done = [kept_text(t, k) for t, k in zip(texts, batch.column("_keep").to_pylist(), strict=True)]
+            done = [kept_text(t, k) for t, k in zip(texts, batch.column(held).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(f.name) for f in out], pa.array([t.count(b"\n") + 1 for t in texts], pa.int64()), pa.array([n for _, n in done], pa.int64()), pa.array([t for t, _ in done], pa.binary()).cast(pa.string())],
                 names=[*[f.name for f in out], "n_lines", "n_dropped", "kept_text"],

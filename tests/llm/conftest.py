@@ -5,7 +5,7 @@ PROSE = [
     "A second sentence of some length follows here so that a shared line has forty characters.",
     "Ein dritter Satz mit Umlauten wie ä, ö und ü steht hier, damit auch andere Bytes vorkommen.",
 ]
-CLASHES = ["n_lines", "n_dropped", "kept_text", "keep", "ids", "score", "fp", "part", "slot", "spans", "block", "extra", "signature", "entity", "n_entities", "features", "label", "key", "lo", "nonce", "target", "length", "start", "rank"]
+CLASHES = ["n_lines", "n_dropped", "kept_text", "keep", "ids", "score", "fp", "part", "slot", "spans", "block", "extra", "signature", "entity", "n_entities", "features", "label", "key", "lo", "nonce", "target", "length", "start", "rank", "_keep", "_tid", "tid", "row", "id", "targets", "_targets", "mentions", "_mentions", "between", "words", "found", "more", "cluster", "phrase", "n"]
 
 
 def odd_rows():
