@@ -20,11 +20,12 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import pandas_udf, udtf
 from pyspark.sql.types import BooleanType, StringType
 
 from loamwork import constants as C
 from loamwork.functions import arrow, hashing
+from loamwork.functions.text import strip
 from loamwork.sources.markup import parse
 
 CAPS = {"wp_rest": 250, "rss": 120, "html": 100}
@@ -34,7 +35,7 @@ POST = (
     "struct<id:bigint,date:string,date_gmt:string,modified:string,link:string,title:struct<rendered:string>,content:struct<rendered:string>,excerpt:struct<rendered:string>,"
     f"deadline:string,application_deadline:string,_embedded:struct<`wp:term`:array<array<{_TERM}>>>>"
 )
-ITEM = "array<struct<link:string,title:string,content:string,published:string>>"
+ITEM = "place int, link string, title string, content string, published string"
 
 
 def cache_key(url: str, params: dict | None = None) -> str:
@@ -76,9 +77,8 @@ def utc_stamp(written: str) -> str:
     return ""
 
 
-@pandas_udf(StringType())
-def feed_items(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """The entries of an RSS or Atom document as JSON; a broken document has none."""
+def entries(document: str | None) -> Iterator[dict]:
+    """The entries of an RSS or Atom document; a broken document has none."""
 
     def child(node: ElementTree.Element, *names: str) -> str:
         for wanted in names:
@@ -90,53 +90,66 @@ def feed_items(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
                         return c.text.strip()
         return ""
 
-    def items(document: str | None) -> str:
-        try:
-            root = ElementTree.fromstring((document or "").strip())
-        except ElementTree.ParseError:
-            return "[]"
-        found = [n for n in root.iter() if n.tag.rsplit("}", 1)[-1] in ("item", "entry")]
-        return json.dumps([{"link": child(n, "link"), "title": child(n, "title"), "content": child(n, "encoded", "content", "description", "summary"), "published": utc_stamp(child(n, "pubDate", "published", "date") or child(n, "updated"))} for n in found])
+    try:
+        root = ElementTree.fromstring((document or "").strip())
+    except ElementTree.ParseError:
+        return
+    for n in root.iter():
+        if n.tag.rsplit("}", 1)[-1] in ("item", "entry"):
+            dated = utc_stamp(child(n, "pubDate", "published", "date") or child(n, "updated"))
+            yield {"link": child(n, "link"), "title": child(n, "title"), "content": child(n, "encoded", "content", "description", "summary"), "published": dated}
 
-    for batch in batches:
-        yield batch.map(items)
 
+def listed(page: str | None, url: str | None, recipe: dict) -> Iterator[dict]:
+    """The items of a listing page by the recipe's selectors; what lacks a title or link is none."""
+    for node in parse(page or "").select(recipe["item"]):
+        titles, links = node.select(recipe.get("title", "a")), node.select(recipe.get("link", "a"))
+        href = links[0].attrs.get("href") if links else None
+        if href and titles:
+            dated = node.select(recipe["date"]) if recipe.get("date") else []
+            yield {"link": urljoin(url or "", href), "title": titles[0].text().strip(), "content": node.markup(), "published": dated[0].text().strip() if dated else ""}
 
-def listing_items(item: str, title: str, link: str, date: str | None = None) -> Callable:
-    """An Arrow function from (page, its URL) to the items of a listing as JSON."""
 
-    @pandas_udf(StringType())
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        def items(page: str | None, url: str | None) -> str:
-            found = []
-            for node in parse(page or "").select(item):
-                titles, links = node.select(title), node.select(link)
-                href = links[0].attrs.get("href") if links else None
-                if href and titles:
-                    dated = node.select(date) if date else []
-                    found.append({"link": urljoin(url or "", href), "title": titles[0].text().strip(), "content": node.markup(), "published": dated[0].text().strip() if dated else ""})
-            return json.dumps(found)
-
-        for pages, urls in batches:
-            yield pd.Series([items(p, u) for p, u in zip(pages, urls, strict=True)])
+@udtf(returnType=ITEM, useArrow=True)
+class FeedItems:
+    """A feed's entries as rows, for a lateral join."""
 
-    return run
+    def eval(self, document: str) -> Iterator[tuple]:
+        for place, e in enumerate(entries(document)):
+            yield place, e["link"], e["title"], e["content"], e["published"]
+
+
+@udtf(returnType=ITEM, useArrow=True)
+class ListedItems:
+    """A listing page's items as rows; the recipe's selectors are the last argument, as JSON."""
+
+    def eval(self, page: str, url: str, selectors: str) -> Iterator[tuple]:
+        for place, e in enumerate(listed(page, url, json.loads(selectors))):
+            yield place, e["link"], e["title"], e["content"], e["published"]
+
+
+def _items(responses: DataFrame, found: DataFrame) -> DataFrame:
+    """Pages that were fetched, each with the items that `found` gives of its columns; pages without any give no row."""
+    pages = responses.where("status = 200").select("source_id", "page", F.col("url").alias("listing_url"), "text", "url")
+    return pages.lateralJoin(found).drop("text", "url")
+
+
+def detail(page: str | None, selector: str, deadline: str | None = None, without: tuple[str, ...] = ()) -> str:
+    """The text of a detail page, after "DEADLINE: ..." where the page states one; tags in `without` are left out."""
+    tree = parse(page or "")
+    body = (tree.select(selector) or tree.select("body") or [tree])[0]
+    stated = tree.select(deadline) if deadline else []
+    head = f"DEADLINE: {stated[0].text().strip()}\n" if stated and stated[0].text().strip() else ""
+    return head + arrow.html_text(body.markup(), without)
 
 
 def detail_text(selector: str, deadline: str | None = None, without: tuple[str, ...] = ()) -> Callable:
-    """An Arrow function from a detail page to its text, after "DEADLINE: ..." where the page states one; tags in `without` are left out."""
+    """detail() as an Arrow function."""
 
     @pandas_udf(StringType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def one(page: str | None) -> str:
-            tree = parse(page or "")
-            body = (tree.select(selector) or tree.select("body") or [tree])[0]
-            stated = tree.select(deadline) if deadline else []
-            head = f"DEADLINE: {stated[0].text().strip()}\n" if stated and stated[0].text().strip() else ""
-            return head + arrow.html_text(body.markup(), without)
-
         for batch in batches:
-            yield batch.map(one)
+            yield batch.map(lambda page: detail(page, selector, deadline, without))
 
     return run
 
@@ -159,8 +172,9 @@ def _records(items: DataFrame, cap: int) -> DataFrame:
 
 
 def _terms(kind: str) -> Column:
-    every = F.flatten(F.col("p._embedded.`wp:term`"))
-    return F.array_sort(F.array_distinct(F.transform(F.filter(every, lambda t: t["taxonomy"] == kind), lambda t: t["name"])))
+    every = F.coalesce(F.flatten(F.col("p._embedded.`wp:term`")), F.array().cast(f"array<{_TERM}>"))
+    names = F.transform(F.filter(every, lambda t: t["taxonomy"] == kind), lambda t: strip(F.coalesce(t["name"], F.lit(""))))
+    return F.array_sort(F.array_distinct(F.filter(names, lambda n: n != "")))
 
 
 def page_urls(listing: str, pagination: dict) -> list[str]:
@@ -190,25 +204,23 @@ def wp_rest(responses: DataFrame, deadline_fields: tuple[str, ...] = ("deadline"
     # the first page says how many there are; what a server sends beyond that is not read
     within = responses.where("status = 200 AND (coalesce(total_pages, 0) < 1 OR page <= total_pages)")
     posts = within.select("source_id", "page", F.col("url").alias("listing_url"), F.posexplode(F.from_json("text", f"array<{POST}>")).alias("place", "p"))
-    stated = F.get(F.filter(F.array(*[F.col(f"p.{f}") for f in deadline_fields]), lambda x: F.trim(x) != ""), F.lit(0))
-    extra = F.struct(F.col("p.id").alias("wp_id"), F.col("p.modified").alias("wp_modified"), _terms("category").alias("wp_categories"), _terms("post_tag").alias("wp_tags"), F.substring("p.excerpt.rendered", 1, 500).alias("excerpt"))
+    stated = F.get(F.filter(F.transform(F.array(*[F.col(f"p.{f}") for f in deadline_fields]), strip), lambda x: x != ""), F.lit(0))
+    extra = F.struct(F.col("p.id").alias("wp_id"), F.col("p.modified").alias("wp_modified"), _terms("category").alias("wp_categories"), _terms("post_tag").alias("wp_tags"), F.substring(arrow.html_to_text(F.coalesce("p.excerpt.rendered", F.lit(""))), 1, 500).alias("excerpt"))
     return _records(posts.select("source_id", "page", "place", "listing_url", F.col("p.link").alias("link"), F.col("p.title.rendered").alias("title"), F.coalesce("p.content.rendered", F.lit("")).alias("content"), F.coalesce("p.date_gmt", "p.date").alias("published"), stated.alias("deadline"), extra.alias("extra")), cap)
 
 
 def rss(responses: DataFrame, details: DataFrame | None = None, selector: str = "article", deadline: str | None = None, cap: int = CAPS["rss"]) -> DataFrame:
     """Feed entries; those with little text take the text of their page in `details` (url, text)."""
-    items = responses.where("status = 200").select("source_id", "page", F.col("url").alias("listing_url"), F.posexplode(F.from_json(feed_items("text"), ITEM)).alias("place", "i")).select("source_id", "page", "place", "listing_url", "i.*")
-    out = _records(items.withColumns({"deadline": F.lit(None).cast("string"), "extra": F.lit(None).cast("struct<feed_title:string>")}), cap)
+    out = _records(_items(responses, FeedItems(F.col("text").outer())).withColumns({"deadline": F.lit(None).cast("string"), "extra": F.lit(None).cast("struct<feed_title:string>")}), cap)
     return out if details is None else with_details(out, details, selector, deadline, SHORT, ("nav", "footer", "aside"))
 
 
 def html_listing(responses: DataFrame, recipe: dict, details: DataFrame | None = None, cap: int = CAPS["html"]) -> DataFrame:
     """Items of listing pages by the recipe's selectors: item, title, link, date and detail.content_selector."""
-    found = listing_items(recipe["item"], recipe.get("title", "a"), recipe.get("link", "a"), recipe.get("date"))
-    items = responses.where("status = 200").select("source_id", "page", F.col("url").alias("listing_url"), F.posexplode(F.from_json(found("text", "url"), ITEM)).alias("place", "i")).select("source_id", "page", "place", "listing_url", "i.*")
-    out = _records(items.withColumns({"deadline": F.lit(None).cast("string"), "extra": F.lit(None).cast("struct<feed_title:string>")}), cap)
-    detail = recipe.get("detail", {})
-    return out if details is None else with_details(out, details, detail.get("content_selector", "article"), detail.get("deadline_selector"), None)
+    selectors = json.dumps({k: recipe[k] for k in ("item", "title", "link", "date") if recipe.get(k)})
+    out = _records(_items(responses, ListedItems(F.col("text").outer(), F.col("url").outer(), F.lit(selectors))).withColumns({"deadline": F.lit(None).cast("string"), "extra": F.lit(None).cast("struct<feed_title:string>")}), cap)
+    how = recipe.get("detail", {})
+    return out if details is None else with_details(out, details, how.get("content_selector", "article"), how.get("deadline_selector"), None)
 
 
 def with_details(records: DataFrame, details: DataFrame, selector: str, deadline: str | None, shorter_than: int | None, without: tuple[str, ...] = ()) -> DataFrame:
@@ -230,8 +242,9 @@ def get_collector(method: str) -> Callable:
 
 def feed_probe(responses: DataFrame) -> DataFrame:
     """(source_id, rss_url, kind, entries) of the first of a source's feed candidates that has entries."""
-    probed = responses.where("status = 200").select("source_id", "url", "page", F.size(F.from_json(feed_items("text"), ITEM)).alias("entries"), F.when(F.col("text").contains("<rss"), "rss").otherwise("atom").alias("kind"))
-    ranked = probed.where("entries > 0").withColumn("_n", F.row_number().over(Window.partitionBy("source_id").orderBy("page")))
+    pages = responses.where("status = 200").select("source_id", "url", "page", "text").lateralJoin(FeedItems(F.col("text").outer()))
+    probed = pages.groupBy("source_id", "url", "page").agg(F.count("*").alias("entries"), F.first(F.when(F.col("text").contains("<rss"), "rss").otherwise("atom")).alias("kind"))
+    ranked = probed.withColumn("_n", F.row_number().over(Window.partitionBy("source_id").orderBy("page")))
     return ranked.where("_n = 1").select("source_id", F.col("url").alias("rss_url"), "kind", "entries")
 
 
