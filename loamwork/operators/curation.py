@@ -6,6 +6,8 @@ seq, their place in the input, which decides ties.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,39 +44,49 @@ def title_blocks(records: DataFrame) -> DataFrame:
     return titled.select("seq", "t", text.block_word(F.col("t")).alias("word"), text.block_length(F.col("t")).alias("bucket"))
 
 
-def title_pairs(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> DataFrame:
+def title_pairs(records: DataFrame, threshold: float = C.TITLE_THRESHOLD, letters: bool = False) -> DataFrame:
     """(a, b, ta, tb, lo, hi): pairs of distinct titles of a block that a bound on lengths lets pass.
 
     Equal titles are collapsed first, so that their number does not enter the pairs. The similarity of
     two texts is at most twice the shorter one's length over the lengths' sum. Because it depends on
     the order of its arguments and records compare in input order, both orders are kept wherever the
     two titles' records interleave.
+
+    With `letters` a pair must also agree in so many letters that its similarity can reach the threshold.
+    The join compares two titles' letters as bits, in compiled code, and makes rows of none but the pairs
+    that pass: their number follows that of similar titles, not the square of a block.
     """
     distinct = title_blocks(records).groupBy("word", "bucket", "t").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
     # a block is dealt in chunks of DEAL titles on one side, so that a frequent word's pairs are split over tasks
     sizes = distinct.groupBy("word", "bucket").agg(F.ceil(F.count("*") / DEAL).cast("int").alias("chunks"))
-    dealt = distinct.join(sizes, ["word", "bucket"])
-    a, b = (dealt.select("word", "bucket", "chunks", *[F.col(c).alias(f"{c}{k}") for c in ("t", "lo", "hi")]) for k in ("a", "b"))
+    dealt = distinct.join(sizes, ["word", "bucket"]).withColumn("n", F.length("t"))
+    bits = {f"m{i}": m for i, m in enumerate(letter_bits(F.col("t")))} if letters else {}
+    dealt = dealt.withColumns(bits)
+    a, b = (dealt.select("word", "bucket", "chunks", *[F.col(c).alias(f"{c}{k}") for c in ("t", "lo", "hi", "n", *bits)]) for k in ("a", "b"))
     a = a.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
     b = b.withColumn("chunk", F.pmod(F.xxhash64("tb"), F.col("chunks")).cast("int")).drop("chunks")
-    near = 2 * F.least(F.length("ta"), F.length("tb")) >= threshold * (F.length("ta") + F.length("tb"))
-    return a.join(b, ["word", "bucket", "chunk"]).where((F.col("ta") != F.col("tb")) & (F.col("loa") < F.col("hib")) & near).drop("chunk")
-
+    wanted = (F.col("ta") != F.col("tb")) & (F.col("loa") < F.col("hib")) & (2 * F.least("na", "nb") >= threshold * (F.col("na") + F.col("nb")))
+    if letters:
+        apart = sum((F.bit_count(F.col(f"{m}a").bitwiseXOR(F.col(f"{m}b"))) for m in bits), F.lit(0))
+        # a margin for the rounding of the product
+        wanted &= apart <= (1 - threshold) * (F.col("na") + F.col("nb")) + 1e-6
+    # what the two sides have of a block is known from its key, so that the join's condition holds all the rest
+    joined = a.alias("a").join(b.alias("b"), (F.col("a.word") == F.col("b.word")) & (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.chunk") == F.col("b.chunk")) & wanted)
+    return joined.select("a.word", "a.bucket", "ta", "loa", "hia", "tb", "lob", "hib")
 
-def _letters(title: Column) -> Column:
-    """How often a title has each letter and digit, and the number of its other characters."""
-    counts = [F.length(title) - F.length(F.replace(title, F.lit(c), F.lit(""))) for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
-    return F.array(*counts)
 
+def letter_bits(title: Column) -> list[Column]:
+    """A title's letters as bits: the i-th bit of a letter is set if the title has it i times or more.
 
-def _may_be_similar(pairs: DataFrame, titles: DataFrame, threshold: float) -> DataFrame:
-    """`pairs` without those whose letters differ too much: what only one title has is not matched."""
-    sets = titles.select("t").distinct().withColumn("m", _letters(F.col("t")))
-    a, b = (sets.toDF(f"t{side}", f"m{side}") for side in ("a", "b"))
-    apart = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.abs(x - y)), F.lit(0), lambda n, x: n + x)
-    joined = pairs.join(a, "ta").join(b, "tb")
-    # a margin for the rounding of the product
-    return joined.where(apart <= (1 - threshold) * (F.length("ta") + F.length("tb")) + 1e-6).select(*pairs.columns)
+    Letters and the space have 16 bits, digits four; what is beyond that is not compared. Two titles
+    differ in at most as many bits as they have characters that the other one lacks.
+    """
+    many, few = 16, 4
+    count = lambda c: F.length(title) - F.length(F.replace(title, F.lit(c), F.lit("")))
+    bits = lambda c, width: F.call_function("shiftleft", F.lit(1).cast("long"), F.least(count(c), F.lit(width))) - 1
+    symbols = string.ascii_lowercase + " "
+    packed = [[(c, many) for c in symbols[i : i + 4]] for i in range(0, len(symbols), 4)] + [[(c, few) for c in string.digits]]
+    return [sum((F.shiftleft(bits(c, width), width * k) for k, (c, width) in enumerate(group)), F.lit(0).cast("long")) for group in packed]
 
 
 def title_edges(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> DataFrame:
@@ -82,7 +94,7 @@ def title_edges(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> Dat
     blocks = title_blocks(records)
     # a minimum is combined before the shuffle, and the join may be split at a frequent title
     same = blocks.join(blocks.groupBy("word", "bucket", "t").agg(F.min("seq").alias("a")), ["word", "bucket", "t"]).where("seq <> a").select("a", F.col("seq").alias("b"))
-    near = _may_be_similar(title_pairs(records, threshold), blocks, threshold).where(arrow.similarity("ta", "tb") >= threshold)
+    near = title_pairs(records, threshold, letters=True).where(arrow.similarity("ta", "tb") >= threshold)
     return same.unionByName(near.select(F.col("loa").alias("a"), F.col("lob").alias("b")))
 
 
@@ -107,11 +119,17 @@ def canonical_records(grouped: DataFrame) -> DataFrame:
 
 
 def group_evidence(grouped: DataFrame) -> DataFrame:
-    """(canonical_record_id, size, members) of each group; a group has as many members as copies were linked."""
+    """(canonical_record_id, size, members) of each group, for reports on groups of moderate size; group_members() has rows instead."""
     member = F.struct("seq", "record_id", "source_id", F.substring("title", 1, 120).alias("title"), "canonical_url", "is_canonical")
     return grouped.groupBy("group_id").agg(F.max(F.when(F.col("is_canonical"), F.col("record_id"))).alias("canonical_record_id"), F.count("*").alias("size"), F.array_sort(F.collect_list(member)).alias("members"))
 
 
+def group_members(grouped: DataFrame) -> DataFrame:
+    """(canonical_record_id, size, seq, record_id, source_id, title, canonical_url, is_canonical): a group's evidence in rows, whatever its size."""
+    best = grouped.groupBy("group_id").agg(F.max(F.when(F.col("is_canonical"), F.col("record_id"))).alias("canonical_record_id"), F.count("*").alias("size"))
+    return grouped.select("group_id", "seq", "record_id", "source_id", F.substring("title", 1, 120).alias("title"), "canonical_url", "is_canonical").join(best, "group_id").select("canonical_record_id", "size", "seq", "record_id", "source_id", "title", "canonical_url", "is_canonical")
+
+
 def dedupe_summary(grouped: DataFrame) -> DataFrame:
     """One row: records, groups, canonical, removed and groups with several sources."""
     by_group = grouped.groupBy("group_id").agg(F.count("*").alias("n"), F.count_distinct("source_id").alias("sources"))

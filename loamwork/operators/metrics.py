@@ -6,11 +6,14 @@ probabilities are flagged by `valid` and left out of every mean.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamwork.functions import arrow, text
+from loamwork.operators.percentiles import medians, nearest_rank
 
 #: Edges of ten equal bins as floating point gives them.
 EDGES = [i * 0.1 for i in range(11)]
@@ -173,11 +176,12 @@ def summary_scores(rows: DataFrame) -> DataFrame:
 
 def provider_scores(rows: DataFrame, by: tuple[str, ...] = ("model",)) -> DataFrame:
     """accuracy, json_valid_rate, median_latency and n over rows (model, hit, json_valid, latency), by model or also by subset."""
-    return rows.groupBy(*by).agg(F.avg(F.col("hit").cast("double")).alias("accuracy"), F.avg(F.col("json_valid").cast("double")).alias("json_valid_rate"), F.median("latency").alias("median_latency"), F.count("*").alias("n"))
+    means = rows.groupBy(*by).agg(F.avg(F.col("hit").cast("double")).alias("accuracy"), F.avg(F.col("json_valid").cast("double")).alias("json_valid_rate"), F.count("*").alias("n"))
+    middle = medians(rows, by, "latency", "median_latency").withColumnsRenamed({c: f"_{c}" for c in by})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    return means.join(middle, same, "left").select(*by, "accuracy", "json_valid_rate", "median_latency", "n")
 
 
 def latency(rows: DataFrame, by: str = "model") -> DataFrame:
     """(model, median, p95): the elements at floor(n q) of the latencies in order."""
-    # the first value whose cumulative share exceeds q is the one at floor(n q)
-    at = lambda q: F.expr(f"percentile_disc({q + 1e-9!r}D) WITHIN GROUP (ORDER BY latency)")
-    return rows.groupBy(by).agg(at(0.5).alias("median"), at(0.95).alias("p95"))
+    return nearest_rank(rows, [by], "latency", {"median": 0.5, "p95": 0.95})

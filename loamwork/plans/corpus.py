@@ -118,6 +118,10 @@ def q_group_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.group_evidence(grouped(spark, sf_dir)).select("canonical_record_id", "size", F.array_join(F.transform("members", lambda m: m["record_id"]), ",").alias("members"))
 
 
+def q_group_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.group_members(grouped(spark, sf_dir)).select("canonical_record_id", "size", "record_id", "source_id", "is_canonical")
+
+
 def q_title_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.title_blocks(records(spark, sf_dir))
 
@@ -258,7 +262,7 @@ final AS (SELECT record_id, CASE WHEN spot < floor(total * 0.8) THEN 'train' WHE
 
 QUERIES = {f.__name__: f for f in (
     q_normalize_by_source, q_normalize_outcomes, q_normalized_records, q_record_keys, q_record_id_uuid5, q_exact_dup_groups, q_dup_histogram, q_dedupe_summary, q_canonical_record,
-    q_group_evidence, q_title_blocks, q_block_candidate_pairs, q_near_title_edges, q_dedupe_full, q_freeze_manifest,
+    q_group_evidence, q_group_members, q_title_blocks, q_block_candidate_pairs, q_near_title_edges, q_dedupe_full, q_freeze_manifest,
     q_dup_histogram_full, q_dedupe_summary_full, q_canonical_record_full, q_group_evidence_full, q_freeze_manifest_full, q_group_split_full, q_split_counts_full, q_source_distribution, q_term_counts, q_title_signals, q_signal_coverage,
     q_audit_sample, q_stratified_pilot, q_length_percentiles, q_token_stats, q_heldout_sources, q_group_split, q_split_counts, q_prompts, q_section_compliance, q_resume_pending, q_registry, q_last_of_nation,
 )}
@@ -275,6 +279,7 @@ ORACLES = {
     "q_dedupe_summary": _GROUPS + "SELECT CAST(sum(n) AS BIGINT) AS records, count(*) AS groups, CAST(sum(n) - count(*) AS BIGINT) AS removed, count(*) FILTER (s > 1) AS cross_source FROM (SELECT group_id, count(*) AS n, count(DISTINCT source_id) AS s FROM grp GROUP BY 1)",
     "q_canonical_record": _CANON + "SELECT record_id, group_size AS duplicate_group_size FROM best WHERE is_canonical",
     "q_group_evidence": _CANON + "SELECT max(CASE WHEN is_canonical THEN record_id END) AS canonical_record_id, count(*) AS size, string_agg(record_id, ',' ORDER BY seq) AS members FROM best GROUP BY group_id",
+    "q_group_members": _CANON + "SELECT max(CASE WHEN is_canonical THEN record_id END) OVER (PARTITION BY group_id) AS canonical_record_id, group_size AS size, record_id, source_id, is_canonical FROM best",
     "q_title_blocks": _BLOCKS + "SELECT seq, t, word, bucket FROM blk",
     "q_block_candidate_pairs": _BLOCKS + ", d AS (SELECT word, bucket, t, min(seq) AS lo, max(seq) AS hi FROM blk GROUP BY 1, 2, 3) SELECT x.word, x.bucket, x.lo AS a, y.lo AS b FROM d x JOIN d y ON x.word = y.word AND x.bucket = y.bucket AND x.t <> y.t AND x.lo < y.hi AND 2 * least(length(x.t), length(y.t)) >= 0.9 * (length(x.t) + length(y.t))",
     "q_freeze_manifest": _CANON + "SELECT count(*) AS records, count(DISTINCT source_id) AS sources, count(*) FILTER (group_size > 1) AS merged_groups, CAST(sum(CASE WHEN group_size > 1 THEN group_size ELSE 0 END) AS BIGINT) AS records_in_merged_groups FROM best WHERE is_canonical",

@@ -1,3 +1,5 @@
+import difflib
+import itertools
 import random
 
 from pyspark.sql import functions as F
@@ -94,3 +96,41 @@ def test_registry_ids_are_distinct(spark):
     ids = [r["source_id"] for r in inventory.registry(names).orderBy("pos").collect()]
     assert ids[0] == "a_b" and len(set(ids)) == 4
     assert inventory.drift(names, names).count() == 0
+
+
+def block_of_titles(n):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("etaoinshrdlucmfwypvbgkqjxz") for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    titles = ["grantee " + " ".join(rng.choice(vocabulary) for _ in range(8)) for _ in range(n * 9 // 10)]
+    return titles + [t[:20] + rng.choice("abc") + t[21:] for t in titles[: n // 10]]
+
+
+def test_near_titles_equal_brute_force(spark):
+    titles = [*block_of_titles(250), "a" * 24 + " bbbbb", "a" * 25 + " bbbbb", "e" * 40 + " x" * 20, "e" * 42 + " x" * 19, "1234567 8888888", "1234567 8888889", "", None, "Ab ab", "ab ab"]
+    df = spark.createDataFrame(list(enumerate(titles)), "seq long, title string")
+    plain = {r["seq"]: r["t"] for r in curation.title_blocks(df).collect()}
+    first, expected = {}, set()
+    for i in sorted(plain):
+        if plain[i] in first:
+            expected.add((first[plain[i]], i))
+        first.setdefault(plain[i], i)
+    for i, j in itertools.combinations(sorted(first.values()), 2):
+        a, b = plain[i], plain[j]
+        if a.split()[0][:12] == b.split()[0][:12] and len(a) // 10 == len(b) // 10 and difflib.SequenceMatcher(None, a, b).ratio() >= 0.9:
+            expected.add((i, j))
+    assert {tuple(r) for r in curation.title_edges(df).collect()} == expected and len(expected) > 20
+
+
+def test_pairs_of_a_frequent_word_follow_the_similar_titles(spark):
+    """Ten times the titles of one block make about ten times the rows, not a hundred times."""
+    passed = [curation.title_pairs(spark.createDataFrame(list(enumerate(block_of_titles(n))), "seq long, title string"), letters=True).count() for n in (500, 5000)]
+    assert 0 < passed[0] <= 100 and passed[1] <= 12 * passed[0]
+    every = curation.title_pairs(spark.createDataFrame(list(enumerate(block_of_titles(500))), "seq long, title string")).count()
+    assert every > 100 * passed[0]
+
+
+def test_members_of_a_group_are_rows(spark):
+    rows = [(i, f"r{i}", "s", "t", "u", i % 4, i < 4) for i in range(10)]
+    grouped = spark.createDataFrame(rows, "seq long, record_id string, source_id string, title string, canonical_url string, group_id long, is_canonical boolean")
+    found = {tuple(r)[:3] for r in curation.group_members(grouped).collect()}
+    assert found == {(f"r{i % 4}", 3 if i % 4 < 2 else 2, i) for i in range(10)}
