@@ -47,6 +47,9 @@ PARTS = 1024
 #: Words of the corpus for each partition of the counting, and the most partitions.
 PARTITION_WORDS = 1 << 20
 MOST_PARTITIONS = 1 << 15
+#: Bytes of text whose words, pairs and fragments are counted together before they are sent.
+WORDS_TOGETHER = 12 << 20
+FRAGMENTS_TOGETHER = 4 << 20
 #: Bits of the table of frequent pairs.
 PAIR_BITS = 1 << 24
 #: Groups that the candidates of a language are dealt to before its first ones are taken.
@@ -82,7 +85,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) of every word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches):
+        for batch in runs(batches, WORDS_TOGETHER):
             for lang, texts in _by_lang(batch):
                 distinct, codes = _coded(texts)
                 counts = np.bincount(codes, minlength=len(distinct))
@@ -260,10 +263,10 @@ _FRAGMENT = "owner long, split boolean, lang string, before byte, fragment strin
 _PAIR = "owner long, split boolean, lang string, phrase string, times long"
 
 
-def _mined(docs: DataFrame, schema: str, find: Callable[[str, list[bytes]], pa.Table]) -> DataFrame:
+def _mined(docs: DataFrame, schema: str, together: int, find: Callable[[str, list[bytes]], pa.Table]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split(" ")[0] for c in schema.split(", ")]
-        for batch in runs(batches):
+        for batch in runs(batches, together):
             for lang, texts in _by_lang(batch):
                 yield from find(lang, texts).select(names).to_batches()
 
@@ -289,12 +292,12 @@ def frequent_phrases(docs: DataFrame, known: Lexicon, total: int, longest: int,
     context = docs.sparkSession.sparkContext
     partitions = max(1, min(MOST_PARTITIONS, total // PARTITION_WORDS))
     sent = context.broadcast(known)
-    pairs = _mined(docs, _PAIR, lambda lang, texts: pairs_of(lang, texts, sent.value)).repartition(partitions, "owner")
+    pairs = _mined(docs, _PAIR, WORDS_TOGETHER, lambda lang, texts: pairs_of(lang, texts, sent.value)).repartition(partitions, "owner")
     found = _counted(pairs, least)
     if longest > 2:
         found = written(found)
         bits = context.broadcast(pair_bits(found, known))
-        dealt = _mined(docs, _FRAGMENT, lambda lang, texts: fragments_of(lang, texts, sent.value, longest, bits.value)).repartition(partitions, "owner")
+        dealt = _mined(docs, _FRAGMENT, FRAGMENTS_TOGETHER, lambda lang, texts: fragments_of(lang, texts, sent.value, longest, bits.value)).repartition(partitions, "owner")
         same = dealt.groupBy("owner", "split", "lang", "before", "fragment").agg(F.sum("times").alias("times"))
         cut = same.withColumn("parts", F.split("fragment", " "))
         found = found.unionByName(_counted(cut.select("owner", "split", "lang", "times", F.explode(owned(3, longest)).alias("phrase")).where(F.col("phrase").isNotNull()), least))
