@@ -26,8 +26,8 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-def q_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two questions about each part: expanded, scored by a stand-in for a model, answered and gated."""
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two questions about each part: expanded, scored by a stand-in for a model and answered."""
     states = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("state_id"), F.col("p_name").alias("state"))
     criteria = lambda **c: F.create_map(*[F.lit(x) for kv in c.items() for x in kv])
     one = spark.range(1)
@@ -40,8 +40,12 @@ def q_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         for batch in batches:
             yield batch.drop(columns="prompt").assign(score=batch["prompt"].str.len() * 7 % 13 / 4.0)
 
-    answered = decision.answer(decision.score(decision.expand(states.where(decision.state_error(F.col("state")).isNull()), asked), scorer))
-    gated = decision.gate(answered, "noul")
+    return decision.answer(decision.score(decision.expand(states.where(decision.state_error(F.col("state")).isNull()), asked), scorer))
+
+
+def q_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answers to two questions about each part, gated."""
+    gated = decision.gate(answers(spark, sf_dir), "noul")
     return _rounded(gated.select("state_id", "question_id", "noul", "choice", "top_probability", "margin", "entropy", "confidence", "error"))
 
 
@@ -208,6 +212,8 @@ def _temperature_sql(low: float = 0.05, high: float = 10.0, rounds: int = 5, poi
 
 _D = "[CAST(floor(n * CAST({} AS DOUBLE)) AS BIGINT) + 1]"
 _FLIPS = "(event_id % 2 = 0 AND event_id % 13 <> 0 AND event_id % 400 <= 250)"
+#: Answers r with probabilities p, their order r and the options o.
+ANSWERED = f"""a AS ({_ASKED}), e AS (SELECT *, list_transform(s, lambda x: exp(x - list_max(s))) AS e FROM a), p AS (SELECT *, list_transform(e, lambda x: x / list_sum(e)) AS p FROM e), r AS (SELECT *, list_sort(p, 'DESC') AS r FROM p)"""
 ORACLES = {
     "q_decisions": f"""WITH a AS ({_ASKED}), e AS (SELECT *, list_transform(s, lambda x: exp(x - list_max(s))) AS e FROM a), p AS (SELECT *, list_transform(e, lambda x: x / list_sum(e)) AS p FROM e), r AS (SELECT *, list_sort(p, 'DESC') AS r FROM p)
 SELECT state_id, question_id, round(CASE WHEN kind = 'noul' THEN p[1] END, 6) AS noul, CASE WHEN kind = 'choice' THEN o[list_position(p, r[1])] END AS choice, round(r[1], 6) AS top_probability, round(r[1] - r[2], 6) AS margin,
