@@ -57,6 +57,11 @@ AUDIT_OVERSAMPLE = {"fellowships": 20, "phd": 20, "postdoc": 20, "grants": 20, "
 
 SEED = 42
 UNSEEN_FRACTION = 0.15
+#: What the summarizing endpoint asks for; the text of the posting follows.
+SERVICE_PROMPT = (
+    "Summarize the following opportunity posting as high-signal intelligence.\nUse sections MANDATORY / RESTRICTIONS / IMPORTANT / PREFERRED / SUMMARY "
+    "(omit empty sections), at most 150 words, and never invent information.\n\nOPPORTUNITY POSTING:\n"
+)
 SUMMARY_SECTIONS = ["DEADLINE", "MANDATORY", "RESTRICTIONS", "TARGET GROUP", "FUNDING", "APPLICATION", "SUMMARY"]
 #: The UUID namespace of record ids, in hexadecimal.
 RECORD_NAMESPACE = "f99a8ffcecd9556c85b5a8ae8acd0a3b"

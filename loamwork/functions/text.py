@@ -131,6 +131,11 @@ def example_prompt(instructions: str, exemplar: str, answer: str, posting: Colum
     return F.concat(F.lit(shown), posting)
 
 
+def service_prompt(posting: Column) -> Column:
+    """The prompt of the summarizing endpoint, which names an older list of sections."""
+    return F.concat(F.lit(C.SERVICE_PROMPT), posting)
+
+
 def category_index(category: Column) -> Column:
     """The place of a category in the taxonomy from 0, or null."""
     at = F.array_position(F.array(*map(F.lit, C.CATEGORIES)), category)

@@ -154,7 +154,7 @@ def freeze_summary(grouped: DataFrame) -> DataFrame:
     return kept.agg(
         F.count("*").alias("records"), F.count_distinct("source_id").alias("sources"), F.count_if(F.col("group_size") > 1).alias("merged_groups"),
         F.sum(F.when(F.col("group_size") > 1, F.col("group_size")).otherwise(0)).alias("records_in_merged_groups"),
-        F.bit_xor(F.xxhash64("record_id", "content_hash")).alias("content_xor"),
+        F.sum(F.xxhash64("record_id", "content_hash").cast("decimal(38,0)")).alias("content_sum"),
     )
 
 

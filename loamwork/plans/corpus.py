@@ -139,7 +139,7 @@ def q_dedupe_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_freeze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curation.freeze_summary(grouped(spark, sf_dir)).drop("content_xor")
+    return curation.freeze_summary(grouped(spark, sf_dir)).drop("content_sum")
 
 
 def q_dup_histogram_full(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +159,7 @@ def q_group_evidence_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_freeze_manifest_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curation.freeze_summary(linked(spark, sf_dir)).drop("content_xor")
+    return curation.freeze_summary(linked(spark, sf_dir)).drop("content_sum")
 
 
 def q_source_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:

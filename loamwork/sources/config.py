@@ -55,6 +55,63 @@ def run_manifest(**facts: object) -> dict:
     return {"created_at": datetime.now(UTC).isoformat(), "python": platform.python_version(), "machine": platform.machine(), "cpus": os.cpu_count()} | facts
 
 
+PACKAGES = ("pyspark", "pyarrow", "pandas", "numpy", "torch", "transformers", "trl", "peft")
+
+
+def capture_run(capability: str, seed: int = 42, run_id: str | None = None, commit: str | None = None, datasets: dict[str, str] | None = None, **config: object) -> dict:
+    """A run's manifest: its id, seed and configuration, the packages and hardware it ran on, and the hashes of what it read.
+
+    Packages that are not installed are left out. A device is named only where one is there.
+    """
+    from importlib.metadata import PackageNotFoundError, version
+
+    now = datetime.now(UTC)
+    found = {}
+    for name in PACKAGES:
+        try:
+            found[name] = version(name)
+        except PackageNotFoundError:
+            continue
+    hardware = {"platform": platform.platform(), "device": "cpu"}
+    if "torch" in found:
+        import torch
+
+        if torch.cuda.is_available():
+            hardware |= {"device": "cuda", "gpu": torch.cuda.get_device_name(0), "cuda": torch.version.cuda}
+    return run_manifest(run_id=run_id or f"{capability}_{now:%Y%m%d_%H%M%S}", capability=capability, seed=seed, packages=found, hardware=hardware, git_commit=commit, datasets=datasets or {}, config=config)
+
+
+def register_model(spark: SparkSession, root: str, capability: str, version: str, run_id: str, dataset_version: str, git_commit: str | None = None, taxonomy: str | None = None, **extra: object) -> dict:
+    """Write the metadata of a model's version once, where versions() finds it."""
+    entry = {"capability": capability, "version": version, "run_id": run_id, "dataset_version": dataset_version, "git_commit": git_commit, "taxonomy": taxonomy, "registered_at": datetime.now(UTC).isoformat()} | extra
+    spark.createDataFrame([(json.dumps(entry, sort_keys=True),)], "value string").coalesce(1).write.mode("errorifexists").text(f"{root}/{capability}/{version}.manifest")
+    return entry
+
+
+def save_usage(ledger: DataFrame, path: str) -> None:
+    """Providers' usage: one row a slot with the stamps of its successes and requests, as a legacy state file has them.
+
+    A slot's stamps are those of its last day, which its budget bounds.
+    """
+    stamp = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    state = ledger.groupBy("slot").agg(
+        F.array_sort(F.collect_list(F.when(F.col("ok"), stamp))).alias("request_stamps"), F.coalesce(F.sum(F.when(F.col("ok"), F.col("tokens"))), F.lit(0)).alias("tokens_24h"), F.count_if("ok").alias("successful"), F.count_if(~F.col("ok")).alias("failed"),
+    )
+    save_snapshot(state, path)
+
+
+def load_usage(spark: SparkSession, path: str, now: str) -> DataFrame:
+    """(slot, ts, ok, tokens) of a saved state; slots that kept only a count get stamps spread over the last twelve hours."""
+    from loamwork.operators.quota import migrate_counts
+
+    saved = load_snapshot(spark, path, "slot string, request_stamps array<double>, tokens_24h bigint, requests_today bigint")
+    stamped = saved.where("request_stamps IS NOT NULL").select("slot", F.posexplode("request_stamps").alias("i", "at"), "tokens_24h")
+    # a day's tokens are known as a sum only: the first stamp carries it
+    kept = stamped.select("slot", F.timestamp_micros(F.round(F.col("at") * 1e6).cast("long")).alias("ts"), F.lit(True).alias("ok"), F.when(F.col("i") == 0, F.coalesce("tokens_24h", F.lit(0))).otherwise(0).cast("long").alias("tokens"))
+    counted = migrate_counts(saved.where("request_stamps IS NULL").select("slot", F.coalesce("requests_today", F.lit(0)).alias("n")), now)
+    return kept.unionByName(counted.withColumn("tokens", F.col("tokens").cast("long")))
+
+
 def log_run(spark: SparkSession, path: str, entry: dict) -> None:
     spark.createDataFrame([(json.dumps(entry, sort_keys=True),)], "value string").coalesce(1).write.mode("append").text(path)
 

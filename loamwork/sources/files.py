@@ -57,15 +57,17 @@ def append_batch(records: DataFrame, root: str) -> None:
 
 
 def digest(df: DataFrame) -> dict:
-    """Row count and a hash that does not depend on the order of rows."""
-    row = df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])).alias("x")).first()
-    return {"rows": row["n"], "xor64": f"{(row['x'] or 0) & (1 << 64) - 1:016x}"}
+    """Row count and a hash that does not depend on the order of rows; as it is a sum, rows that repeat one another count."""
+    hashes = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    row = df.agg(F.count("*").alias("n"), F.sum(hashes.cast("decimal(38,0)")).alias("x")).first()
+    return {"rows": row["n"], "sum64": f"{int(row['x'] or 0) % (1 << 64):016x}"}
 
 
-def write_frozen(df: DataFrame, path: str, manifest: dict, partition_by: str | None = None) -> dict:
+def write_frozen(df: DataFrame, path: str, manifest: dict, partition_by: str | None = None, mirror: str | None = None) -> dict:
     """Write a version once: an existing manifest, even of an unfinished writer, refuses the second.
 
-    The manifest is written last, so that a version without one is incomplete.
+    The manifest is written last, so that a version without one is incomplete. A `mirror` gets the same
+    files and then the same manifest, after the version itself is whole.
     """
     spark = df.sparkSession
     if exists(spark, f"{path}.manifest"):
@@ -73,7 +75,14 @@ def write_frozen(df: DataFrame, path: str, manifest: dict, partition_by: str | N
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     whole = manifest | digest(spark.read.parquet(path))
-    spark.createDataFrame([(json.dumps(whole, sort_keys=True),)], "value string").coalesce(1).write.mode("errorifexists").text(f"{path}.manifest")
+    line = spark.createDataFrame([(json.dumps(whole, sort_keys=True),)], "value string").coalesce(1)
+    line.write.mode("errorifexists").text(f"{path}.manifest")
+    if mirror is not None:
+        copy = spark.read.parquet(path).write.mode("overwrite")
+        (copy.partitionBy(partition_by) if partition_by else copy).parquet(mirror)
+        if {k: v for k, v in digest(spark.read.parquet(mirror)).items() if v != whole[k]}:
+            raise OSError(f"{mirror} does not hold what {path} holds")
+        line.write.mode("overwrite").text(f"{mirror}.manifest")
     return whole
 
 
