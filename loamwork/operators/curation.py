@@ -98,14 +98,14 @@ def title_edges(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> Dat
     return same.unionByName(near.select(F.col("loa").alias("a"), F.col("lob").alias("b")))
 
 
-def duplicate_groups(records: DataFrame, titles: bool = True) -> DataFrame:
+def duplicate_groups(records: DataFrame, titles: bool = True, threshold: float = C.TITLE_THRESHOLD) -> DataFrame:
     """`records` with group_id (the least seq of the group), group_size and is_canonical."""
     # copies are one node, so that only links between different texts are followed
     keyed = records.withColumn("_copy", F.coalesce("content_hash", F.concat(F.lit("none:"), F.col("seq").cast("string"))))
     grouped = keyed.join(keyed.groupBy("_copy").agg(F.min("seq").alias("group_id")), "_copy").drop("_copy")
     if titles:
         own = grouped.select("seq", "group_id")
-        linked = title_edges(records).join(own.toDF("a", "ga"), "a").join(own.toDF("b", "gb"), "b").select("ga", "gb")
+        linked = title_edges(records, threshold).join(own.toDF("a", "ga"), "a").join(own.toDF("b", "gb"), "b").select("ga", "gb")
         parts = connected_components(linked, "ga", "gb").toDF("group_id", "component")
         grouped = grouped.join(parts, "group_id", "left").withColumn("group_id", F.coalesce("component", "group_id")).drop("component")
     # the longest, then earliest, then first record of a group: a minimum, which is combined before the shuffle

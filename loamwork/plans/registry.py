@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamwork.plans import corpus, decisions, labelling, operations, relational, scores
+from loamwork.plans import collecting, corpus, decisions, labelling, operations, relational, scores
 
-_MODULES = (corpus, labelling, relational, scores, decisions, operations)
+_MODULES = (collecting, corpus, labelling, relational, scores, decisions, operations)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

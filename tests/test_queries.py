@@ -7,12 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from loamwork.plans import decisions, registry
+from loamwork.plans import collecting, decisions, operations, registry
 
 DATA = "/root/testdata/sf0.001"
 NAMES = [
     "q_normalize_by_source", "q_consensus", "q_dataset", "q_class_metrics", "q_budget_state", "q_region_revenue", "q_page_probe", "q_record_keys", "q_canonical_record", "q_title_signals", "q_audit_sample", "q_group_split",
     "q_registry", "q_review_queue", "q_best_annotation", "q_rolling_24h", "q_ece", "q_roc_auc", "q_threshold_table", "q_summary_stats", "q_recommended_method", "q_chat_render", "q_difference", *decisions.ORACLES,
+    *collecting.ORACLES, *operations.ORACLES, "q_provider_scores", "q_group_members", "q_block_candidate_pairs",
 ]
 
 
