@@ -44,8 +44,8 @@ SLOTS = 1 << 22
 #: Entries of one trigger that a task sorts at most.
 CROWD = 8192
 #: Bytes of text, and of entries, that a task looks at together.
-BATCH = 1 << 20
-ENTRIES = 2 << 20
+BATCH = 1 << 19
+ENTRIES = 1 << 20
 
 _U = np.uint64
 _rng = np.random.default_rng(20240229)
@@ -257,7 +257,7 @@ def _hashed_spans(covers: DataFrame) -> DataFrame:
     """The same from the entries of crowded triggers, by hashes of their strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, BATCH >> 4, "cover"):
+        for batch in runs(batches, BATCH >> 3, "cover"):
             more = batch.column("more").to_numpy().astype(np.int64)
             owner = np.repeat(np.arange(batch.num_rows), more + 1)
             offset = np.arange(len(owner)) - np.repeat(np.cumsum(more + 1) - (more + 1), more + 1)
