@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamwork.functions import arrow
 from loamwork.operators import assignment, payloads
 from loamwork.plans import decisions
 
@@ -42,7 +43,15 @@ def q_response_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("state_id", "question_id", "shape", *[F.round(c, 6).alias(c) for c in ("noul", "chosen", "entropy")], "choice")
 
 
-QUERIES = {f.__name__: f for f in (q_slot_plan, q_api_payloads, q_response_variant)}
+def q_summary_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries against references that go on after them by a different number of words, and some without a word of them."""
+    c = spark.read.parquet(f"{sf_dir}/conversations.parquet").where("role = 'assistant'")
+    k = F.length("text") % 7
+    reference = F.when(k == 6, "qq qq").otherwise(F.concat("text", F.lit(" "), F.repeat(F.lit("qq "), k)))
+    return c.select("conv_id", "turn", F.round(arrow.rouge_l(F.col("text"), reference), 6).alias("rouge_l"))
+
+
+QUERIES = {f.__name__: f for f in (q_slot_plan, q_api_payloads, q_response_variant, q_summary_varied)}
 
 ORACLES = {
     "q_slot_plan": f"""WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'verifier' ELSE 'primary' END AS role FROM orders), k AS (SELECT *, row_number() OVER (PARTITION BY role ORDER BY o_orderkey) - 1 AS k FROM r),
@@ -53,6 +62,8 @@ SELECT o_orderkey, k.role, coalesce(slot, -1) AS slot, coalesce(minute, -1) AS m
 k AS (SELECT *, CASE WHEN o_custkey % 11 = 0 THEN 'none' WHEN o_custkey % 13 = 0 THEN 'error' WHEN o_custkey % 17 = 0 THEN 'refused' WHEN shape = 'html' THEN 'html' WHEN wp THEN 'wp_rest' WHEN shape = 'list' THEN 'json_list' ELSE 'json_object' END AS kind FROM c)
 SELECT o_custkey, kind, CASE WHEN kind = 'wp_rest' AND shape = 'list' THEN CAST(o_custkey % 5 <> 2 AS VARCHAR) ELSE '' END AS has_posts, CASE WHEN kind = 'json_list' THEN CASE WHEN o_custkey % 5 = 2 THEN 0 ELSE n END ELSE -1 END AS items,
   CASE WHEN kind = 'wp_rest' AND shape = 'list' THEN CASE WHEN o_custkey % 5 = 2 THEN '' ELSE 'o_orderkey,o_orderstatus,price' END ELSE '-' END AS sample_fields FROM k""",
+    "q_summary_varied": """WITH w AS (SELECT conv_id, turn, length(text) % 7 AS k, len(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '')) AS n FROM conversations WHERE role = 'assistant')
+SELECT conv_id, turn, round(CASE WHEN k = 6 OR n = 0 THEN 0.0 ELSE CAST(2 * n AS DOUBLE) / (2 * n + k) END, 6) AS rouge_l FROM w""",
     "q_response_variant": f"""WITH {decisions.ANSWERED} SELECT state_id, question_id, kind AS shape, round(CASE WHEN kind = 'noul' THEN p[1] END, 6) AS noul, round(CASE WHEN kind = 'choice' THEN r[1] END, 6) AS chosen,
   round(-list_sum(list_transform(p, lambda x: x * ln(x))), 6) AS entropy, CASE WHEN kind = 'choice' THEN o[list_position(p, r[1])] END AS choice FROM r""",
 }
