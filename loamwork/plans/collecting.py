@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamwork import constants as C
-from loamwork.functions import text
+from loamwork.functions import hashing, text
 from loamwork.operators import curation, growing, inventory, labels, metrics
 from loamwork.plans.corpus import _BLOCKS, _HASH, _REC, records
-from loamwork.runtime import _folder
-from loamwork.sources import connectors, files, readers, writers
+from loamwork.runtime import _folder, cut
+from loamwork.sources import config, connectors, files, readers, writers
 
 #: Posts of a page, and records of a source that the cap leaves.
 PER_PAGE = 20
@@ -182,8 +185,70 @@ def q_growing_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return growing.add_links(first, o.where("o_orderkey % 2 = 1")).select("node", "component")
 
 
+def q_collect_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection: posts that are not known yet are written as a batch of their source, and read again."""
+    root = _place(spark, "raw")
+    known = _table(spark, sf_dir, "part").where("p_partkey % 5 = 0").select(hashing.record_id(F.concat(F.lit("https://x.org/"), F.col("p_partkey").cast("string"))).alias("record_id"))
+    new = cut(files.new_records(connectors.wp_rest(wordpress(spark, sf_dir), cap=CAP), known))
+    for source in ("s2", "s3"):
+        writers.write_batch(new.where(F.col("source_id") == source), root, source, "b1", method="wp_rest")
+    return writers.read_batches(spark, root).select("record_id", "source_id", "title", "batch")
+
+
+def q_snapshot_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage by slot, saved as a snapshot twice and read again."""
+    path = _place(spark, "usage")
+    usage = _table(spark, sf_dir, "events").groupBy((F.col("user_id") % 20).alias("slot")).agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("failed"))
+    config.save_snapshot(usage.where("slot < 3"), path)
+    config.save_snapshot(usage, path)
+    return config.load_snapshot(spark, path, "slot long, n long, failed long")
+
+
+def q_usage_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger saved as providers' state and read as a ledger again."""
+    path = _place(spark, "state")
+    ledger = _table(spark, sf_dir, "events").select((F.col("user_id") % 20).cast("string").alias("slot"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") != "error").alias("ok"), F.lit(2).cast("long").alias("tokens"))
+    config.save_usage(ledger, path)
+    loaded = config.load_usage(spark, path, "2026-01-01 00:00:00")
+    return loaded.groupBy("slot").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens"), F.count_distinct("ts").alias("moments"))
+
+
+def q_category_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as a site's categories: the ids of those whose name or slug holds a keyword."""
+    terms = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.translate(F.lower("n_name"), "_", " ").alias("slug"))
+    return inventory.category_ids(terms, ["nation 1", "tion_2", "x"]).select("keyword", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
+
+
+def q_scope_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scoped = _table(spark, sf_dir, "supplier").select(F.filter(F.array(F.lit("all"), F.when(F.col("s_suppkey") % 2 == 0, "even"), F.when(F.col("s_suppkey") % 3 == 0, "third")), lambda x: x.isNotNull()).alias("scope"))
+    return inventory.scope_counts(scoped)
+
+
+def q_api_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What answered a probe, for suppliers as sites with bodies of every kind."""
+    k = F.col("s_suppkey")
+    body = F.when(k % 4 == 0, F.to_json(F.array(F.struct("s_suppkey", "s_name")))).when(k % 4 == 1, F.to_json(F.struct("s_suppkey", "s_name"))).when(k % 4 == 2, F.concat(F.lit("["), "s_name")).otherwise(F.concat(F.lit("<p>"), "s_name"))
+    url = F.when(k % 9 == 0, "").when(k % 2 == 0, "https://a.org/wp-json/x").otherwise("https://a.org/x")
+    kinds = _table(spark, sf_dir, "supplier").select(inventory.api_kind(F.when(k % 7 > 0, 200), body, url).alias("kind"))
+    return kinds.groupBy("kind").agg(F.count("*").alias("n"))
+
+
+def q_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as they are annotated by a stand-in for a provider, whose answer depends on the prompt's length."""
+    named = [*C.CATEGORIES, "nothing"]
+
+    def provider(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            n = batch["prompt"].str.len()
+            answer = [json.dumps({"primary_category": named[k % len(named)], "classification_ambiguity": (k % 10) / 10}) for k in n]
+            yield pd.DataFrame({"record_id": batch["record_id"], "response": [f"Well: {a} ok" if k % 6 else "no answer" for k, a in zip(n, answer, strict=True)]})
+
+    done = labels.annotate(records(spark, sf_dir), "classify", provider)
+    return done.groupBy("validation_status", "status", "needs_human_review").agg(F.count("*").alias("n"))
+
+
 QUERIES = {f.__name__: f for f in (
-    q_wp_rest_records, q_wp_rest_format, q_rss_records, q_html_records, q_feed_probe, q_cache_lookup, q_frozen_round_trip, q_append_once, q_batch_writer, q_json_lines, q_new_records, q_training_rows, q_disputed,
+    q_collect_new, q_snapshot_round_trip, q_usage_state, q_category_ids, q_scope_counts, q_api_kind, q_annotate, q_wp_rest_records, q_wp_rest_format, q_rss_records, q_html_records, q_feed_probe, q_cache_lookup, q_frozen_round_trip, q_append_once, q_batch_writer, q_json_lines, q_new_records, q_training_rows, q_disputed,
     q_allowed_method, q_in_order, q_versions, q_dedupe_equal_titles, q_growing_groups,
 )}
 
@@ -193,6 +258,15 @@ _UUID = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) |
 _TAXONOMY = "[" + ", ".join(f"'{c}'" for c in C.CATEGORIES) + "]"
 _REACH = """, reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach AS r JOIN edges AS e ON e.a = r.b)"""
 ORACLES = {
+    "q_collect_new": f"WITH {_P}, i AS (SELECT *, {_ID} AS h FROM t WHERE source_id IN ('s2', 's3') AND k % 5 <> 0) SELECT {_UUID} AS record_id, source_id, 'A & ' || p_name AS title, 'b1' AS batch FROM i",
+    "q_snapshot_round_trip": "SELECT user_id % 20 AS slot, count(*) AS n, count(*) FILTER (event_type = 'error') AS failed FROM events GROUP BY 1",
+    "q_usage_state": "SELECT CAST(user_id % 20 AS VARCHAR) AS slot, count(*) AS n, CAST(2 * count(*) AS BIGINT) AS tokens, count(DISTINCT ts) AS moments FROM events WHERE event_type <> 'error' GROUP BY 1",
+    "q_category_ids": "SELECT keyword, string_agg(n_nationkey, ',' ORDER BY n_nationkey) AS ids FROM nation, (SELECT unnest(['nation 1', 'tion_2', 'x']) AS keyword) WHERE contains(lower(n_name || ' ' || replace(n_name, '_', ' ')), keyword) GROUP BY 1",
+    "q_scope_counts": "SELECT scope, count(*) AS n FROM (SELECT unnest(list_filter(['all', CASE WHEN s_suppkey % 2 = 0 THEN 'even' END, CASE WHEN s_suppkey % 3 = 0 THEN 'third' END], lambda x: x IS NOT NULL)) AS scope FROM supplier) GROUP BY 1",
+    "q_api_kind": "SELECT CASE WHEN s_suppkey % 9 = 0 THEN 'none' WHEN s_suppkey % 7 = 0 THEN 'error' WHEN s_suppkey % 4 >= 2 THEN 'html' WHEN s_suppkey % 2 = 0 THEN 'wp_rest' ELSE 'json_object' END AS kind, count(*) AS n FROM supplier GROUP BY 1",
+    "q_annotate": f"""WITH {_REC}, p AS (SELECT length('CATEGORIES: {", ".join(C.CATEGORIES)}' || chr(10) || chr(10) || 'TITLE: ' || title || chr(10) || chr(10) || 'OPPORTUNITY TEXT:' || chr(10) || substr(body, 1, 6000)) AS k FROM rec),
+v AS (SELECT CASE WHEN k % 6 = 0 OR k % {len(C.CATEGORIES) + 1} = {len(C.CATEGORIES)} THEN 'invalid' WHEN k % 10 >= 6 THEN 'ambiguous' ELSE 'valid' END AS validation_status FROM p)
+SELECT validation_status, CASE WHEN validation_status = 'valid' THEN 'completed' ELSE 'needs_review' END AS status, validation_status <> 'valid' AS needs_human_review, count(*) AS n FROM v GROUP BY ALL""",
     "q_wp_rest_records": f"WITH {_P}, i AS (SELECT *, {_ID} AS h FROM t) SELECT {_UUID} AS record_id, source_id, 'https://x.org/' || k AS canonical_url, 'https://' || source_id || '.org/list?page=' || page AS listing_url, 'A & ' || p_name AS title, p_name || chr(10) || 'Two' AS clean_text, '2026-01-01T09:00:00' AS published_at, CASE WHEN k % 3 = 0 THEN '7 June' ELSE '' END AS deadline, k AS wp_id FROM i",
     "q_wp_rest_format": f"WITH {_P}, i AS (SELECT *, {_ID} AS h FROM t WHERE source_id IN ('s1', 's4')) SELECT {_UUID} AS record_id, source_id, 'A & ' || p_name AS title, p_name || chr(10) || 'Two' AS clean_text, CASE WHEN k % 3 = 0 THEN '7 June' ELSE '' END AS deadline FROM i",
     "q_rss_records": f"WITH {_P} SELECT source_id, 'https://f.org/' || k AS canonical_url, p_name AS title, 'About ' || k AS clean_text, '2026-01-05T10:00:00+00:00' AS published_at FROM t",
