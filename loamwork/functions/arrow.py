@@ -5,8 +5,9 @@ from __future__ import annotations
 import difflib
 import html
 import json
+import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -130,18 +131,76 @@ def strict_json(raw: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield batch.map(braces)
 
 
+#: Characters of a slice whose encodings are held at once.
+SLICE = 1 << 18
+#: Words whose numbers of tokens a worker remembers (beyond that it forgets all), and the longest of them.
+CACHE_WORDS, LONG_WORD = 1 << 18, 64
+# Fixed value: how the byte-level pre-tokenizer cuts a text into words, with the white space of the Unicode standard.
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WORD = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+
+
+def slices(texts: Iterable[str | None], limit: int = SLICE) -> Iterator[list[str]]:
+    """The texts, null as empty, in lists of about `limit` characters, or one text that is longer."""
+    held, size = [], 0
+    for t in texts:
+        t = t or ""
+        if held and size + len(t) > limit:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t)
+    if held:
+        yield held
+
+
 def token_counter(path: str) -> Callable:
-    """An Arrow function that counts a text's tokens by the tokenizer file at `path`; null counts as empty."""
+    """An Arrow function that counts a text's tokens by the tokenizer file at `path`; null counts as empty.
+
+    An encoding takes some forty bytes for each character of its text, so that only a slice of a batch is
+    encoded at once. Where the file cuts texts into byte-level words, which are encoded each by itself, a
+    word is encoded once and then remembered.
+    """
 
     @pandas_udf(LongType())
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        # a task has one core; threads of the library would each keep memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        with open(path, encoding="utf-8") as f:
+            kind = json.load(f)
+        cut = kind.get("pre_tokenizer") or {}
+        by_word = kind.get("normalizer") is None and (cut.get("type"), cut.get("use_regex", True), cut.get("add_prefix_space")) == ("ByteLevel", True, False)
+        special = [t["content"] for t in kind.get("added_tokens", ())]
+        split, known = regex.compile(_WORD).findall, {}
+
+        def encoded(parts: list[str]) -> Iterator[int]:
+            for some in slices(parts):
+                yield from [len(e.ids) for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+
+        def of_words(text: str) -> int:
+            words = split(text)
+            new = {w for w in words if w not in known}
+            if new:
+                if len(known) + len(new) > CACHE_WORDS:
+                    known.clear()
+                    new = set(words)
+                ordered = list(new)
+                once = dict(zip(ordered, encoded(ordered), strict=True))
+                total = sum(once[w] if w in once else known[w] for w in words)
+                known.update((w, n) for w, n in once.items() if len(w) <= LONG_WORD)
+                return total
+            return sum(map(known.__getitem__, words))
+
         for batch in texts:
-            encoded = tokenizer.encode_batch_fast([t or "" for t in batch], add_special_tokens=False)
-            yield pd.Series([len(e.ids) for e in encoded], dtype="int64")
+            if by_word:
+                yield pd.Series([next(encoded([t])) if any(s in t for s in special) else of_words(t) for t in (x or "" for x in batch)], dtype="int64")
+            else:
+                yield pd.Series(list(encoded(batch)), dtype="int64")
 
     return count

@@ -7,6 +7,7 @@ seq, their place in the input, which decides ties.
 from __future__ import annotations
 
 import string
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -218,14 +219,15 @@ def stratified(records: DataFrame, n: int, signals: Column | None = None, distin
     return turns.orderBy("turn", "bucket").limit(n)
 
 
-def length_summary(values: DataFrame, column: str, limits: list[int]) -> DataFrame:
-    """Percentiles by nearest rank (the element at floor(n q)), the maximum and the shares within limits.
+def length_summary(values: DataFrame, column: str, limits: list[int], by: Sequence[str] = ()) -> DataFrame:
+    """Percentiles by nearest rank (the element at floor(n q)), the maximum and the shares within limits, of all values or of each group.
 
     Counts of each value are sorted instead of the values: their number is bounded by the longest
     text, not by the corpus.
     """
-    counts = values.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("c"))
-    running = counts.withColumn("upto", F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))).crossJoin(F.broadcast(values.agg(F.count("*").alias("n"))))
+    counts = values.groupBy(*by, F.col(column).alias("v")).agg(F.count("*").alias("c"))
+    group = Window.partitionBy(*by)
+    running = counts.withColumns({"upto": F.sum("c").over(group.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)), "n": F.sum("c").over(group)})
     at = [F.min(F.when(F.col("upto") > F.least(F.floor(F.col("n") * q), F.col("n") - 1), F.col("v"))).alias(name) for name, q in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99))]
     fits = [(F.sum(F.when(F.col("v") <= x, F.col("c")).otherwise(0)) / F.max("n")).alias(f"fit_{x}") for x in limits]
-    return running.agg(F.max("n").alias("n"), *at, F.max("v").alias("max"), *fits)
+    return running.groupBy(*by).agg(F.max("n").alias("n"), *at, F.max("v").alias("max"), *fits)

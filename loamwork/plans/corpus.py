@@ -201,11 +201,9 @@ def q_token_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = arrow.token_counter(public_tokenizers.path("byte_bpe_50k.json"))
     shown = text.prompt_user("summarize", F.col("title"), F.col("clean_text"))
     variants = {"input_truncated": shown, "input_plus_target": F.concat(shown, F.lit("\n\n" + C.PROXY_TARGET)), "full_text": F.concat(F.lit("TITLE: "), "title", F.lit("\n\n"), "clean_text")}
-    found = None
-    for name, x in variants.items():
-        row = curation.length_summary(records(spark, sf_dir).select(count(x).alias("tokens")), "tokens", C.CONTEXTS).select(F.lit(name).alias("variant"), "*")
-        found = row if found is None else found.unionByName(row)
-    return found
+    # one pass: a document's variants follow each other, and share their words
+    each = records(spark, sf_dir).select(F.inline(F.array(*[F.struct(F.lit(name).alias("variant"), x.alias("x")) for name, x in variants.items()])))
+    return curation.length_summary(each.select("variant", count("x").alias("tokens")), "tokens", C.CONTEXTS, ["variant"])
 
 
 def q_heldout_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

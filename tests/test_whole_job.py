@@ -113,3 +113,33 @@ def test_cache_lookup_of_urls_with_several_responses(spark, tmp_path):
     expected = collections.Counter({0: "not cached", 200: "-", 404: "status 404"}[s] for s in best.values())
     assert len(expected) > 1
     assert {r["error"]: r["n"] for r in registry.queries()["q_cache_lookup"](spark, str(tmp_path)).collect()} == dict(expected)
+
+
+def test_token_counts_of_odd_texts_in_bounded_slices(monkeypatch):
+    import pandas as pd
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    marks = ["<|endoftext|>", "  ", "\n", "\n\n", " \n ", "\t", "\x1c", "\x85", "\u3000", "'s", "''re", "é", "語", "١٢", "\U0001f600", "a" * 300, "don't", "!?", "word", "x1"]
+    texts = ["".join(rng.choice(marks) + rng.choice(["", " "]) for _ in range(rng.randrange(40))) for _ in range(300)] + [None, "", "w " * 200_000, "é" * 5000]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = [len(tokenizer.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    held = []
+
+    class Watched:
+        from_file = staticmethod(lambda path: Watched())
+        no_truncation = no_padding = lambda self: None
+
+        def encode_batch_fast(self, some, **more):
+            held.append((sum(map(len, some)), len(some)))
+            return tokenizer.encode_batch_fast(some, **more)
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Watched)
+    count = arrow.token_counter(public_tokenizers.path("byte_bpe_50k.json")).func
+    assert next(count(iter([pd.Series(texts)]))).tolist() == expected
+    monkeypatch.setattr(arrow, "CACHE_WORDS", 8)
+    assert next(count(iter([pd.Series([*texts, *texts])]))).tolist() == expected * 2
+    # many texts of a batch are never encoded together beyond a slice
+    assert next(count(iter([pd.Series([f"{i} {'wq' * 5000}" for i in range(200)])]))).sum() > 0
+    assert all(size <= arrow.SLICE or n == 1 for size, n in held)
