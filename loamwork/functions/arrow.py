@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import heapq
 import html
 import json
 import os
@@ -13,7 +14,7 @@ from html.parser import HTMLParser
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType, LongType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType
 
 from loamwork import constants as C
 
@@ -21,6 +22,11 @@ from loamwork import constants as C
 _BLOCKS = {"p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "blockquote", "section", "article"}
 _HIDDEN = {"script", "style", "noscript", "template"}
 
+#: Characters of texts that a worker's matchers hold.
+MATCHED = 4 << 20
+#: 64-bit words of a text's runs of characters.
+GRAM_WORDS = 32
+
 
 class _Text(HTMLParser):
     """Collects the text of a page; a block's end and a line break become a line end."""
@@ -88,6 +94,78 @@ def similarity(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
         yield pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+def similar(matcher: difflib.SequenceMatcher, a: str, threshold: float) -> bool:
+    """Whether `a` and the matcher's second text have a ratio of `threshold` or more.
+
+    Matching blocks are found as ratio() finds them, widest open range first, until the count of matching
+    characters is enough or what the open ranges can add at most is not.
+    """
+    both = len(a) + len(matcher.b)
+    if not both:
+        return threshold <= 1
+    need = max(0, int(threshold * both / 2) - 1)
+    while 2.0 * need / both < threshold:
+        need += 1
+    matcher.set_seq1(a)
+    found, left = 0, min(len(a), len(matcher.b))
+    ranges = [(-left, 0, len(a), 0, len(matcher.b))]
+    while ranges and found < need <= found + left:
+        width, alo, ahi, blo, bhi = heapq.heappop(ranges)
+        left += width
+        i, j, k = matcher.find_longest_match(alo, ahi, blo, bhi)
+        if k:
+            found += k
+            for part in ((alo, i, blo, j), (i + k, ahi, j + k, bhi)):
+                most = min(part[1] - part[0], part[3] - part[2])
+                if most:
+                    left += most
+                    heapq.heappush(ranges, (-most, *part))
+    return found >= need
+
+
+def similar_at(threshold: float) -> Callable:
+    """An Arrow function of two texts: whether their similarity() is `threshold` or more."""
+
+    @pandas_udf(BooleanType())
+    def near(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        # what a matcher knows of its second text serves all pairs that have it
+        matchers: dict[str, difflib.SequenceMatcher] = {}
+        held = 0
+        for a, b in pairs:
+            out = []
+            for x, y in zip(a, b, strict=True):
+                if y not in matchers:
+                    held += len(y)
+                    if held > MATCHED:
+                        matchers.clear()
+                        held = len(y)
+                    matchers[y] = difflib.SequenceMatcher(None, "", y)
+                out.append(similar(matchers[y], x, threshold))
+            yield pd.Series(out, dtype=bool)
+
+    return near
+
+
+def gram_bits(text: str) -> np.ndarray:
+    """A text's runs of three characters, the i-th occurrence of one apart from the others, each by hash one of 64 * GRAM_WORDS bits."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    grams = np.sort((codes[:-2] << np.uint64(42)) | (codes[1:-1] << np.uint64(21)) | codes[2:])
+    first = np.r_[True, grams[1:] != grams[:-1]] if len(grams) else np.zeros(0, bool)
+    at = np.arange(len(grams))
+    times = (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
+    mixed = (grams ^ (times * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    flags = np.zeros(64 * GRAM_WORDS, np.uint8)
+    flags[(mixed >> np.uint64(40)) % np.uint64(len(flags))] = 1
+    return np.packbits(flags).view(np.int64)
+
+
+@pandas_udf(ArrayType(LongType()))
+def grams(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield batch.map(gram_bits)
+
+
 def longest_common(a: list[str], b: list[str]) -> int:
     """Length of the longest common subsequence, a row of the table at a time.
 

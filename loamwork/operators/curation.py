@@ -16,6 +16,7 @@ from loamwork import constants as C
 from loamwork.functions import arrow, hashing, text
 from loamwork.operators.components import connected_components
 from loamwork.operators.pick import top
+from loamwork.runtime import written
 
 
 #: Titles on one side of a task's share of a block.
@@ -46,31 +47,48 @@ def title_blocks(records: DataFrame) -> DataFrame:
 
 
 def title_pairs(records: DataFrame, threshold: float = C.TITLE_THRESHOLD, letters: bool = False) -> DataFrame:
-    """(a, b, ta, tb, lo, hi): pairs of distinct titles of a block that a bound on lengths lets pass.
+    """(word, bucket, ta, loa, hia, tb, lob, hib): pairs of distinct titles of a block that a bound on lengths lets pass.
 
     Equal titles are collapsed first, so that their number does not enter the pairs. The similarity of
     two texts is at most twice the shorter one's length over the lengths' sum. Because it depends on
     the order of its arguments and records compare in input order, both orders are kept wherever the
     two titles' records interleave.
 
-    With `letters` a pair must also agree in so many letters that its similarity can reach the threshold.
-    The join compares two titles' letters as bits, in compiled code, and makes rows of none but the pairs
+    With `letters` a pair must also agree in so many letters and runs of three letters that its similarity can
+    reach the threshold. The join compares these as bits, in compiled code, and makes rows of none but the pairs
     that pass: their number follows that of similar titles, not the square of a block.
     """
-    distinct = title_blocks(records).groupBy("word", "bucket", "t").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
+    distinct = _distinct(title_blocks(records))
+    return _marked_pairs(distinct, threshold) if letters else _pairs(distinct, threshold)
+
+
+def _distinct(blocks: DataFrame) -> DataFrame:
+    return blocks.groupBy("word", "bucket", "t").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
+
+
+def _marked_pairs(distinct: DataFrame, threshold: float) -> DataFrame:
+    bits = {f"m{i}": m for i, m in enumerate(letter_bits(F.col("t")))}
+    runs = {f"r{i}": F.get("_runs", F.lit(i)) for i in range(arrow.GRAM_WORDS)}
+    # bits are made once, not once for each side and chunk
+    marked = written(distinct.withColumn("_runs", arrow.grams("t")).withColumns(bits | runs).drop("_runs"))
+    return _pairs(marked, threshold, list(bits), list(runs))
+
+
+def _pairs(distinct: DataFrame, threshold: float, bits: Sequence[str] = (), runs: Sequence[str] = ()) -> DataFrame:
     # a block is dealt in chunks of DEAL titles on one side, so that a frequent word's pairs are split over tasks
     sizes = distinct.groupBy("word", "bucket").agg(F.ceil(F.count("*") / DEAL).cast("int").alias("chunks"))
     dealt = distinct.join(sizes, ["word", "bucket"]).withColumn("n", F.length("t"))
-    bits = {f"m{i}": m for i, m in enumerate(letter_bits(F.col("t")))} if letters else {}
-    dealt = dealt.withColumns(bits)
-    a, b = (dealt.select("word", "bucket", "chunks", *[F.col(c).alias(f"{c}{k}") for c in ("t", "lo", "hi", "n", *bits)]) for k in ("a", "b"))
+    a, b = (dealt.select("word", "bucket", "chunks", *[F.col(c).alias(f"{c}{k}") for c in ("t", "lo", "hi", "n", *bits, *runs)]) for k in ("a", "b"))
     a = a.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
     b = b.withColumn("chunk", F.pmod(F.xxhash64("tb"), F.col("chunks")).cast("int")).drop("chunks")
     wanted = (F.col("ta") != F.col("tb")) & (F.col("loa") < F.col("hib")) & (2 * F.least("na", "nb") >= threshold * (F.col("na") + F.col("nb")))
-    if letters:
-        apart = sum((F.bit_count(F.col(f"{m}a").bitwiseXOR(F.col(f"{m}b"))) for m in bits), F.lit(0))
-        # a margin for the rounding of the product
-        wanted &= apart <= (1 - threshold) * (F.col("na") + F.col("nb")) + 1e-6
+    # a character that only one of two titles has touches one letter and at most five runs of three, three
+    # of its own title and two of the other; what a title has more often shows in as many bits at most
+    for marks, touched in ((bits, 1), (runs, 5)):
+        if marks:
+            apart = sum((F.bit_count(F.col(f"{m}a").bitwiseXOR(F.col(f"{m}b"))) for m in marks), F.lit(0))
+            # a margin for the rounding of the product
+            wanted &= apart <= touched * (1 - threshold) * (F.col("na") + F.col("nb")) + 1e-6
     # what the two sides have of a block is known from its key, so that the join's condition holds all the rest
     joined = a.alias("a").join(b.alias("b"), (F.col("a.word") == F.col("b.word")) & (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.chunk") == F.col("b.chunk")) & wanted)
     return joined.select("a.word", "a.bucket", "ta", "loa", "hia", "tb", "lob", "hib")
@@ -92,10 +110,10 @@ def letter_bits(title: Column) -> list[Column]:
 
 def title_edges(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> DataFrame:
     """(a, b): the first records of equal titles and of titles that are similar enough."""
-    blocks = title_blocks(records)
+    blocks = written(title_blocks(records))
     # a minimum is combined before the shuffle, and the join may be split at a frequent title
     same = blocks.join(blocks.groupBy("word", "bucket", "t").agg(F.min("seq").alias("a")), ["word", "bucket", "t"]).where("seq <> a").select("a", F.col("seq").alias("b"))
-    near = title_pairs(records, threshold, letters=True).where(arrow.similarity("ta", "tb") >= threshold)
+    near = _marked_pairs(_distinct(blocks), threshold).where(arrow.similar_at(threshold)("ta", "tb"))
     return same.unionByName(near.select(F.col("loa").alias("a"), F.col("lob").alias("b")))
 
 

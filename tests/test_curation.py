@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from loamwork.functions import arrow
 from loamwork.operators import curation, inventory, labels, pick
 from loamwork.operators.components import connected_components
 
@@ -134,3 +135,47 @@ def test_members_of_a_group_are_rows(spark):
     grouped = spark.createDataFrame(rows, "seq long, record_id string, source_id string, title string, canonical_url string, group_id long, is_canonical boolean")
     found = {tuple(r)[:3] for r in curation.group_members(grouped).collect()}
     assert found == {(f"r{i % 4}", 3 if i % 4 < 2 else 2, i) for i in range(10)}
+
+
+def text_pairs(n):
+    """Texts of up to 500 characters, with few and many characters changed, moved and repeated."""
+    rng = random.Random(12)
+    for _ in range(n):
+        a = " ".join(rng.choice(["the", "of", "ing", "tion", "wh", "xq", "7", "rivers"]) for _ in range(rng.randrange(1, 90)))
+        b = list(a)
+        for _ in range(rng.randrange(0, max(2, len(a) // 6))):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(2)] = rng.choice(["", "x", "the ", "q"])
+        yield a, "".join(b) if rng.random() < 0.8 else " ".join(reversed(a.split()))
+
+
+def test_similarity_to_a_threshold_equals_the_ratio():
+    seen = set()
+    for a, b in [*text_pairs(600), ("", ""), ("", "a"), ("a", "a"), ("ab" * 300, "ba" * 300), ("abcdefghi", "abcdefghij")]:
+        for t in (0.0, 0.6, 0.9, 18 / 19, 1.0):
+            ratio = difflib.SequenceMatcher(None, a, b).ratio()
+            assert arrow.similar(difflib.SequenceMatcher(None, "", b), a, t) == (ratio >= t)
+            seen.add((t, ratio >= t, len(b) >= 200))
+    assert {(0.9, x, y) for x in (True, False) for y in (True, False)} <= seen
+
+
+def test_runs_of_letters_lose_no_similar_pair():
+    near = 0
+    for a, b in text_pairs(600):
+        apart = sum(int(x).bit_count() for x in (arrow.gram_bits(a) ^ arrow.gram_bits(b)).view("uint64"))
+        # the count of characters that only one has, by difflib without and with its rule for frequent ones
+        for auto in (False, True):
+            alone = len(a) + len(b) - 2 * sum(m.size for m in difflib.SequenceMatcher(None, a, b, auto).get_matching_blocks())
+            assert apart <= 5 * alone
+            near += apart > 0 and alone <= 0.1 * (len(a) + len(b))
+    assert near > 100
+
+
+def test_long_titles_of_one_block_make_few_pairs(spark):
+    """Long titles agree in their letters; their runs of letters tell them apart."""
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    titles = ["grantee " + " ".join(rng.choice(vocabulary) for _ in range(60))[:325] for _ in range(300)]
+    titles += [t[:150] + "zz" + t[152:] for t in titles[:20]]
+    df = spark.createDataFrame(list(enumerate(titles)), "seq long, title string")
+    assert 20 <= curation.title_pairs(df, letters=True).count() < 200
