@@ -118,19 +118,26 @@ def title_edges(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> Dat
 
 
 def duplicate_groups(records: DataFrame, titles: bool = True, threshold: float = C.TITLE_THRESHOLD) -> DataFrame:
-    """`records` with group_id (the least seq of the group), group_size and is_canonical."""
+    """`records` with group_id (the least seq of the group), group_size and is_canonical.
+
+    What decides about groups is a small row of each record; texts are read for it, and to return the records.
+    """
     # copies are one node, so that only links between different texts are followed
     keyed = records.withColumn("_copy", F.coalesce("content_hash", F.concat(F.lit("none:"), F.col("seq").cast("string"))))
-    grouped = keyed.join(keyed.groupBy("_copy").agg(F.min("seq").alias("group_id")), "_copy").drop("_copy")
-    if titles:
-        own = grouped.select("seq", "group_id")
-        linked = title_edges(records, threshold).join(own.toDF("a", "ga"), "a").join(own.toDF("b", "gb"), "b").select("ga", "gb")
-        parts = connected_components(linked, "ga", "gb").toDF("group_id", "component")
-        grouped = grouped.join(parts, "group_id", "left").withColumn("group_id", F.coalesce("component", "group_id")).drop("component")
     # the longest, then earliest, then first record of a group: a minimum, which is combined before the shuffle
     order = F.struct((-text.word_count(F.col("clean_text"))).alias("words"), F.coalesce(F.nullif(F.col("published_at"), F.lit("")), F.lit("9999-12-31")).alias("date"), "seq")
-    best = grouped.groupBy("group_id").agg(F.count("*").alias("group_size"), F.min(order)["seq"].alias("_best"))
-    return grouped.join(best, "group_id").withColumn("is_canonical", F.col("seq") == F.col("_best")).drop("_best")
+    small = keyed.select("seq", "_copy", order.alias("_order"), *(["title"] if titles else []))
+    small = written(small) if titles else small
+    copies = small.groupBy("_copy").agg(F.min("seq").alias("group_id"), F.count("*").alias("group_size"), F.min("_order").alias("_order"))
+    if titles:
+        own = small.select("seq", "_copy").join(copies.select("_copy", "group_id"), "_copy").drop("_copy")
+        linked = title_edges(small, threshold).join(own.toDF("a", "ga"), "a").join(own.toDF("b", "gb"), "b").select("ga", "gb")
+        parts = connected_components(linked, "ga", "gb").toDF("group_id", "component")
+        copies = written(copies.join(parts, "group_id", "left").withColumn("group_id", F.coalesce("component", "group_id")).drop("component"))
+        whole = copies.groupBy("group_id").agg(F.sum("group_size").alias("group_size"), F.min("_order").alias("_order"))
+        copies = copies.select("_copy", "group_id").join(whole, "group_id")
+    best = copies.select("_copy", "group_id", "group_size", F.col("_order.seq").alias("_best"))
+    return keyed.join(best, "_copy").withColumn("is_canonical", F.col("seq") == F.col("_best")).drop("_copy", "_best")
 
 
 def canonical_records(grouped: DataFrame) -> DataFrame:

@@ -179,3 +179,21 @@ def test_long_titles_of_one_block_make_few_pairs(spark):
     titles += [t[:150] + "zz" + t[152:] for t in titles[:20]]
     df = spark.createDataFrame(list(enumerate(titles)), "seq long, title string")
     assert 20 <= curation.title_pairs(df, letters=True).count() < 200
+
+
+def test_groups_read_texts_twice(spark, tmp_path):
+    """Once for what decides about groups and once to return the records, whatever the number of rounds."""
+    rows = [(i, f"r{i}", "s", f"title number {i % 9} of the rivers", f"body {i % 40}", f"h{i % 40}", "", "2026") for i in range(200)]
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(x):
+        seen.add(1)
+        return x
+
+    records = spark.createDataFrame(rows, "seq long, record_id string, source_id string, title string, clean_text string, content_hash string, canonical_url string, published_at string")
+    records = records.withColumn("content_hash", read(F.concat("content_hash", F.lit(""))))
+    assert curation.duplicate_groups(records).select("record_id", "group_id").count() == 200
+    curation.duplicate_groups(records).select("record_id", "group_id").write.format("noop").mode("overwrite").save()
+    # two queries; the join's test for nulls counts once more
+    assert seen.value <= 2 * 3 * len(rows)
