@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import heapq
 import html
@@ -24,8 +25,10 @@ _HIDDEN = {"script", "style", "noscript", "template"}
 
 #: Characters of texts that a worker's matchers hold.
 MATCHED = 4 << 20
-#: 64-bit words of a text's runs of characters.
-GRAM_WORDS = 32
+#: Texts whose links a worker remembers.
+LINKED = 1 << 20
+#: 64-bit words of a text's runs of characters, and of its letters.
+GRAM_WORDS, LETTER_WORDS = 32, 8
 
 
 class _Text(HTMLParser):
@@ -94,6 +97,45 @@ def similarity(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
         yield pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+def _same(a: str, i: int, b: str, j: int, most: int) -> int:
+    """How many characters of `a` from i on, `most` at most, are those of `b` from j on."""
+    if a[i : i + most] == b[j : j + most]:
+        return most
+    low, high = 0, most
+    while high - low > 1:
+        mid = (low + high) // 2
+        if a[i + low : i + mid] == b[j + low : j + mid]:
+            low = mid
+        else:
+            high = mid
+    return low
+
+
+def longest_match(matcher: difflib.SequenceMatcher, at: list[int], alo: int, ahi: int, blo: int, bhi: int) -> tuple[int, int, int]:
+    """What matcher.find_longest_match() returns, if `at` are the places in the first text of characters that the matcher looks up.
+
+    In a long second text the frequent ones are not looked up; only the few places of the others are visited.
+    """
+    a, b, b2j = matcher.a, matcher.b, matcher.b2j
+    besti, bestj, size = alo, blo, 0
+    run, last = {}, -2
+    for i in at[bisect.bisect_left(at, alo) : bisect.bisect_left(at, ahi)]:
+        before, run = run if i == last + 1 else {}, {}
+        last = i
+        for j in b2j[a[i]]:
+            if j < blo:
+                continue
+            if j >= bhi:
+                break
+            k = run[j] = before.get(j - 1, 0) + 1
+            if k > size:
+                besti, bestj, size = i - k + 1, j - k + 1, k
+    while besti > alo and bestj > blo and a[besti - 1] == b[bestj - 1]:
+        besti, bestj, size = besti - 1, bestj - 1, size + 1
+    size += _same(a, besti + size, b, bestj + size, min(ahi - besti, bhi - bestj) - size)
+    return besti, bestj, size
+
+
 def similar(matcher: difflib.SequenceMatcher, a: str, threshold: float) -> bool:
     """Whether `a` and the matcher's second text have a ratio of `threshold` or more.
 
@@ -109,10 +151,11 @@ def similar(matcher: difflib.SequenceMatcher, a: str, threshold: float) -> bool:
     matcher.set_seq1(a)
     found, left = 0, min(len(a), len(matcher.b))
     ranges = [(-left, 0, len(a), 0, len(matcher.b))]
+    at = [i for i, c in enumerate(a) if c in matcher.b2j] if found < need <= left else []
     while ranges and found < need <= found + left:
         width, alo, ahi, blo, bhi = heapq.heappop(ranges)
         left += width
-        i, j, k = matcher.find_longest_match(alo, ahi, blo, bhi)
+        i, j, k = longest_match(matcher, at, alo, ahi, blo, bhi)
         if k:
             found += k
             for part in ((alo, i, blo, j), (i + k, ahi, j + k, bhi)):
@@ -123,27 +166,77 @@ def similar(matcher: difflib.SequenceMatcher, a: str, threshold: float) -> bool:
     return found >= need
 
 
+def _near(threshold: float) -> Callable[[str, str], bool]:
+    # what a matcher knows of its second text serves all pairs that have it
+    matchers: dict[str, difflib.SequenceMatcher] = {}
+    held = 0
+
+    def near(x: str, y: str) -> bool:
+        nonlocal held
+        if y not in matchers:
+            held += len(y)
+            if held > MATCHED:
+                matchers.clear()
+                held = len(y)
+            matchers[y] = difflib.SequenceMatcher(None, "", y)
+        return similar(matchers[y], x, threshold)
+
+    return near
+
+
 def similar_at(threshold: float) -> Callable:
     """An Arrow function of two texts: whether their similarity() is `threshold` or more."""
 
     @pandas_udf(BooleanType())
-    def near(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        # what a matcher knows of its second text serves all pairs that have it
-        matchers: dict[str, difflib.SequenceMatcher] = {}
-        held = 0
+    def similar_texts(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        near = _near(threshold)
         for a, b in pairs:
+            yield pd.Series([near(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
+
+    return similar_texts
+
+
+class Links:
+    """Which numbers are linked so far, by chains of links too; it forgets all when it knows LINKED numbers."""
+
+    def __init__(self) -> None:
+        self._up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        up = self._up
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    def add(self, x: int, y: int) -> None:
+        if len(self._up) >= LINKED:
+            self._up.clear()
+        self._up[max(x, y)] = min(x, y)
+
+
+def linking_at(threshold: float) -> Callable:
+    """An Arrow function of two texts and their numbers: whether their similarity() is `threshold` or more, but
+    false without a comparison where a task's other pairs link the two numbers already.
+
+    What it finds true has the connected components of all similar pairs. Of a group of near copies, which may
+    all be similar to each other, it compares about as many pairs as there are texts, not their square.
+    """
+
+    @pandas_udf(BooleanType())
+    def linking(pairs: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        near, links = _near(threshold), Links()
+        for a, b, ia, ib in pairs:
             out = []
-            for x, y in zip(a, b, strict=True):
-                if y not in matchers:
-                    held += len(y)
-                    if held > MATCHED:
-                        matchers.clear()
-                        held = len(y)
-                    matchers[y] = difflib.SequenceMatcher(None, "", y)
-                out.append(similar(matchers[y], x, threshold))
+            for x, y, i, j in zip(a, b, ia.tolist(), ib.tolist(), strict=True):
+                i, j = links.root(i), links.root(j)
+                new = i != j and near(x, y)
+                if new:
+                    links.add(i, j)
+                out.append(new)
             yield pd.Series(out, dtype=bool)
 
-    return near
+    return linking
 
 
 def gram_bits(text: str) -> np.ndarray:
@@ -160,10 +253,39 @@ def gram_bits(text: str) -> np.ndarray:
     return np.packbits(flags).view(np.int64)
 
 
+def letter_bits(text: str) -> np.ndarray:
+    """A text's letters as bits: the i-th bit of a letter is set if the text has it i times or more.
+
+    Letters and the space have 16 bits, digits four; what is beyond that is not compared. Two texts
+    differ in at most as many bits as they have characters that the other one lacks.
+    """
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    counts = np.bincount(codes[codes < 128], minlength=128)
+    many = np.arange(16) < counts[[32, *range(97, 123)]][:, None]
+    few = np.arange(4) < counts[48:58][:, None]
+    flags = np.zeros(64 * LETTER_WORDS, bool)
+    flags[: many.size + few.size] = np.concatenate([many.ravel(), few.ravel()])
+    return np.packbits(flags).view(np.int64)
+
+
+def anchors(text: str) -> int:
+    """The most matching blocks, but for one, that ratio() can find in `text` as its second argument.
+
+    Where that has 200 characters or more, blocks are looked for at characters that are not frequent in it (a
+    hundredth of all and one more); so each block holds one of these, but for what both texts begin with.
+    """
+    n = len(text)
+    if n < 200:
+        return n
+    _, counts = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)
+    return int(counts[counts <= n // 100 + 1].sum())
+
+
 @pandas_udf(ArrayType(LongType()))
-def grams(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def marks(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """A text's anchors(), then its letter_bits(), then its gram_bits()."""
     for batch in texts:
-        yield batch.map(gram_bits)
+        yield batch.map(lambda t: np.concatenate([[anchors(t)], letter_bits(t), gram_bits(t)]))
 
 
 def longest_common(a: list[str], b: list[str]) -> int:

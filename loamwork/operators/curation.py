@@ -6,7 +6,6 @@ seq, their place in the input, which decides ties.
 
 from __future__ import annotations
 
-import string
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,8 +41,15 @@ def normalize(records: DataFrame, english_only: bool = True) -> DataFrame:
 
 def title_blocks(records: DataFrame) -> DataFrame:
     """(seq, t, word, bucket): the normalized title and the block it is compared in."""
-    titled = records.select("seq", text.normalize_title(F.col("title")).alias("t")).where("t <> ''")
-    return titled.select("seq", "t", text.block_word(F.col("t")).alias("word"), text.block_length(F.col("t")).alias("bucket"))
+    return _blocks(_titled(records))
+
+
+def _titled(records: DataFrame) -> DataFrame:
+    return records.select("seq", text.normalize_title(F.col("title")).alias("t"))
+
+
+def _blocks(titled: DataFrame) -> DataFrame:
+    return titled.where("t <> ''").select("seq", "t", text.block_word(F.col("t")).alias("word"), text.block_length(F.col("t")).alias("bucket"))
 
 
 def title_pairs(records: DataFrame, threshold: float = C.TITLE_THRESHOLD, letters: bool = False) -> DataFrame:
@@ -67,71 +73,76 @@ def _distinct(blocks: DataFrame) -> DataFrame:
 
 
 def _marked_pairs(distinct: DataFrame, threshold: float) -> DataFrame:
-    bits = {f"m{i}": m for i, m in enumerate(letter_bits(F.col("t")))}
-    runs = {f"r{i}": F.get("_runs", F.lit(i)) for i in range(arrow.GRAM_WORDS)}
+    bits, runs = [f"m{i}" for i in range(arrow.LETTER_WORDS)], [f"r{i}" for i in range(arrow.GRAM_WORDS)]
     # bits are made once, not once for each side and chunk
-    marked = written(distinct.withColumn("_runs", arrow.grams("t")).withColumns(bits | runs).drop("_runs"))
-    return _pairs(marked, threshold, list(bits), list(runs))
+    marked = distinct.withColumn("_marks", arrow.marks("t")).select("*", *[F.get("_marks", F.lit(i)).alias(c) for i, c in enumerate(["anchors", *bits, *runs])]).drop("_marks")
+    return _pairs(written(marked), threshold, bits, runs)
 
 
 def _pairs(distinct: DataFrame, threshold: float, bits: Sequence[str] = (), runs: Sequence[str] = ()) -> DataFrame:
     # a block is dealt in chunks of DEAL titles on one side, so that a frequent word's pairs are split over tasks
     sizes = distinct.groupBy("word", "bucket").agg(F.ceil(F.count("*") / DEAL).cast("int").alias("chunks"))
     dealt = distinct.join(sizes, ["word", "bucket"]).withColumn("n", F.length("t"))
-    a, b = (dealt.select("word", "bucket", "chunks", *[F.col(c).alias(f"{c}{k}") for c in ("t", "lo", "hi", "n", *bits, *runs)]) for k in ("a", "b"))
+    a, b = (dealt.select("word", "bucket", "chunks", *[F.col(c).alias(f"{c}{k}") for c in ("t", "lo", "hi", "n", *(["anchors"] if runs else []), *bits, *runs)]) for k in ("a", "b"))
     a = a.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
     b = b.withColumn("chunk", F.pmod(F.xxhash64("tb"), F.col("chunks")).cast("int")).drop("chunks")
     wanted = (F.col("ta") != F.col("tb")) & (F.col("loa") < F.col("hib")) & (2 * F.least("na", "nb") >= threshold * (F.col("na") + F.col("nb")))
-    # a character that only one of two titles has touches one letter and at most five runs of three, three
-    # of its own title and two of the other; what a title has more often shows in as many bits at most
-    for marks, touched in ((bits, 1), (runs, 5)):
-        if marks:
-            apart = sum((F.bit_count(F.col(f"{m}a").bitwiseXOR(F.col(f"{m}b"))) for m in marks), F.lit(0))
-            # a margin for the rounding of the product
-            wanted &= apart <= touched * (1 - threshold) * (F.col("na") + F.col("nb")) + 1e-6
+    if runs:
+        # the characters that only one of two titles has, with a margin for the rounding of the product
+        alone = (1 - threshold) * (F.col("na") + F.col("nb")) + 1e-6
+        apart = lambda marks: sum((F.bit_count(F.col(f"{m}a").bitwiseXOR(F.col(f"{m}b"))) for m in marks), F.lit(0))
+        # what is alone touches one letter each and one run of three; a gap between two matching blocks touches two runs
+        # more of each title. Gaps are at most as many as characters alone, or as what blocks can be found by; what a
+        # title has more often shows in as many bits at most
+        wanted &= (apart(bits) <= alone) & (apart(runs) <= alone + 4 * F.least(alone, F.col("anchorsb")))
     # what the two sides have of a block is known from its key, so that the join's condition holds all the rest
     joined = a.alias("a").join(b.alias("b"), (F.col("a.word") == F.col("b.word")) & (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.chunk") == F.col("b.chunk")) & wanted)
     return joined.select("a.word", "a.bucket", "ta", "loa", "hia", "tb", "lob", "hib")
 
 
-def letter_bits(title: Column) -> list[Column]:
-    """A title's letters as bits: the i-th bit of a letter is set if the title has it i times or more.
+def title_edges(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> DataFrame:
+    """(a, b): the first records of equal titles and of titles that are similar enough."""
+    same, pairs = _same_and_pairs(records, threshold)
+    return _as_edges(same, pairs.where(arrow.similar_at(threshold)("ta", "tb")))
+
 
-    Letters and the space have 16 bits, digits four; what is beyond that is not compared. Two titles
-    differ in at most as many bits as they have characters that the other one lacks.
-    """
-    many, few = 16, 4
-    count = lambda c: F.length(title) - F.length(F.replace(title, F.lit(c), F.lit("")))
-    bits = lambda c, width: F.call_function("shiftleft", F.lit(1).cast("long"), F.least(count(c), F.lit(width))) - 1
-    symbols = string.ascii_lowercase + " "
-    packed = [[(c, many) for c in symbols[i : i + 4]] for i in range(0, len(symbols), 4)] + [[(c, few) for c in string.digits]]
-    return [sum((F.shiftleft(bits(c, width), width * k) for k, (c, width) in enumerate(group)), F.lit(0).cast("long")) for group in packed]
+def title_links(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> DataFrame:
+    """(a, b): as many of title_edges() as have the same connected components; pairs that others link are not compared."""
+    same, pairs = _same_and_pairs(records, threshold)
+    return _as_edges(same, pairs.where(arrow.linking_at(threshold)("ta", "tb", "loa", "lob")))
 
 
-def title_edges(records: DataFrame, threshold: float = C.TITLE_THRESHOLD) -> DataFrame:
-    """(a, b): the first records of equal titles and of titles that are similar enough."""
-    blocks = written(title_blocks(records))
+def _same_and_pairs(records: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    # titles are normalized once: a filter on them would be pushed below, and normalize them for itself
+    blocks = _blocks(written(_titled(records)))
     # a minimum is combined before the shuffle, and the join may be split at a frequent title
     same = blocks.join(blocks.groupBy("word", "bucket", "t").agg(F.min("seq").alias("a")), ["word", "bucket", "t"]).where("seq <> a").select("a", F.col("seq").alias("b"))
-    near = _marked_pairs(_distinct(blocks), threshold).where(arrow.similar_at(threshold)("ta", "tb"))
+    return same, _marked_pairs(_distinct(blocks), threshold)
+
+
+def _as_edges(same: DataFrame, near: DataFrame) -> DataFrame:
     return same.unionByName(near.select(F.col("loa").alias("a"), F.col("lob").alias("b")))
 
 
-def duplicate_groups(records: DataFrame, titles: bool = True, threshold: float = C.TITLE_THRESHOLD) -> DataFrame:
+def duplicate_groups(records: DataFrame, titles: bool = True, threshold: float = C.TITLE_THRESHOLD, texts: bool = True) -> DataFrame:
     """`records` with group_id (the least seq of the group), group_size and is_canonical.
 
     What decides about groups is a small row of each record; texts are read for it, and to return the records.
+    With `texts` false clean_text is not returned, and with `titles` the texts are then read once.
     """
     # copies are one node, so that only links between different texts are followed
-    keyed = records.withColumn("_copy", F.coalesce("content_hash", F.concat(F.lit("none:"), F.col("seq").cast("string"))))
+    copy = F.coalesce("content_hash", F.concat(F.lit("none:"), F.col("seq").cast("string")))
     # the longest, then earliest, then first record of a group: a minimum, which is combined before the shuffle
     order = F.struct((-text.word_count(F.col("clean_text"))).alias("words"), F.coalesce(F.nullif(F.col("published_at"), F.lit("")), F.lit("9999-12-31")).alias("date"), "seq")
-    small = keyed.select("seq", "_copy", order.alias("_order"), *(["title"] if titles else []))
-    small = written(small) if titles else small
+    returned = records if texts else records.drop("clean_text")
+    kept = ["seq", "content_hash", "title"] if texts else returned.columns
+    small = records.select(*(kept if titles else ["seq", "content_hash"]), order.alias("_order"))
+    small = (written(small) if titles else small).withColumn("_copy", copy)
+    keyed = small.drop("_order") if titles and not texts else returned.withColumn("_copy", copy)
     copies = small.groupBy("_copy").agg(F.min("seq").alias("group_id"), F.count("*").alias("group_size"), F.min("_order").alias("_order"))
     if titles:
         own = small.select("seq", "_copy").join(copies.select("_copy", "group_id"), "_copy").drop("_copy")
-        linked = title_edges(small, threshold).join(own.toDF("a", "ga"), "a").join(own.toDF("b", "gb"), "b").select("ga", "gb")
+        linked = title_links(small, threshold).join(own.toDF("a", "ga"), "a").join(own.toDF("b", "gb"), "b").select("ga", "gb")
         parts = connected_components(linked, "ga", "gb").toDF("group_id", "component")
         copies = written(copies.join(parts, "group_id", "left").withColumn("group_id", F.coalesce("component", "group_id")).drop("component"))
         whole = copies.groupBy("group_id").agg(F.sum("group_size").alias("group_size"), F.min("_order").alias("_order"))

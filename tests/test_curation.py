@@ -197,3 +197,106 @@ def test_groups_read_texts_twice(spark, tmp_path):
     curation.duplicate_groups(records).select("record_id", "group_id").write.format("noop").mode("overwrite").save()
     # two queries; the join's test for nulls counts once more
     assert seen.value <= 2 * 3 * len(rows)
+
+
+def test_gaps_between_matching_blocks_are_as_few_as_anchors():
+    """Runs of letters of two texts differ by what is alone and by gaps, which a long second text has few of; no similar pair is lost."""
+    rng = random.Random(21)
+    copies = [(t, "".join(rng.choice("etaoinsz") if rng.random() < 0.02 else c for c in t)) for t in block_of_titles(40) for t in [" ".join([t] * 6)]]
+    near = fewer = 0
+    for a, b in [*text_pairs(600), *copies]:
+        apart = sum(int(x).bit_count() for x in (arrow.gram_bits(a) ^ arrow.gram_bits(b)).view("uint64"))
+        letters = sum(int(x).bit_count() for x in (arrow.letter_bits(a) ^ arrow.letter_bits(b)).view("uint64"))
+        alone = len(a) + len(b) - 2 * sum(m.size for m in difflib.SequenceMatcher(None, a, b).get_matching_blocks())
+        assert letters <= alone and apart <= alone + 4 * min(alone, arrow.anchors(b))
+        near += apart > 0 and alone <= 0.1 * (len(a) + len(b))
+        fewer += arrow.anchors(b) < alone
+    assert near > 100 and fewer > 40
+
+
+def test_longest_match_equals_difflib():
+    rng = random.Random(22)
+    seen = set()
+    for a, b in text_pairs(300):
+        matcher = difflib.SequenceMatcher(None, a, b)
+        at = [i for i, c in enumerate(a) if c in matcher.b2j]
+        for _ in range(4):
+            (alo, ahi), (blo, bhi) = (sorted(rng.choices(range(len(x) + 1), k=2)) for x in (a, b))
+            found = matcher.find_longest_match(alo, ahi, blo, bhi)
+            assert arrow.longest_match(matcher, at, alo, ahi, blo, bhi) == tuple(found)
+            seen.add((found.size > 0, len(b) >= 200))
+    assert len(seen) == 4
+
+
+def test_long_titles_of_common_words_make_few_pairs(spark):
+    """Long titles of the same frequent words share their letters and most runs of letters; their matching blocks are few."""
+    rng = random.Random(23)
+    words = ["the", "of", "and", "in", "to", "a", "is", "that", "for", "it", "as", "was", "with", "be", "by", "on", "not", "he", "this", "are", "from", "at", "his", "which", "or", "have", "an", "they", "one", "were"]
+    titles = [("the " + " ".join(rng.choice(words) for _ in range(120)))[:345] for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(titles)), "seq long, title string")
+    assert curation.title_pairs(df, letters=True).count() < 200
+
+
+def components(edges):
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {x: find(x) for x in list(up)}
+
+
+def test_links_have_the_components_of_edges(spark):
+    rng = random.Random(24)
+    titles = block_of_titles(150)
+    titles += [t[:k] + rng.choice("xyz ") + t[k + 1 :] for t in titles[:6] for k in rng.sample(range(8, 30), 15)]
+    titles += [" ".join([t] * 5)[:k] + "q" + " ".join([t] * 5)[k:] for t in titles[6:9] for k in range(10, 200, 12)] + titles[:5]
+    rng.shuffle(titles)
+    df = spark.createDataFrame(list(enumerate(titles)), "seq long, title string")
+    edges, links = ([tuple(r) for r in f(df).collect()] for f in (curation.title_edges, curation.title_links))
+    assert set(links) < set(edges) and components(links) == components(edges)
+
+
+def test_a_group_of_near_copies_is_not_compared_pair_by_pair(monkeypatch):
+    import pandas as pd
+
+    base = "the rivers and lakes of the northern countries and their keepers"
+    titles = [base[:i] + c + base[i + 1 :] for i in range(10, 60) for c in "xyz7"]
+    asked = []
+    plain = arrow.similar
+    monkeypatch.setattr(arrow, "similar", lambda *a: asked.append(1) or plain(*a))
+    pairs = list(itertools.combinations(range(len(titles)), 2))
+    batches = [pairs[i : i + 1000] for i in range(0, len(pairs), 1000)]
+    series = ([pd.Series([titles[p[0]] for p in x]), pd.Series([titles[p[1]] for p in x]), pd.Series([p[0] for p in x]), pd.Series([p[1] for p in x])] for x in batches)
+    found = pd.concat(list(arrow.linking_at(0.9).func(tuple(x) for x in series)))
+    assert found.sum() == len(asked) == len(titles) - 1 and len(found) == len(pairs)
+
+
+def test_forgotten_links_are_found_again(monkeypatch):
+    monkeypatch.setattr(arrow, "LINKED", 3)
+    links = arrow.Links()
+    for i in range(9):
+        links.add(*sorted((links.root(i), links.root(i + 1))))
+    assert links.root(9) == links.root(8) < 8 and links.root(0) == 0
+
+
+def test_groups_without_texts_read_them_once(spark):
+    rows = [(i, f"r{i}", "s", f"title number {i % 9} of the rivers", f"body {i % 40}", f"h{i % 40}", "", "2026") for i in range(200)]
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(x):
+        seen.add(1)
+        return x
+
+    plain = spark.createDataFrame(rows, SCHEMA)
+    expected = curation.duplicate_groups(plain).drop("clean_text")
+    found = curation.duplicate_groups(plain.withColumn("clean_text", read("clean_text")), texts=False)
+    assert sorted(found.columns) == sorted(expected.columns)
+    assert sorted(map(tuple, found.select(expected.columns).collect())) == sorted(map(tuple, expected.collect()))
+    assert seen.value == len(rows)
